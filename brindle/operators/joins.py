@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brindle.operators.windows import MAX_GROUP_ROWS, oversized_keys
-from brindle.workspace import broadcast_within, materialize, scratch_path
+from brindle.workspace import broadcast_within, materialize, scratch_path, summary
 
 _LEFT_SALT, _RIGHT_SALT = "_left_salt", "_right_salt"
 
@@ -65,28 +65,18 @@ def skew_join(
         for side in (left, right)
     )
     keys = reduce(DataFrame.union, hot).filter(F.col(on).isNotNull()).distinct()
-    keys = materialize(keys, "hot-keys")
-    key_hint = broadcast_within(keys)
+    keys = summary(keys, "hot-keys")
 
     def count_hot(side: DataFrame, name: str) -> DataFrame:
-        return side.select(on).join(key_hint, on, "left_semi").groupBy(on).agg(
+        return side.select(on).join(keys, on, "left_semi").groupBy(on).agg(
             F.count(F.lit(1)).alias(name)
         )
 
-    # At most one row per hot key.
-    sizes = materialize(
-        keys.join(count_hot(left, "_l"), on, "left")
-        .join(count_hot(right, "_r"), on, "left")
-        .select(
-            on,
-            *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("_l", "_r")],
-        ),
-        "hot-sizes",
-    )
+    # One row per hot key.
+    both = count_hot(left, "_l").join(count_hot(right, "_r"), on, "full").fillna(0, ["_l", "_r"])
+    sizes = summary(both, "hot-sizes")
 
-    cold = left.join(key_hint, on, "left_anti").join(
-        right.join(key_hint, on, "left_anti"), on, how
-    )
+    cold = left.join(keys, on, "left_anti").join(right.join(keys, on, "left_anti"), on, how)
     paired = sizes.filter("_l > 0 AND _r > 0").select(
         on,
         F.ceil(F.col("_l") / max_group_rows).alias("_left_cells"),
@@ -98,10 +88,10 @@ def skew_join(
     joined = cold.unionByName(pairs)
 
     if how in ("left", "full"):
-        alone = left.join(broadcast_within(sizes.filter("_r = 0")), on, "left_semi")
+        alone = left.join(sizes.filter("_r = 0"), on, "left_semi")
         joined = joined.unionByName(alone.unionByName(left_null), allowMissingColumns=True)
     if how in ("right", "full"):
-        alone = right.join(broadcast_within(sizes.filter("_l = 0")), on, "left_semi")
+        alone = right.join(sizes.filter("_l = 0"), on, "left_semi")
         joined = joined.unionByName(alone.unionByName(right_null), allowMissingColumns=True)
     return joined
 
@@ -116,7 +106,7 @@ def _in_cells(
     changed in a repeated task would lose or double rows.
     """
     (own_salt, own_cells), (other_salt, other_cells) = own, other
-    salted = side.join(broadcast_within(cells), on).withColumn(
+    salted = side.join(cells, on).withColumn(
         own_salt, F.pmod(F.monotonically_increasing_id(), F.col(own_cells))
     )
     written = materialize(salted, "salted")
@@ -159,7 +149,7 @@ def bucketed_join(
     hot = [found.select(on) for found in hot if found is not None]
     rows, others = left, right
     if hot:
-        keys = broadcast_within(materialize(reduce(DataFrame.union, hot).distinct(), "hot-keys"))
+        keys = summary(reduce(DataFrame.union, hot).distinct(), "hot-keys")
         rows, others = (side.join(keys, on, "left_anti") for side in (left, right))
     name = scratch_path(left.sparkSession, "bucketed").rsplit("-", 1)[1]
     joined = (

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brindle.functions.numbers import major_units, minor_units
-from brindle.workspace import broadcast_within, materialize, within
+from brindle.workspace import materialize, summary
 
 # What one task sorts with room to spare; a group beyond it is split.
 MAX_GROUP_ROWS = 5_000_000
@@ -52,16 +52,18 @@ def _attach(df: DataFrame, extra: DataFrame, names: Sequence[str], how: str = "l
     return df.join(renamed, matched, how).drop(*[f"_m_{n}" for n in names])
 
 
-def oversized_keys(df: DataFrame, keys: Sequence[str], max_group_rows: int) -> DataFrame | None:
-    """Keys with more than ``max_group_rows`` rows, or None if there are none.
+def oversized_keys(
+    df: DataFrame, keys: Sequence[str], max_group_rows: int, rows: int | None = None
+) -> DataFrame | None:
+    """Keys with more than ``max_group_rows`` rows, as ``_rows``, or None if there are none.
 
     At most ``rows / max_group_rows`` keys, counted with map-side combining. A
     table that is smaller than one group may be is not looked at further.
     """
-    if within(df, max_group_rows):
+    if (df.count() if rows is None else rows) <= max_group_rows:
         return None
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    found = materialize(counts.filter(F.col("_rows") > max_group_rows), "oversized")
+    found = summary(counts.filter(F.col("_rows") > max_group_rows), "oversized")
     return None if found.isEmpty() else found
 
 
@@ -69,12 +71,15 @@ def split_groups(
     df: DataFrame, keys: Sequence[str], max_group_rows: int
 ) -> tuple[DataFrame | None, DataFrame | None]:
     """(rows of groups one task can hold, rows of larger groups); None for an empty side."""
+    rows = df.count()
     if not keys:
-        return (df, None) if within(df, max_group_rows) else (None, df)
-    found = oversized_keys(df, keys, max_group_rows)
+        return (df, None) if rows <= max_group_rows else (None, df)
+    found = oversized_keys(df, keys, max_group_rows, rows)
     if found is None:
         return df, None
-    found = broadcast_within(found.select(*keys))
+    if found.agg(F.sum("_rows")).first()[0] == rows:
+        return None, df
+    found = found.select(*keys)
     is_large = _same_keys(df, found, keys)
     return df.join(found, is_large, "left_anti"), df.join(found, is_large, "left_semi")
 
@@ -107,22 +112,18 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: st
         ),
         "positions",
     )
-    # One row per shuffle partition.
-    before = Window.orderBy(_SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        laid.groupBy(_SEGMENT)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(_SEGMENT, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    # One row per shuffle partition and group in it: what to add to the offset there.
+    by_segment = Window.orderBy(_SEGMENT).rangeBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("_n").over(by_segment), F.lit(0))
+    first_of_group = F.min(F.col("_start") + F.col("_first")).over(Window.partitionBy(*keys))
+    shifts = (
+        laid.groupBy(_SEGMENT, *keys)
+        .agg(F.count(F.lit(1)).alias("_n"), F.min(_OFFSET).alias("_first"))
+        .withColumn("_start", start)
+        .select(_SEGMENT, *keys, (F.col("_start") - first_of_group + 1).alias("_shift"))
     )
-    placed = laid.join(broadcast_within(starts), _SEGMENT).withColumn(
-        name, F.col("_start") + F.col(_OFFSET) + 1
-    )
-    if keys:
-        first = placed.groupBy(*keys).agg(F.min(name).alias("_first"))
-        placed = _attach(placed, broadcast_within(first), keys).withColumn(
-            name, F.col(name) - F.col("_first") + 1
-        )
-    return placed.select(*df.columns, name)
+    placed = _attach(laid, summary(shifts, "shifts"), [_SEGMENT, *keys])
+    return placed.withColumn(name, F.col(_OFFSET) + F.col("_shift")).select(*df.columns, name)
 
 
 def row_number(
@@ -147,7 +148,8 @@ def _peer_groups(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], count: Column
 ) -> DataFrame:
     """One row per distinct order value of a group, with ``_peers`` rows each."""
-    return df.groupBy(*keys, *order_names(order)).agg(count.cast("bigint").alias("_peers"))
+    peers = df.groupBy(*keys, *order_names(order)).agg(count.cast("bigint").alias("_peers"))
+    return materialize(peers, "peers")
 
 
 def rank(
@@ -188,7 +190,8 @@ def dense_rank(
 
     def by_values(large: DataFrame) -> DataFrame:
         by = [*keys, *order_names(order)]
-        values = row_number(large.select(*by).distinct(), keys, order, name, max_group_rows)
+        distinct = materialize(large.select(*by).distinct(), "values")
+        values = row_number(distinct, keys, order, name, max_group_rows)
         return _attach(large, values, by)
 
     return _over_groups(
@@ -238,7 +241,7 @@ def running_sum(
         total = F.coalesce(
             F.col("_local") + F.col("_carried"), F.col("_local"), F.col("_carried")
         )
-        joined = _attach(within_chunk, broadcast_within(carried), by)
+        joined = _attach(within_chunk, summary(carried, "carried"), by)
         return joined.withColumn(name, total).select(*df.columns, name)
 
     return _over_groups(
@@ -394,7 +397,7 @@ def with_group_totals(
 
     def by_totals(large: DataFrame) -> DataFrame:
         summed = large.groupBy(*keys).agg(*[c.alias(n) for n, c in totals.items()])
-        return _attach(large, broadcast_within(summed), keys)
+        return _attach(large, summary(summed, "totals"), keys)
 
     return _over_groups(
         df,

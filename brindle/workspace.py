@@ -69,3 +69,15 @@ def broadcast_within(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataF
     Without the hint the join shuffles and adaptive execution splits skewed partitions.
     """
     return F.broadcast(df) if within(df, max_rows) else df
+
+
+def summary(df: DataFrame, label: str, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """The result of a small aggregate, computed once.
+
+    Up to ``max_rows`` rows it is held with the plan and broadcast where it is
+    joined; beyond that it is a written table, joined by shuffling.
+    """
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
+        return materialize(df, label)
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
