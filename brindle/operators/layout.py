@@ -65,6 +65,12 @@ def partition_count(df: DataFrame) -> DataFrame:
     )
 
 
+def adaptive_settings(spark: SparkSession) -> DataFrame:
+    """Adaptive execution settings in force, as (key, value)."""
+    settings = spark.sql("SET -v").select("key", "value")
+    return settings.filter(F.col("key").startswith("spark.sql.adaptive."))
+
+
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     """The physical plan as :meth:`DataFrame.explain` prints it."""
     printed = io.StringIO()

@@ -15,8 +15,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brindle.functions.numbers import major_units, minor_units
@@ -67,21 +68,29 @@ def oversized_keys(
     return None if found.isEmpty() else found
 
 
-def split_groups(
-    df: DataFrame, keys: Sequence[str], max_group_rows: int
-) -> tuple[DataFrame | None, DataFrame | None]:
-    """(rows of groups one task can hold, rows of larger groups); None for an empty side."""
+class Groups(NamedTuple):
+    """Rows of the groups one task can hold, and rows of larger groups; None for neither."""
+
+    small: DataFrame | None
+    large: DataFrame | None
+    large_rows: int
+
+
+def split_groups(df: DataFrame, keys: Sequence[str], max_group_rows: int) -> Groups:
     rows = df.count()
     if not keys:
-        return (df, None) if rows <= max_group_rows else (None, df)
+        return Groups(df, None, 0) if rows <= max_group_rows else Groups(None, df, rows)
     found = oversized_keys(df, keys, max_group_rows, rows)
     if found is None:
-        return df, None
-    if found.agg(F.sum("_rows")).first()[0] == rows:
-        return None, df
+        return Groups(df, None, 0)
+    large_rows = found.agg(F.sum("_rows")).first()[0]
+    if large_rows == rows:
+        return Groups(None, df, rows)
     found = found.select(*keys)
     is_large = _same_keys(df, found, keys)
-    return df.join(found, is_large, "left_anti"), df.join(found, is_large, "left_semi")
+    return Groups(
+        df.join(found, is_large, "left_anti"), df.join(found, is_large, "left_semi"), large_rows
+    )
 
 
 def _over_groups(
@@ -89,23 +98,34 @@ def _over_groups(
     keys: Sequence[str],
     max_group_rows: int,
     small_form: Callable[[DataFrame], DataFrame],
-    large_form: Callable[[DataFrame], DataFrame],
+    large_form: Callable[[DataFrame, int], DataFrame],
 ) -> DataFrame:
-    small, large = split_groups(df, keys, max_group_rows)
+    """``small_form(rows)`` and ``large_form(rows, how many)`` on the groups they are for."""
+    small, large, large_rows = split_groups(df, keys, max_group_rows)
     if large is None:
         return small_form(small)
-    done = large_form(large)
+    done = large_form(large, large_rows)
     return done if small is None else small_form(small).unionByName(done)
 
 
-def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
-    """Exact 1-based position of each row in its group, for groups of any size.
+def _range_partitions(spark: SparkSession, rows: int) -> list[int]:
+    """A partition count for ``rows``, or nothing where the session's own is enough."""
+    needed = -(-rows // MAX_GROUP_ROWS)
+    return [needed] if needed > int(spark.conf.get("spark.sql.shuffle.partitions")) else []
+
+
+def positions(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, rows: int
+) -> DataFrame:
+    """Exact 1-based position of each of the ``rows`` rows in its group, of any size.
 
     One range shuffle and one written table: the sampled range bounds must not
     change between counting the segments and numbering the rows.
     """
     layout = [F.col(k).asc() for k in keys] + order_columns(order)
-    ordered = df.repartitionByRange(*layout).sortWithinPartitions(*layout)
+    ordered = df.repartitionByRange(
+        *_range_partitions(df.sparkSession, rows), *layout
+    ).sortWithinPartitions(*layout)
     laid = materialize(
         ordered.withColumn(_SEGMENT, F.spark_partition_id()).withColumn(
             _OFFSET, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
@@ -140,7 +160,7 @@ def row_number(
         keys,
         max_group_rows,
         lambda small: small.withColumn(name, F.row_number().over(window).cast("bigint")),
-        lambda large: positions(large, keys, order, name),
+        lambda large, rows: positions(large, keys, order, name, rows),
     )
 
 
@@ -162,7 +182,7 @@ def rank(
     """Rank with gaps: 1 + the rows that sort strictly before."""
     window = Window.partitionBy(*keys).orderBy(*order_columns(order))
 
-    def by_peers(large: DataFrame) -> DataFrame:
+    def by_peers(large: DataFrame, rows: int) -> DataFrame:
         peers = _peer_groups(large, keys, order, F.count(F.lit(1)))
         summed = running_sum(peers, keys, order, "_peers", "_through", max_group_rows)
         ranks = summed.withColumn(name, F.col("_through") - F.col("_peers") + 1)
@@ -188,7 +208,7 @@ def dense_rank(
     """Rank without gaps: the position of the row's value among the distinct values."""
     window = Window.partitionBy(*keys).orderBy(*order_columns(order))
 
-    def by_values(large: DataFrame) -> DataFrame:
+    def by_values(large: DataFrame, rows: int) -> DataFrame:
         by = [*keys, *order_names(order)]
         distinct = materialize(large.select(*by).distinct(), "values")
         values = row_number(distinct, keys, order, name, max_group_rows)
@@ -204,10 +224,10 @@ def dense_rank(
 
 
 def _chunked(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int, rows: int
 ) -> DataFrame:
     """Rows with their position and the number of their fixed-length chunk."""
-    placed = positions(df, keys, order, _POSITION)
+    placed = positions(df, keys, order, _POSITION, rows)
     return placed.withColumn(_CHUNK, F.expr(f"({_POSITION} - 1) div {chunk_rows}"))
 
 
@@ -224,17 +244,17 @@ def running_sum(
     def to_here(*by: str) -> Window:
         return Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, 0)
 
-    def by_chunks(large: DataFrame) -> DataFrame:
-        rows = _chunked(large, keys, order, max_group_rows)
+    def by_chunks(large: DataFrame, rows: int) -> DataFrame:
+        placed = _chunked(large, keys, order, max_group_rows, rows)
         by = [*keys, _CHUNK]
-        within_chunk = rows.withColumn(
+        within_chunk = placed.withColumn(
             "_local", F.sum(value).over(to_here(*by).orderBy(_POSITION))
         )
         # One row per chunk: rows / max_group_rows plus one per group.
         earlier = Window.partitionBy(*keys).orderBy(_CHUNK)
         earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
         carried = (
-            rows.groupBy(*by)
+            placed.groupBy(*by)
             .agg(F.sum(value).alias("_sum"))
             .select(*by, F.sum("_sum").over(earlier).alias("_carried"))
         )
@@ -266,7 +286,7 @@ def running_count(
     """Non-null values up to this row and its ties (the default RANGE frame)."""
     window = Window.partitionBy(*keys).orderBy(*order_columns(order))
 
-    def by_peers(large: DataFrame) -> DataFrame:
+    def by_peers(large: DataFrame, rows: int) -> DataFrame:
         peers = _peer_groups(large, keys, order, F.count(value))
         counts = running_sum(peers, keys, order, "_peers", name, max_group_rows)
         by = [*keys, *order_names(order)]
@@ -292,14 +312,14 @@ def _over_nearby_rows(
 ) -> DataFrame:
     """Columns that look at most ``before`` rows back and ``after`` rows ahead."""
 
-    def by_chunks(large: DataFrame) -> DataFrame:
+    def by_chunks(large: DataFrame, rows: int) -> DataFrame:
         # A chunk also gets copies of the rows just outside it.
         chunk_rows = max(max_group_rows, before, after)
-        rows = _chunked(large, keys, order, chunk_rows)
+        placed = _chunked(large, keys, order, chunk_rows, rows)
         within_chunk = F.pmod(F.col(_POSITION) - 1, F.lit(chunk_rows))
         first = F.col(_CHUNK) - F.when(within_chunk < after, 1).otherwise(0)
         last = F.col(_CHUNK) + F.when(within_chunk >= chunk_rows - before, 1).otherwise(0)
-        copies = rows.withColumn(_COPY, F.explode(F.sequence(first, last)))
+        copies = placed.withColumn(_COPY, F.explode(F.sequence(first, last)))
         window = Window.partitionBy(*keys, _COPY).orderBy(_POSITION)
         computed = compute(window)
         return (
@@ -395,7 +415,7 @@ def with_group_totals(
         return df.withColumns({n: df.select(c).scalar() for n, c in totals.items()})
     window = Window.partitionBy(*keys)
 
-    def by_totals(large: DataFrame) -> DataFrame:
+    def by_totals(large: DataFrame, rows: int) -> DataFrame:
         summed = large.groupBy(*keys).agg(*[c.alias(n) for n, c in totals.items()])
         return _attach(large, summary(summed, "totals"), keys)
 

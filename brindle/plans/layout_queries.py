@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ from brindle.plans.registry import query
 from brindle.sources.tables import load_dataset, save_dataset, table
 from brindle.workspace import scratch_path
 
+ROWS_PER_PARTITION = 5_000_000
+
 ALL_CUSTOMERS = "SELECT * FROM customer"
 
 
@@ -97,17 +101,25 @@ def dynamic_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     SELECT layout, COUNT(*) AS rows, true AS as_asked
-    FROM lineitem, (VALUES ('repartition'), ('coalesce'), ('by_column')) AS v(layout) GROUP BY layout""")
+    FROM lineitem, (VALUES ('repartition'), ('coalesce'), ('by_column'), ('rebalance')) AS v(layout)
+    GROUP BY layout""")
 def partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Round robin fills every partition; coalesce and hashing fill at most those asked for."""
-    lines = table(spark, sf_dir, "lineitem").select("l_returnflag")
+    """Round robin fills every partition; coalesce and hashing fill at most those asked for.
+
+    The partitions grow with the table. Rebalancing by a column with few values also
+    splits those that are too large, so it has no count to ask for.
+    """
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag")
+    n = max(8, lines.count() // ROWS_PER_PARTITION)
+    partitions = F.col("partitions")
     layouts = {
-        "repartition": (lines.repartition(8), F.col("partitions") == 8),
-        "coalesce": (lines.repartition(8).coalesce(4), F.col("partitions") == 4),
-        "by_column": (lines.repartition(10, "l_returnflag"), F.col("partitions") <= 3),
+        "repartition": (lines.repartition(n), partitions == n),
+        "coalesce": (lines.repartition(n).coalesce(n // 2), partitions == n // 2),
+        "by_column": (lines.repartition(n, "l_orderkey"), partitions <= n),
+        "rebalance": (lines.hint("rebalance", "l_returnflag"), partitions >= 1),
     }
     counts = [
         layout.partition_count(df).select(F.lit(name).alias("layout"), "rows", asked.alias("as_asked"))
         for name, (df, asked) in layouts.items()
     ]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    return reduce(DataFrame.unionByName, counts)

@@ -109,7 +109,8 @@ def _daily(events: DataFrame) -> DataFrame:
 @query(WINDOWED)
 def stream_window_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append mode: a window is written once the watermark has passed its end."""
-    daily = _daily(streams.table_stream(spark, sf_dir, "events"))
+    replay = streams.table_stream(spark, sf_dir, "events", max_files_per_trigger=None)
+    daily = _daily(replay)
     return _run_to_files(daily, "stream-window")
 
 

@@ -12,6 +12,9 @@ from pyspark.sql.types import StructType
 # The in-memory sink keeps its result on the driver, so it is for results of known size.
 MAX_MEMORY_ROWS = 100_000
 
+# Bounds the work a failed micro-batch repeats.
+FILES_PER_TRIGGER = 10_000
+
 
 def json_stream(
     spark: SparkSession,
@@ -34,10 +37,15 @@ def parquet_stream(
 
 
 def table_stream(
-    spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    name: str,
+    max_files_per_trigger: int | None = FILES_PER_TRIGGER,
 ) -> DataFrame:
     """A Parquet table of a data directory replayed as a stream.
 
+    Files come in no order of event time. Where a watermark would take the later
+    batches for late, ``max_files_per_trigger=None`` replays the table as one batch.
     The file source refuses a path that is a file; as a glob it takes a
     file and a directory of files alike.
     """

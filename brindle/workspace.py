@@ -10,14 +10,16 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SHARED_DIR_CONF = "spark.checkpoint.dir"
 
-# A table is only broadcast after its rows were counted against this bound.
+# A table is only broadcast after it was measured against both bounds.
 MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_BYTES = 256 << 20
 
 _local_dir: str | None = None
 
@@ -41,9 +43,23 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dir
 
 
+def application_dir(spark: SparkSession) -> str:
+    """Where the written tables of this application go."""
+    return f"{shared_dir(spark)}/brindle/{spark.conf.get('spark.app.id')}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder."""
-    return f"{shared_dir(spark)}/brindle/{label}-{uuid.uuid4().hex}"
+    return f"{application_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a written table, or all of them with ``application_dir(spark)``.
+
+    Frames hold on to their files by path only, so this is the caller's to time.
+    """
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -63,12 +79,27 @@ def within(df: DataFrame, max_rows: int) -> bool:
     return df.count() <= max_rows
 
 
+def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Whether ``df`` was measured to be small in rows and in bytes."""
+    if not within(df, max_rows):
+        return False
+    texts = [F.octet_length(F.col(f"`{n}`").cast("string")) for n, t in df.dtypes if not _fixed_width(t)]
+    if not texts:
+        return True
+    lengths = reduce(lambda a, b: a + b, [F.coalesce(t, F.lit(0)).cast("bigint") for t in texts])
+    return (df.agg(F.sum(lengths)).first()[0] or 0) <= MAX_BROADCAST_BYTES
+
+
+def _fixed_width(type_name: str) -> bool:
+    return not type_name.startswith(("string", "binary", "array", "map", "struct", "variant", "char", "varchar"))
+
+
 def broadcast_within(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if its counted size allows, else ``df`` as it is.
+    """``df`` with a broadcast hint if its measured size allows, else ``df`` as it is.
 
     Without the hint the join shuffles and adaptive execution splits skewed partitions.
     """
-    return F.broadcast(df) if within(df, max_rows) else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 def summary(df: DataFrame, label: str, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -78,6 +109,6 @@ def summary(df: DataFrame, label: str, max_rows: int = MAX_BROADCAST_ROWS) -> Da
     joined; beyond that it is a written table, joined by shuffling.
     """
     rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
+    if rows.num_rows > max_rows or rows.nbytes > MAX_BROADCAST_BYTES:
         return materialize(df, label)
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

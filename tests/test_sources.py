@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 
 from brindle.sources import generate
 from brindle.sources.tables import load_dataset, save_dataset
-from brindle.workspace import materialize, scratch_path, shared_dir, summary
+from brindle.workspace import (
+    application_dir,
+    fits_broadcast,
+    materialize,
+    remove,
+    scratch_path,
+    shared_dir,
+    summary,
+)
 
 ROWS = [
     (1, "a,b", 1.5, True, datetime.date(2024, 1, 31), datetime.datetime(2024, 1, 31, 10, 20, 30, 123456)),
@@ -74,6 +82,22 @@ def test_summary_beyond_its_bound_is_a_table(spark):
     assert small.count() == 5 and large.count() == 6
 
 
+def test_broadcast_needs_few_rows_and_few_bytes(spark, monkeypatch):
+    df = spark.range(100).selectExpr("id", "repeat('x', 1000) AS text", "array(id) AS ids")
+    assert fits_broadcast(df) and not fits_broadcast(df, 99)
+    monkeypatch.setattr("brindle.workspace.MAX_BROADCAST_BYTES", 50_000)
+    assert fits_broadcast(df.select("id")) and not fits_broadcast(df)
+
+
+def test_remove(spark):
+    path = scratch_path(spark, "gone")
+    assert path.startswith(application_dir(spark))
+    spark.range(3).write.parquet(path)
+    remove(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
 def test_generated_values(spark):
     tables = generate.generate(spark, "medium")
     users, products, orders = tables["users"], tables["products"], tables["orders"]
