@@ -122,7 +122,9 @@ def positions(
     One range shuffle and one written table: the sampled range bounds must not
     change between counting the segments and numbering the rows.
     """
-    layout = [F.col(k).asc() for k in keys] + order_columns(order)
+    # The hash spreads rows that tie in ``order`` but differ elsewhere.
+    hashed = F.xxhash64(*[c for c, t in df.dtypes if "map<" not in t])
+    layout = [*[F.col(k).asc() for k in keys], *order_columns(order), hashed.asc()]
     ordered = df.repartitionByRange(
         *_range_partitions(df.sparkSession, rows), *layout
     ).sortWithinPartitions(*layout)

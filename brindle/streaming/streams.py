@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from brindle.sources.tables import table
+
 # The in-memory sink keeps its result on the driver, so it is for results of known size.
 MAX_MEMORY_ROWS = 100_000
 
@@ -49,7 +51,7 @@ def table_stream(
     The file source refuses a path that is a file; as a glob it takes a
     file and a directory of files alike.
     """
-    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
+    schema = table(spark, sf_dir, name).schema
     return parquet_stream(spark, f"{sf_dir}/{name}.parque[t]", schema, max_files_per_trigger)
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brindle.sources import generate
-from brindle.sources.tables import load_dataset, save_dataset
+from brindle.sources.tables import TABLE_SCHEMAS, load_dataset, save_dataset, table
 from brindle.workspace import (
     application_dir,
     fits_broadcast,
@@ -98,6 +98,13 @@ def test_remove(spark):
         spark.read.parquet(path)
 
 
+@pytest.mark.parametrize("name", TABLE_SCHEMAS)
+@pytest.mark.parametrize("sf", ["0.001", "0.01", "0.1"])
+def test_table_schemas_are_those_of_the_files(spark, name, sf):
+    sf_dir = f"/root/testdata/sf{sf}"
+    assert table(spark, sf_dir, name).schema == spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
+
+
 def test_generated_values(spark):
     tables = generate.generate(spark, "medium")
     users, products, orders = tables["users"], tables["products"], tables["orders"]

@@ -20,6 +20,14 @@ SALES = [
 SALARIES = [(1, "Alice", 50000), (2, "Bob", 60000), (3, "Charlie", 55000), (4, "David", 70000), (5, "Eve", 45000)]
 
 
+@pytest.fixture(scope="module", autouse=True)
+def several_segments(spark):
+    """Few rows would otherwise be gathered into one partition, with nothing to stitch."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 @pytest.fixture(scope="module")
 def sales(spark):
     return spark.createDataFrame(SALES, "date string, salesperson string, amount bigint").cache()
@@ -164,3 +172,11 @@ def test_one_order_value_for_a_whole_group_is_split(spark):
     assert ranked.filter("x <> 1").count() == 0 and ranked.count() == 5000
     numbered = windows.row_number(df, ["k"], ["t", "id"], "x", 100)
     assert numbered.filter("x <> id + 1").count() == 0 and numbered.count() == 5000
+
+
+def test_ties_that_differ_elsewhere_are_spread(spark):
+    """Positions in an order that does not tell the rows apart, over several segments."""
+    df = spark.range(5000).selectExpr("id", "'hot' AS k", "1 AS t")
+    numbered = windows.row_number(df, ["k"], ["t"], "x", 100)
+    assert sorted(r["x"] for r in numbered.collect()) == list(range(1, 5001))
+    assert len(numbered.inputFiles()) > 2
