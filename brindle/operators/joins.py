@@ -54,18 +54,23 @@ def skew_join(
     than about ``max_group_rows`` rows of a side. A hot key whose other side is
     empty has no pairs, and its rows are kept or dropped as ``how`` says.
     """
-    hot = [oversized_keys(side.select(on), [on], max_group_rows) for side in (left, right)]
+    plain = left.join(right, on, how)
+    rows = [side.count() for side in (left, right)]
+    hot = [
+        oversized_keys(side.select(on), [on], max_group_rows, n)
+        for side, n in zip((left, right), rows)
+    ]
     hot = [found.select(on) for found in hot if found is not None]
     if not hot:
-        return left.join(right, on, how)
+        return plain
 
     # Null keys match nothing and would all meet in one task.
     (left, left_null), (right, right_null) = (
         (side.filter(F.col(on).isNotNull()), side.filter(F.col(on).isNull()))
         for side in (left, right)
     )
-    keys = reduce(DataFrame.union, hot).filter(F.col(on).isNotNull()).distinct()
-    keys = summary(keys, "hot-keys")
+    keys = hot[0] if len(hot) == 1 else summary(reduce(DataFrame.union, hot).distinct(), "hot-keys")
+    keys = keys.filter(F.col(on).isNotNull())
 
     def count_hot(side: DataFrame, name: str) -> DataFrame:
         return side.select(on).join(keys, on, "left_semi").groupBy(on).agg(
@@ -75,43 +80,57 @@ def skew_join(
     # One row per hot key.
     both = count_hot(left, "_l").join(count_hot(right, "_r"), on, "full").fillna(0, ["_l", "_r"])
     sizes = summary(both, "hot-sizes")
+    hot_rows = sizes.agg(F.sum("_l"), F.sum("_r"), F.max("_l"), F.max("_r")).first()
 
-    cold = left.join(keys, on, "left_anti").join(right.join(keys, on, "left_anti"), on, how)
     paired = sizes.filter("_l > 0 AND _r > 0").select(
         on,
         F.ceil(F.col("_l") / max_group_rows).alias("_left_cells"),
         F.ceil(F.col("_r") / max_group_rows).alias("_right_cells"),
     )
-    hot_left = _in_cells(left, paired, on, (_LEFT_SALT, "_left_cells"), (_RIGHT_SALT, "_right_cells"))
-    hot_right = _in_cells(right, paired, on, (_RIGHT_SALT, "_right_cells"), (_LEFT_SALT, "_left_cells"))
-    pairs = hot_left.join(hot_right, [on, _LEFT_SALT, _RIGHT_SALT]).select(*cold.columns)
-    joined = cold.unionByName(pairs)
-
+    left_hot, right_hot = (most > max_group_rows for most in hot_rows[2:])
+    by_left, by_right = (_LEFT_SALT, "_left_cells"), (_RIGHT_SALT, "_right_cells")
+    parts = [
+        _in_cells(left, paired, on, by_left, by_right, left_hot)
+        .join(_in_cells(right, paired, on, by_right, by_left, right_hot), [on, _LEFT_SALT, _RIGHT_SALT])
+        .select(*plain.columns)
+    ]
+
+    all_hot = [in_hot == n for in_hot, n in zip(hot_rows[:2], rows)]
+    nothing_cold = {"inner": any(all_hot), "left": all_hot[0], "right": all_hot[1], "full": all(all_hot)}
+    if not nothing_cold[how]:
+        cold_left, cold_right = (side.join(keys, on, "left_anti") for side in (left, right))
+        parts.append(cold_left.join(cold_right, on, how))
     if how in ("left", "full"):
-        alone = left.join(sizes.filter("_r = 0"), on, "left_semi")
-        joined = joined.unionByName(alone.unionByName(left_null), allowMissingColumns=True)
+        parts.append(left.join(sizes.filter("_r = 0"), on, "left_semi").unionByName(left_null))
     if how in ("right", "full"):
-        alone = right.join(sizes.filter("_l = 0"), on, "left_semi")
-        joined = joined.unionByName(alone.unionByName(right_null), allowMissingColumns=True)
-    return joined
+        parts.append(right.join(sizes.filter("_l = 0"), on, "left_semi").unionByName(right_null))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def _in_cells(
-    side: DataFrame, cells: DataFrame, on: str, own: tuple[str, str], other: tuple[str, str]
+    side: DataFrame,
+    cells: DataFrame,
+    on: str,
+    own: tuple[str, str],
+    other: tuple[str, str],
+    is_hot: bool = True,
 ) -> DataFrame:
     """The hot rows of one side: one salt of its own, one copy per salt of the other side.
 
     The own salt comes from the row's place in the input, which also spreads
     identical rows. It is written down before the copies are made: a salt that
-    changed in a repeated task would lose or double rows.
+    changed in a repeated task would lose or double rows. A side without a hot key
+    of its own has one salt only.
     """
     (own_salt, own_cells), (other_salt, other_cells) = own, other
-    salted = side.join(cells, on).withColumn(
-        own_salt, F.pmod(F.monotonically_increasing_id(), F.col(own_cells))
-    )
-    written = materialize(salted, "salted")
+    matched = side.join(cells, on)
+    if is_hot:
+        place = F.pmod(F.monotonically_increasing_id(), F.col(own_cells))
+        salted = materialize(matched.withColumn(own_salt, place), "salted")
+    else:
+        salted = matched.withColumn(own_salt, F.lit(0).cast("bigint"))
     copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other_cells) - 1))
-    return written.withColumn(other_salt, copies).drop(own_cells, other_cells)
+    return salted.withColumn(other_salt, copies).drop(own_cells, other_cells)
 
 
 def bucketed(df: DataFrame, table: str, key: str, buckets: int) -> DataFrame:

@@ -466,8 +466,12 @@ def top_n(
     """The first ``n`` rows of each group.
 
     Spark limits each group to ``n`` rows per map task before the shuffle
-    (``WindowGroupLimit``), so an oversized group never meets in one task.
+    (``WindowGroupLimit``), so an oversized group never meets in one task. It does
+    so up to a configured ``n``; beyond that the rows are numbered by :func:`row_number`.
     """
+    limit = df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
+    if n > int(limit):
+        return row_number(df, keys, order, name).filter(F.col(name) <= n)
     window = Window.partitionBy(*keys).orderBy(*order_columns(order))
     numbered = df.withColumn(name, F.row_number().over(window))
     return numbered.filter(F.col(name) <= n).withColumn(name, F.col(name).cast("bigint"))

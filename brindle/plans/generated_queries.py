@@ -23,7 +23,7 @@ def _generated(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 @query("""
     SELECT COUNT(*) AS users, COUNT(*) AS distinct_ids, true AS ages_ok, true AS dates_ok,
-           8 AS countries, true AS emails_ok
+           CAST(8 AS BIGINT) AS countries, true AS emails_ok
     FROM customer""")
 def gen_users_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = _generated(spark, sf_dir)["users"]
@@ -39,7 +39,7 @@ def gen_users_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     SELECT COUNT(*) AS products, true AS prices_ok, true AS stock_ok, true AS ratings_ok,
-           7 AS categories, 5 AS brands
+           CAST(7 AS BIGINT) AS categories, CAST(5 AS BIGINT) AS brands
     FROM part""")
 def gen_products_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     products = _generated(spark, sf_dir)["products"]
@@ -53,7 +53,7 @@ def gen_products_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("SELECT COUNT(*) AS orders, 0 AS without_user, 0 AS without_product FROM orders")
+@query("SELECT COUNT(*) AS orders, CAST(0 AS BIGINT) AS without_user, CAST(0 AS BIGINT) AS without_product FROM orders")
 def gen_orders_fk_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders whose user or product does not exist, found by distinct key."""
     tables = _generated(spark, sf_dir)

@@ -7,6 +7,7 @@ the id ranges without looking at the other tables.
 
 from __future__ import annotations
 
+import argparse
 from collections.abc import Sequence
 from datetime import date
 
@@ -148,3 +149,21 @@ def generate_and_save(
         save_dataset(df, target)
         save_dataset(df, f"{target}.csv", "csv", single_file=single_file)
         save_dataset(df, f"{target}.json", "json", single_file=single_file)
+
+
+def main(arguments: Sequence[str] | None = None) -> None:
+    """``python -m brindle.sources.generate --base-path PATH [--size SIZE] [--users N] ...``"""
+    parser = argparse.ArgumentParser(description="Write synthetic users, products and orders.")
+    parser.add_argument("--base-path", required=True)
+    parser.add_argument("--size", choices=SIZES, default="small")
+    parser.add_argument("--seed", type=int, default=42)
+    for name in SIZES["small"]:
+        parser.add_argument(f"--{name}", type=int, help="rows, instead of the preset")
+    options = vars(parser.parse_args(arguments))
+    counts = {n: options[n] for n in SIZES["small"] if options[n] is not None}
+    spark = SparkSession.builder.getOrCreate()
+    generate_and_save(spark, options["base_path"], options["size"], options["seed"], **counts)
+
+
+if __name__ == "__main__":
+    main()

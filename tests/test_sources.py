@@ -160,3 +160,10 @@ def test_generate_and_save(spark):
         assert df.count() == rows
         assert df.exceptAll(csv).isEmpty() and df.exceptAll(json).isEmpty()
         assert len(csv.inputFiles()) == 1
+
+
+def test_command_line(spark):
+    base = scratch_path(spark, "command")
+    generate.main(["--base-path", base, "--size", "very_small", "--users", "12"])
+    assert load_dataset(spark, f"{base}/users/very_small").count() == 12
+    assert load_dataset(spark, f"{base}/products/very_small").count() == 50

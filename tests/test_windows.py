@@ -180,3 +180,9 @@ def test_ties_that_differ_elsewhere_are_spread(spark):
     numbered = windows.row_number(df, ["k"], ["t"], "x", 100)
     assert sorted(r["x"] for r in numbered.collect()) == list(range(1, 5001))
     assert len(numbered.inputFiles()) > 2
+
+
+def test_top_n_beyond_the_limit_of_the_plan(spark):
+    df = spark.range(3000).selectExpr("id", "id % 2 AS k")
+    top = windows.top_n(df, ["k"], ["-id"], 1200)
+    assert top.count() == 2400 and top.agg({"rank": "max"}).first()[0] == 1200
