@@ -109,3 +109,23 @@ def test_bucketed_join_takes_hot_keys_out_of_the_buckets(spark):
     joined = joins.bucketed_join(users, orders, "user_id", 4, max_group_rows=50)
     plain = users.join(orders, "user_id")
     assert sorted(map(repr, joined.collect())) == sorted(map(repr, plain.collect()))
+
+
+def test_adaptive_execution_splits_a_hot_key_of_an_inner_join(spark):
+    """What plain inner joins of the library rely on."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    big = spark.range(0, 400_000, 1, 8).selectExpr("IF(id % 3 = 0, 7, id % 5000) AS k", "id AS x")
+    small = spark.range(5000).selectExpr("id AS k", "id AS y")
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = joins.sort_merge_join(big, small, "k")
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)

@@ -167,3 +167,11 @@ def test_command_line(spark):
     generate.main(["--base-path", base, "--size", "very_small", "--users", "12"])
     assert load_dataset(spark, f"{base}/users/very_small").count() == 12
     assert load_dataset(spark, f"{base}/products/very_small").count() == 50
+
+
+def test_a_cluster_must_name_the_shared_folder():
+    class Session:
+        conf = {"spark.master": "spark://host:7077"}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
