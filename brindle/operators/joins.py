@@ -8,6 +8,7 @@ not shuffle, and broadcasts whose size has to be checked first.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -38,6 +39,19 @@ def without_match(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     return left.join(keys, F.col(left_key) == F.col("_key"), "left_anti")
 
 
+def _hot_keys(
+    sides: list[DataFrame], rows: list[int], on: str, max_group_rows: int
+) -> DataFrame | None:
+    """Keys with more than ``max_group_rows`` rows on a side, or None."""
+    found = [
+        oversized_keys(side.select(on), [on], max_group_rows, n) for side, n in zip(sides, rows)
+    ]
+    hot = [keys.select(on) for keys in found if keys is not None]
+    if len(hot) < 2:
+        return hot[0] if hot else None
+    return summary(hot[0].union(hot[1]).distinct(), "hot-keys")
+
+
 def skew_join(
     left: DataFrame,
     right: DataFrame,
@@ -56,12 +70,8 @@ def skew_join(
     """
     plain = left.join(right, on, how)
     rows = [side.count() for side in (left, right)]
-    hot = [
-        oversized_keys(side.select(on), [on], max_group_rows, n)
-        for side, n in zip((left, right), rows)
-    ]
-    hot = [found.select(on) for found in hot if found is not None]
-    if not hot:
+    keys = _hot_keys([left, right], rows, on, max_group_rows)
+    if keys is None:
         return plain
 
     # Null keys match nothing and would all meet in one task.
@@ -69,7 +79,6 @@ def skew_join(
         (side.filter(F.col(on).isNotNull()), side.filter(F.col(on).isNull()))
         for side in (left, right)
     )
-    keys = hot[0] if len(hot) == 1 else summary(reduce(DataFrame.union, hot).distinct(), "hot-keys")
     keys = keys.filter(F.col(on).isNotNull())
 
     def count_hot(side: DataFrame, name: str) -> DataFrame:
@@ -80,14 +89,15 @@ def skew_join(
     # One row per hot key.
     both = count_hot(left, "_l").join(count_hot(right, "_r"), on, "full").fillna(0, ["_l", "_r"])
     sizes = summary(both, "hot-sizes")
-    hot_rows = sizes.agg(F.sum("_l"), F.sum("_r"), F.max("_l"), F.max("_r")).first()
+    totals = sizes.agg(F.sum("_l"), F.sum("_r"), F.max("_l"), F.max("_r")).first()
+    *hot_rows, most_left, most_right = (n or 0 for n in totals)
 
     paired = sizes.filter("_l > 0 AND _r > 0").select(
         on,
         F.ceil(F.col("_l") / max_group_rows).alias("_left_cells"),
         F.ceil(F.col("_r") / max_group_rows).alias("_right_cells"),
     )
-    left_hot, right_hot = (most > max_group_rows for most in hot_rows[2:])
+    left_hot, right_hot = most_left > max_group_rows, most_right > max_group_rows
     by_left, by_right = (_LEFT_SALT, "_left_cells"), (_RIGHT_SALT, "_right_cells")
     parts = [
         _in_cells(left, paired, on, by_left, by_right, left_hot)
@@ -95,7 +105,7 @@ def skew_join(
         .select(*plain.columns)
     ]
 
-    all_hot = [in_hot == n for in_hot, n in zip(hot_rows[:2], rows)]
+    all_hot = [in_hot == n for in_hot, n in zip(hot_rows, rows)]
     nothing_cold = {"inner": any(all_hot), "left": all_hot[0], "right": all_hot[1], "full": all(all_hot)}
     if not nothing_cold[how]:
         cold_left, cold_right = (side.join(keys, on, "left_anti") for side in (left, right))
@@ -162,21 +172,20 @@ def bucketed_join(
     """Inner join of two tables saved in the same buckets, which needs no shuffle.
 
     A bucket is read by one task, so keys too large for one go through
-    :func:`skew_join` instead of the buckets.
+    :func:`skew_join` instead of the buckets. Null keys match nothing and are left out.
     """
-    hot = [oversized_keys(side.select(on), [on], max_group_rows) for side in (left, right)]
-    hot = [found.select(on) for found in hot if found is not None]
+    left, right = (side.filter(F.col(on).isNotNull()) for side in (left, right))
+    keys = _hot_keys([left, right], [left.count(), right.count()], on, max_group_rows)
     rows, others = left, right
-    if hot:
-        keys = summary(reduce(DataFrame.union, hot).distinct(), "hot-keys")
+    if keys is not None:
         rows, others = (side.join(keys, on, "left_anti") for side in (left, right))
-    name = scratch_path(left.sparkSession, "bucketed").rsplit("-", 1)[1]
+    name = uuid.uuid4().hex
     joined = (
         bucketed(rows, f"bucketed_left_{name}", on, buckets)
         .hint("merge")
         .join(bucketed(others, f"bucketed_right_{name}", on, buckets), on)
     )
-    if not hot:
+    if keys is None:
         return joined
     hot_left, hot_right = (side.join(keys, on, "left_semi") for side in (left, right))
     return joined.unionByName(skew_join(hot_left, hot_right, on, "inner", max_group_rows))

@@ -7,8 +7,9 @@ use the plain window. Larger groups are laid out once by a range partitioning on
 on fixed-length chunks of positions and adds what the earlier chunks carry over.
 Results are the same either way.
 
-``order`` lists column names, ``"-name"`` meaning descending. Where the result
-depends on the order of ties, end it with a unique column.
+``order`` lists column names, ``"-name"`` meaning descending. End it with a unique
+column where the result depends on the order of ties: it also tells apart the rows
+that the range partitioning is to spread.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ _CHUNK, _COPY = "_chunk", "_copy"
 
 
 def order_names(order: Sequence[str]) -> list[str]:
-    return [name.lstrip("-") for name in order]
+    return [name.removeprefix("-") for name in order]
 
 
 def order_columns(order: Sequence[str]) -> list[Column]:

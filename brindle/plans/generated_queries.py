@@ -53,7 +53,9 @@ def gen_products_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("SELECT COUNT(*) AS orders, CAST(0 AS BIGINT) AS without_user, CAST(0 AS BIGINT) AS without_product FROM orders")
+@query("""
+    SELECT COUNT(*) AS orders, CAST(0 AS BIGINT) AS without_user, CAST(0 AS BIGINT) AS without_product
+    FROM orders""")
 def gen_orders_fk_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders whose user or product does not exist, found by distinct key."""
     tables = _generated(spark, sf_dir)

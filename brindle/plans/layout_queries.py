@@ -86,7 +86,8 @@ def partition_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'P' THEN 0 ELSE o_totalprice END AS o_totalprice
+    SELECT o_orderkey, o_orderstatus,
+           CASE WHEN o_orderstatus = 'P' THEN 0 ELSE o_totalprice END AS o_totalprice
     FROM orders""")
 def dynamic_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders are loaded, then only the pending ones are replaced by a corrected load."""

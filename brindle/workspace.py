@@ -21,6 +21,8 @@ SHARED_DIR_CONF = "spark.checkpoint.dir"
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 256 << 20
 
+VARIABLE_WIDTH = ("string", "char", "varchar", "binary", "array", "map", "struct", "variant")
+
 _local_dir: str | None = None
 
 
@@ -83,15 +85,15 @@ def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     """Whether ``df`` was measured to be small in rows and in bytes."""
     if not within(df, max_rows):
         return False
-    texts = [F.octet_length(F.col(f"`{n}`").cast("string")) for n, t in df.dtypes if not _fixed_width(t)]
-    if not texts:
+    lengths = [
+        F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0)).cast("bigint")
+        for name, type_name in df.dtypes
+        if type_name.startswith(VARIABLE_WIDTH)
+    ]
+    if not lengths:
         return True
-    lengths = reduce(lambda a, b: a + b, [F.coalesce(t, F.lit(0)).cast("bigint") for t in texts])
-    return (df.agg(F.sum(lengths)).first()[0] or 0) <= MAX_BROADCAST_BYTES
-
-
-def _fixed_width(type_name: str) -> bool:
-    return not type_name.startswith(("string", "binary", "array", "map", "struct", "variant", "char", "varchar"))
+    size = df.agg(F.sum(reduce(lambda a, b: a + b, lengths))).first()[0]
+    return (size or 0) <= MAX_BROADCAST_BYTES
 
 
 def broadcast_within(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:

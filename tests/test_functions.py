@@ -69,6 +69,7 @@ def test_flat_map(spark):
     assert text.flat_map(df, "value", [1, 10, 100], "y").agg(F.sum("y")).first()[0] == 15 * 111
 
 
+# Toy rows with known answers.
 SALES = [
     ("2024-01-01", "Electronics", 1000), ("2024-01-01", "Clothing", 500),
     ("2024-01-02", "Electronics", 1500), ("2024-01-02", "Clothing", 600),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from brindle.operators import joins
 from brindle.operators.layout import plan_text
 
+# Toy rows with known answers.
 EMPLOYEES = [(1, "Alice", 1), (2, "Bob", 2), (3, "Charlie", 1), (4, "Diana", 3)]
 DEPARTMENTS = [(1, "Engineering"), (2, "Marketing"), (3, "Sales"), (4, "HR")]
 
@@ -60,6 +61,14 @@ def test_skewed_join_equals_plain_join(spark, how, size):
     assert sorted(map(repr, salted.collect())) == sorted(map(repr, plain.collect()))
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+def test_only_the_null_key_is_hot(spark, how):
+    left = spark.range(300).selectExpr("IF(id < 100, NULL, id) AS k", "id AS x")
+    right = spark.range(50, 150).selectExpr("id AS k", "id AS y")
+    plain, split = left.join(right, "k", how), joins.skew_join(left, right, "k", how, 10)
+    assert sorted(map(repr, split.collect())) == sorted(map(repr, plain.collect()))
+
+
 def test_skewed_toy_join_row_count(spark):
     def rows(n):
         return [(f"user_{i % 7}", i % 5) for i in range(n)]
@@ -105,7 +114,9 @@ def test_bucketed_join_does_not_shuffle(spark):
 
 def test_bucketed_join_takes_hot_keys_out_of_the_buckets(spark):
     users = spark.range(1, 21).selectExpr("id AS user_id", "concat('user_', id) AS username")
-    orders = spark.range(300).selectExpr("IF(id < 200, 5, id % 20 + 1) AS user_id", "id AS amount")
+    orders = spark.range(400).selectExpr(
+        "CASE WHEN id < 200 THEN 5 WHEN id < 300 THEN NULL ELSE id % 20 + 1 END AS user_id", "id AS amount"
+    )
     joined = joins.bucketed_join(users, orders, "user_id", 4, max_group_rows=50)
     plain = users.join(orders, "user_id")
     assert sorted(map(repr, joined.collect())) == sorted(map(repr, plain.collect()))

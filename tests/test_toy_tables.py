@@ -9,6 +9,7 @@ from brindle.functions.categories import band
 from brindle.functions.text import word_count
 from brindle.operators.joins import lookup_join
 
+# Toy rows with known answers.
 EMPLOYEES = [
     (1, ("John", "Doe"), "Engineering", 85000.0, datetime.date(2020, 1, 15), True),
     (2, ("Jane", "Smith"), "Marketing", 75000.0, datetime.date(2019, 6, 1), True),

@@ -7,6 +7,7 @@ import pytest
 from brindle.operators import windows
 from brindle.operators.layout import plan_text
 
+# Toy rows with known answers.
 SALES = [
     ("2024-01-01", "Alice", 1000),
     ("2024-01-01", "Bob", 1500),
