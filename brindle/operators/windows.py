@@ -18,14 +18,14 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brindle.functions.numbers import major_units, minor_units
-from brindle.workspace import materialize, summary
+from brindle.workspace import ROWS_PER_PARTITION, materialize, partitions_for, summary
 
-# What one task sorts with room to spare; a group beyond it is split.
-MAX_GROUP_ROWS = 5_000_000
+# A group beyond it is split.
+MAX_GROUP_ROWS = ROWS_PER_PARTITION
 
 _SEGMENT, _OFFSET, _POSITION = "_segment", "_offset", "_position"
 _CHUNK, _COPY = "_chunk", "_copy"
@@ -77,6 +77,11 @@ class Groups(NamedTuple):
     large_rows: int
 
 
+def split_size(rows: int, parts: int = 64) -> int:
+    """A group size that cuts ``rows`` rows into ``parts`` parts, or more of the default size."""
+    return min(max(rows // parts, 1), MAX_GROUP_ROWS)
+
+
 def split_groups(df: DataFrame, keys: Sequence[str], max_group_rows: int) -> Groups:
     rows = df.count()
     if not keys:
@@ -109,12 +114,6 @@ def _over_groups(
     return done if small is None else small_form(small).unionByName(done)
 
 
-def _range_partitions(spark: SparkSession, rows: int) -> list[int]:
-    """A partition count for ``rows``, or nothing where the session's own is enough."""
-    needed = -(-rows // MAX_GROUP_ROWS)
-    return [needed] if needed > int(spark.conf.get("spark.sql.shuffle.partitions")) else []
-
-
 def positions(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, rows: int
 ) -> DataFrame:
@@ -127,7 +126,7 @@ def positions(
     hashed = F.xxhash64(*[c for c, t in df.dtypes if "map<" not in t])
     layout = [*[F.col(k).asc() for k in keys], *order_columns(order), hashed.asc()]
     ordered = df.repartitionByRange(
-        *_range_partitions(df.sparkSession, rows), *layout
+        *partitions_for(df.sparkSession, rows), *layout
     ).sortWithinPartitions(*layout)
     laid = materialize(
         ordered.withColumn(_SEGMENT, F.spark_partition_id()).withColumn(
@@ -234,6 +233,12 @@ def _chunked(
     return placed.withColumn(_CHUNK, F.expr(f"({_POSITION} - 1) div {chunk_rows}"))
 
 
+def _gathered(df: DataFrame, by: Sequence[str], rows: int) -> DataFrame:
+    """Rows shuffled for a window over ``by``, into more partitions where ``rows`` needs them."""
+    partitions = partitions_for(df.sparkSession, rows)
+    return df.repartition(*partitions, *by) if partitions else df
+
+
 def running_sum(
     df: DataFrame,
     keys: Sequence[str],
@@ -250,7 +255,7 @@ def running_sum(
     def by_chunks(large: DataFrame, rows: int) -> DataFrame:
         placed = _chunked(large, keys, order, max_group_rows, rows)
         by = [*keys, _CHUNK]
-        within_chunk = placed.withColumn(
+        within_chunk = _gathered(placed, by, rows).withColumn(
             "_local", F.sum(value).over(to_here(*by).orderBy(_POSITION))
         )
         # One row per chunk: rows / max_group_rows plus one per group.
@@ -323,10 +328,11 @@ def _over_nearby_rows(
         first = F.col(_CHUNK) - F.when(within_chunk < after, 1).otherwise(0)
         last = F.col(_CHUNK) + F.when(within_chunk >= chunk_rows - before, 1).otherwise(0)
         copies = placed.withColumn(_COPY, F.explode(F.sequence(first, last)))
-        window = Window.partitionBy(*keys, _COPY).orderBy(_POSITION)
-        computed = compute(window)
+        by = [*keys, _COPY]
+        computed = compute(Window.partitionBy(*by).orderBy(_POSITION))
         return (
-            copies.withColumns(computed)
+            _gathered(copies, by, rows)
+            .withColumns(computed)
             .filter(F.col(_COPY) == F.col(_CHUNK))
             .select(*df.columns, *computed)
         )

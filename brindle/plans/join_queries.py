@@ -12,11 +12,10 @@ from pyspark.sql import functions as F
 
 from brindle.functions.numbers import count_rows, major_units, minor_units
 from brindle.operators import joins
+from brindle.operators.windows import split_size
 from brindle.plans.registry import query
 from brindle.sources.tables import table
-
-ROWS_PER_BUCKET = 5_000_000
-
+from brindle.workspace import ROWS_PER_PARTITION
 
 @query("""
     SELECT n_name AS country, COUNT(DISTINCT o_orderkey) AS order_count,
@@ -148,8 +147,7 @@ def join_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every key is hot here: each event type holds a fifth of the events."""
     events = table(spark, sf_dir, "events")
     types = events.groupBy("event_type").agg(count_rows().alias("type_events"))
-    # At most 64 keys can be hot.
-    max_group_rows = max(events.count() // 64, 1)
+    max_group_rows = split_size(events.count())
     return joins.skew_join(
         events.select("event_id", "event_type"), types, "event_type", "inner", max_group_rows
     ).select("event_id", "event_type", "type_events")
@@ -164,7 +162,7 @@ def join_salted_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full join on hot keys, some without a partner on either side."""
     events = table(spark, sf_dir, "events")
     types = events.filter("event_type <> 'view'").groupBy("event_type").agg(count_rows().alias("weight"))
-    max_group_rows = max(events.count() // 64, 1)
+    max_group_rows = split_size(events.count())
     rows = events.filter("event_type <> 'click'").select("event_id", "event_type")
     return joins.skew_join(rows, types, "event_type", "full", max_group_rows).select(
         "event_id", "event_type", "weight"
@@ -179,7 +177,7 @@ def bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("c_custkey"), "o_orderkey"
     )
-    buckets = max(4, orders.count() // ROWS_PER_BUCKET)
+    buckets = max(4, orders.count() // ROWS_PER_PARTITION)
     joined = joins.bucketed_join(customer, orders, "c_custkey", buckets)
     return joined.groupBy("c_custkey").agg(count_rows().alias("order_count"))
 

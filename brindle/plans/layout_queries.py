@@ -10,9 +10,7 @@ from pyspark.sql import functions as F
 from brindle.operators import layout
 from brindle.plans.registry import query
 from brindle.sources.tables import load_dataset, save_dataset, table
-from brindle.workspace import scratch_path
-
-ROWS_PER_PARTITION = 5_000_000
+from brindle.workspace import ROWS_PER_PARTITION, scratch_path
 
 ALL_CUSTOMERS = "SELECT * FROM customer"
 

@@ -21,11 +21,6 @@ def _orders(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", *columns)
 
 
-def _split_size(df: DataFrame) -> int:
-    """A group size that splits the few large groups of ``df`` into about 64 parts in all."""
-    return max(df.count() // 64, 1)
-
-
 def _over_customer(expression: str, name: str, order: str = "o_orderdate, o_orderkey") -> str:
     return f"""
     SELECT o_custkey, o_orderkey,
@@ -197,7 +192,7 @@ STATUS = ["o_orderstatus"]
         PARTITION BY o_orderstatus ORDER BY o_orderdate, o_orderkey) AS row_num FROM orders""")
 def win_row_number_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _orders(spark, sf_dir, "o_orderstatus", "o_orderdate")
-    size = _split_size(orders)
+    size = windows.split_size(orders.count())
     numbered = windows.row_number(orders, STATUS, BY_DATE, max_group_rows=size)
     return numbered.select("o_orderstatus", "o_orderkey", "row_num")
 
@@ -207,17 +202,15 @@ def win_row_number_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         PARTITION BY o_orderstatus ORDER BY o_orderdate DESC) AS rank FROM orders""")
 def win_rank_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _orders(spark, sf_dir, "o_orderstatus", "o_orderdate")
-    size = _split_size(orders)
+    size = windows.split_size(orders.count())
     ranked = windows.rank(orders, STATUS, ["-o_orderdate"], max_group_rows=size)
     return ranked.select("o_orderstatus", "o_orderkey", "rank")
 
 
-@query(
-    RUNNING_TOTAL.replace("o_custkey", "o_orderstatus")
-)
+@query(RUNNING_TOTAL.replace("o_custkey", "o_orderstatus"))
 def win_running_total_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _orders(spark, sf_dir, "o_orderstatus", "o_orderdate", "o_totalprice")
-    return _running_total(orders, STATUS, max_group_rows=_split_size(orders))
+    return _running_total(orders, STATUS, max_group_rows=windows.split_size(orders.count()))
 
 
 @query("""
@@ -225,7 +218,7 @@ def win_running_total_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         PARTITION BY o_orderstatus ORDER BY o_orderdate, o_orderkey) AS change FROM orders""")
 def win_change_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _orders(spark, sf_dir, "o_orderstatus", "o_orderdate", "o_totalprice")
-    size = _split_size(orders)
+    size = windows.split_size(orders.count())
     changed = windows.change(orders, STATUS, BY_DATE, "o_totalprice", max_group_rows=size)
     return changed.select("o_orderstatus", "o_orderkey", "change")
 
@@ -235,6 +228,6 @@ def win_change_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         OVER (PARTITION BY o_orderstatus) AS DOUBLE) * 100 AS pct_of_total FROM orders""")
 def win_pct_of_total_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _orders(spark, sf_dir, "o_orderstatus", "o_totalprice")
-    size = _split_size(orders)
+    size = windows.split_size(orders.count())
     shares = windows.percent_of_total(orders, STATUS, "o_totalprice", max_group_rows=size)
     return shares.select("o_orderstatus", "o_orderkey", "pct_of_total")

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle.sources.tables import save_dataset
+from brindle.workspace import partitions_for
 
 # The vocabularies and row counts of the data model.
 COUNTRIES = ["USA", "UK", "Germany", "France", "Japan", "Australia", "Canada", "Brazil"]
@@ -69,11 +70,16 @@ def _key(count: int, column: Column) -> Column:
     return column.cast("int" if count <= _INT_MAX else "bigint")
 
 
+def _ids(spark: SparkSession, count: int) -> DataFrame:
+    partitions = partitions_for(spark, count)
+    return spark.range(1, count + 1, 1, *partitions)
+
+
 def users(spark: SparkSession, count: int, seed: int = 42) -> DataFrame:
     """user_id, username, email, age, country, registration_date, is_active."""
     draw = _Fields(seed, "users")
     username = F.concat(F.lit("user_"), draw.text("name", 8))
-    return spark.range(1, count + 1).select(
+    return _ids(spark, count).select(
         _key(count, F.col("id")).alias("user_id"),
         username.alias("username"),
         F.concat(username, F.lit("@example.com")).alias("email"),
@@ -87,7 +93,7 @@ def users(spark: SparkSession, count: int, seed: int = 42) -> DataFrame:
 def products(spark: SparkSession, count: int, seed: int = 42) -> DataFrame:
     """product_id, product_name, category, price, stock_quantity, rating, brand."""
     draw = _Fields(seed, "products")
-    return spark.range(1, count + 1).select(
+    return _ids(spark, count).select(
         _key(count, F.col("id")).alias("product_id"),
         F.concat(F.lit("Product_"), draw.text("name", 6)).alias("product_name"),
         draw.choice("category", CATEGORIES).alias("category"),
@@ -104,7 +110,7 @@ def orders(
     """order_id (unique), user_id, product_id, quantity, total_amount, order_date, status."""
     draw = _Fields(seed, "orders")
     number = F.lpad(F.conv(F.col("id").cast("string"), 10, 36), 10, "0")
-    return spark.range(1, count + 1).select(
+    return _ids(spark, count).select(
         F.concat(F.lit("ORD-"), number).alias("order_id"),
         _key(user_count, draw.number("user", 1, user_count)).alias("user_id"),
         _key(product_count, draw.number("product", 1, product_count)).alias("product_id"),

@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 
 SHARED_DIR_CONF = "spark.checkpoint.dir"
 
+# What one task sorts or writes with room to spare.
+ROWS_PER_PARTITION = 5_000_000
+
 # A table is only broadcast after it was measured against both bounds.
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 256 << 20
@@ -76,6 +79,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def partitions_for(spark: SparkSession, rows: int) -> list[int]:
+    """A partition count for ``rows``, or nothing where the session's own is enough."""
+    needed = -(-rows // ROWS_PER_PARTITION)
+    return [needed] if needed > int(spark.conf.get("spark.sql.shuffle.partitions")) else []
+
+
 def within(df: DataFrame, max_rows: int) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows (a footer-only count on a file scan)."""
     return df.count() <= max_rows

@@ -11,6 +11,7 @@ from brindle.workspace import (
     application_dir,
     fits_broadcast,
     materialize,
+    partitions_for,
     remove,
     scratch_path,
     shared_dir,
@@ -175,3 +176,11 @@ def test_a_cluster_must_name_the_shared_folder():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(Session())
+
+
+def test_large_inputs_get_more_partitions(spark):
+    session_default = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert partitions_for(spark, session_default * 5_000_000) == []
+    assert partitions_for(spark, 10**9) == [200]
+    assert generate.users(spark, 10**9).rdd.getNumPartitions() == 200
+    assert dict(generate.users(spark, 2**31).dtypes)["user_id"] == "bigint"

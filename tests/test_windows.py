@@ -187,3 +187,20 @@ def test_top_n_beyond_the_limit_of_the_plan(spark):
     df = spark.range(3000).selectExpr("id", "id % 2 AS k")
     top = windows.top_n(df, ["k"], ["-id"], 1200)
     assert top.count() == 2400 and top.agg({"rank": "max"}).first()[0] == 1200
+
+
+def test_split_size_never_exceeds_the_default():
+    assert windows.split_size(10) == 1
+    assert windows.split_size(6400) == 100
+    assert windows.split_size(10**12) == windows.MAX_GROUP_ROWS
+
+
+def test_split_windows_get_partitions_for_their_rows(skewed, monkeypatch):
+    """The range and the chunk shuffle are sized by the rows, and sort only once each."""
+    monkeypatch.setattr("brindle.workspace.ROWS_PER_PARTITION", 20)
+    split = windows.running_sum(skewed, [], ["t", "id"], "v", "x", 40)
+    whole = windows.running_sum(skewed, [], ["t", "id"], "v", "x")
+    plan = plan_text(split)
+    assert "hashpartitioning(_chunk" in plan and ", 30)" in plan
+    assert plan.count("Exchange hashpartitioning") <= 2
+    assert sorted(map(repr, split.collect())) == sorted(map(repr, whole.collect()))
