@@ -15,7 +15,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brindle.operators.windows import MAX_GROUP_ROWS, oversized_keys
-from brindle.workspace import broadcast_within, materialize, scratch_path, summary
+from brindle.workspace import (
+    MAX_BROADCAST_ROWS,
+    broadcast_within,
+    fits_broadcast,
+    materialize,
+    scratch_path,
+    summary,
+)
 
 _LEFT_SALT, _RIGHT_SALT = "_left_salt", "_right_salt"
 
@@ -25,6 +32,31 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, on: str | Column, how: str
     return facts.join(broadcast_within(lookup), on, how)
 
 
+def join_and_sum(
+    facts: DataFrame,
+    lookup: DataFrame,
+    fact_key: str,
+    lookup_key: str,
+    by: list[str],
+    sums: dict[str, Column],
+    max_lookup_rows: int = MAX_BROADCAST_ROWS,
+) -> DataFrame:
+    """Sums of fact columns, grouped by columns of ``lookup``, whose key is unique.
+
+    A lookup small enough is broadcast and the facts are summed as they are read.
+    Otherwise they are summed per key before the join, so that a hot key arrives
+    there as one row and its facts are combined on the map side.
+    """
+    matched = F.col(fact_key) == F.col(lookup_key)
+    rows = facts.select(fact_key, *[c.alias(name) for name, c in sums.items()])
+    totals = [F.sum(name).alias(name) for name in sums]
+    if fits_broadcast(lookup, max_lookup_rows):
+        joined = rows.join(F.broadcast(lookup), matched)
+    else:
+        joined = rows.groupBy(fact_key).agg(*totals).join(lookup, matched)
+    return joined.groupBy(*by).agg(*totals)
+
+
 def sort_merge_join(left: DataFrame, right: DataFrame, on: str | Column, how: str = "inner") -> DataFrame:
     """Join by sorting both sides, whatever the broadcast threshold of the session."""
     return left.join(right.hint("merge"), on, how)

@@ -18,7 +18,7 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brindle.functions.numbers import major_units, minor_units
@@ -27,6 +27,9 @@ from brindle.workspace import ROWS_PER_PARTITION, materialize, partitions_for, s
 # A group beyond it is split.
 MAX_GROUP_ROWS = ROWS_PER_PARTITION
 
+# Without keys the table is one group, and one task does all the work: split earlier.
+MAX_TABLE_ROWS = 1_000_000
+
 _SEGMENT, _OFFSET, _POSITION = "_segment", "_offset", "_position"
 _CHUNK, _COPY = "_chunk", "_copy"
 
@@ -85,7 +88,8 @@ def split_size(rows: int, parts: int = 64) -> int:
 def split_groups(df: DataFrame, keys: Sequence[str], max_group_rows: int) -> Groups:
     rows = df.count()
     if not keys:
-        return Groups(df, None, 0) if rows <= max_group_rows else Groups(None, df, rows)
+        whole = rows <= min(max_group_rows, MAX_TABLE_ROWS)
+        return Groups(df, None, 0) if whole else Groups(None, df, rows)
     found = oversized_keys(df, keys, max_group_rows, rows)
     if found is None:
         return Groups(df, None, 0)
@@ -225,6 +229,11 @@ def dense_rank(
     )
 
 
+def _chunk_rows(spark: SparkSession, rows: int, max_group_rows: int) -> int:
+    """Rows per chunk: enough chunks for the session's partitions, none above the group size."""
+    return min(max_group_rows, -(-rows // int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def _chunked(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int, rows: int
 ) -> DataFrame:
@@ -253,12 +262,13 @@ def running_sum(
         return Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, 0)
 
     def by_chunks(large: DataFrame, rows: int) -> DataFrame:
-        placed = _chunked(large, keys, order, max_group_rows, rows)
+        chunk_rows = _chunk_rows(df.sparkSession, rows, max_group_rows)
+        placed = _chunked(large, keys, order, chunk_rows, rows)
         by = [*keys, _CHUNK]
         within_chunk = _gathered(placed, by, rows).withColumn(
             "_local", F.sum(value).over(to_here(*by).orderBy(_POSITION))
         )
-        # One row per chunk: rows / max_group_rows plus one per group.
+        # One row per chunk and group.
         earlier = Window.partitionBy(*keys).orderBy(_CHUNK)
         earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
         carried = (
@@ -322,7 +332,7 @@ def _over_nearby_rows(
 
     def by_chunks(large: DataFrame, rows: int) -> DataFrame:
         # A chunk also gets copies of the rows just outside it.
-        chunk_rows = max(max_group_rows, before, after)
+        chunk_rows = max(_chunk_rows(df.sparkSession, rows, max_group_rows), before, after)
         placed = _chunked(large, keys, order, chunk_rows, rows)
         within_chunk = F.pmod(F.col(_POSITION) - 1, F.lit(chunk_rows))
         first = F.col(_CHUNK) - F.when(within_chunk < after, 1).otherwise(0)
@@ -484,7 +494,22 @@ def top_n(
     return numbered.filter(F.col(name) <= n).withColumn(name, F.col(name).cast("bigint"))
 
 
-def nth_highest(df: DataFrame, keys: Sequence[str], value: str, n: int) -> DataFrame:
-    """The ``n``-th highest distinct value of each group that has one."""
-    best = top_n(df.select(*keys, value).distinct(), keys, [f"-{value}"], n, "_place")
+def nth_highest(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    n: int,
+    max_group_rows: int = MAX_GROUP_ROWS,
+) -> DataFrame:
+    """The ``n``-th highest distinct value of each group that has one.
+
+    On a table larger than a group may be the values are made distinct before they
+    are gathered by group, at the price of a second shuffle.
+    """
+    values = df.select(*keys, value)
+    if df.count() <= max_group_rows:
+        window = Window.partitionBy(*keys).orderBy(F.col(value).desc())
+        best = values.withColumn("_place", F.dense_rank().over(window))
+        return best.filter(F.col("_place") == n).select(*keys, value).distinct()
+    best = top_n(values.distinct(), keys, [f"-{value}"], n, "_place")
     return best.filter(F.col("_place") == n).drop("_place")

@@ -205,17 +205,11 @@ def products_never_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
            CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue
     FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_type""")
 def revenue_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    per_part = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_partkey")
-        .agg(F.sum(minor_units("l_extendedprice")).alias("cents"), count_rows().alias("n"))
-    )
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    return (
-        per_part.join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy("p_type")
-        .agg(F.sum("n").alias("lines"), major_units(F.sum("cents")).alias("revenue"))
-    )
+    sums = {"lines": F.lit(1), "cents": minor_units("l_extendedprice")}
+    lineitem = table(spark, sf_dir, "lineitem")
+    summed = joins.join_and_sum(lineitem, part, "l_partkey", "p_partkey", ["p_type"], sums)
+    return summed.select("p_type", "lines", major_units(F.col("cents")).alias("revenue"))
 
 
 @query("""
@@ -247,16 +241,11 @@ def user_spending(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
     GROUP BY n_name""")
 def avg_order_value_per_country(spark: SparkSession, sf_dir: str) -> DataFrame:
-    per_user = (
-        table(spark, sf_dir, "orders")
-        .groupBy("o_custkey")
-        .agg(F.sum(minor_units("o_totalprice")).alias("cents"), count_rows().alias("n"))
-    )
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    per_nation = (
-        per_user.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .groupBy("c_nationkey")
-        .agg(F.sum("cents").alias("cents"), F.sum("n").alias("n"))
+    sums = {"n": F.lit(1), "cents": minor_units("o_totalprice")}
+    orders = table(spark, sf_dir, "orders")
+    per_nation = joins.join_and_sum(
+        orders, customer, "o_custkey", "c_custkey", ["c_nationkey"], sums
     )
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return (

@@ -21,8 +21,8 @@ SHARED_DIR_CONF = "spark.checkpoint.dir"
 ROWS_PER_PARTITION = 5_000_000
 
 # A table is only broadcast after it was measured against both bounds.
-MAX_BROADCAST_ROWS = 200_000
-MAX_BROADCAST_BYTES = 256 << 20
+MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 128 << 20
 
 VARIABLE_WIDTH = ("string", "char", "varchar", "binary", "array", "map", "struct", "variant")
 

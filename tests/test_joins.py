@@ -92,7 +92,7 @@ def test_salting_spreads_identical_rows(spark):
 def test_broadcast_only_within_the_bound(spark, employees, departments):
     small = plan_text(joins.lookup_join(employees, departments, "dept_id"))
     assert "BroadcastHashJoin" in small
-    large = spark.range(300_000).select(F.col("id").alias("dept_id"))
+    large = spark.range(1_100_000).select(F.col("id").alias("dept_id"))
     hinted = joins.lookup_join(employees, large, "dept_id")
     assert "broadcast" not in hinted._jdf.queryExecution().logical().toString().lower()
 
@@ -140,3 +140,16 @@ def test_adaptive_execution_splits_a_hot_key_of_an_inner_join(spark):
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+@pytest.mark.parametrize("max_lookup_rows", [100, 10])
+def test_join_and_sum(spark, max_lookup_rows):
+    """Summed while reading, or per key before the join, by the size of the lookup."""
+    facts = spark.range(900).selectExpr("IF(id < 300, 7, id % 50) AS k", "id AS x")
+    lookup = spark.range(40).selectExpr("id AS key", "id % 3 AS colour")
+    sums = {"n": F.lit(1), "x": F.col("x")}
+    result = joins.join_and_sum(facts, lookup, "k", "key", ["colour"], sums, max_lookup_rows)
+    plain = facts.join(lookup, F.col("k") == F.col("key")).groupBy("colour")
+    plain = plain.agg(F.count("*").alias("n"), F.sum("x").alias("x"))
+    assert sorted(map(tuple, result.collect())) == sorted(map(tuple, plain.collect()))
+    assert ("Exchange hashpartitioning(k" in plan_text(result, "simple")) == (max_lookup_rows == 10)
