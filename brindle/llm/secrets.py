@@ -1,0 +1,239 @@
+"""Secret scan: known shapes, and high entropy in a sliding window over candidate strings.
+
+Everything is column functions over one row, so a scan reads each text once and
+moves nothing. Candidate strings are long runs of token characters with a letter
+and a digit. A fold over a candidate's characters holds the count of each
+character in the window and the sum of c log2 c over them; the character that
+enters and the one that leaves change two counts. The entropy of every window
+follows from that sum. What windows above the threshold of the candidate's
+character class cover is a span, unless the candidate is of an allowed shape.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from brindle.llm.tasks import col, without
+
+# Kinds in the order that breaks ties of the start.
+KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_mixed")
+
+ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+ASSIGN_VALUE = 12
+ACCESS = r"AKIA[A-Z0-9]+"
+ACCESS_LENGTH = 18
+# Maximal runs; those too short to count are not matched at all.
+HEX = r"(?<![0-9a-f])[0-9a-f]{16,}"
+
+# Runs of token characters, 20 at least, with a letter and a digit.
+CANDIDATE = (
+    r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_=-]{20})(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]+"
+)
+WINDOW = 20
+HEX_CLASS = r"^[0-9a-fA-F]+$"
+# Bits per character that a window must exceed. Random windows of 20 have about
+# 3.4 bits over 16 symbols and 4.0 over 36 to 64; names and numbers have fewer.
+THRESHOLD = {"entropy_hex": 3.0, "entropy_mixed": 3.75}
+
+# Shapes that are no secrets: UUIDs, paths, slugs, alphabets and placeholders.
+ALLOWED = (
+    r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$",
+    r"^/?[a-z0-9_-]{1,16}(/[a-z0-9_-]{1,16}){2,}/?$",
+    r"^[A-Za-z0-9]{1,14}([-_][A-Za-z0-9]{1,14}){2,}$",
+    r"(?i)0123456789|abcdefghij|example|sample|placeholder|changeme|xxxx",
+)
+
+# Codes of the candidates' characters run from "+" to "z".
+FIRST_CODE, CODES = 43, 80
+
+# Spans are laid out so many at a time, which keeps the cost of long lists linear.
+BLOCK = 512
+
+REDACTED = "[secret]"
+
+SPAN = "struct<start:int,kind:int,end:int>"
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _starts(gaps: Column, matches: Column) -> Column:
+    """Where each match begins, from the lengths of the matches and of what stands between them."""
+
+    def step(state: Column, i: Column) -> Column:
+        start = state["at"] + F.length(gaps[i])
+        return _let(
+            start,
+            lambda s: F.struct((s + F.length(matches[i])).alias("at"), F.array_append(state["out"], s).alias("out")),
+        )
+
+    def block(state: Column, b: Column) -> Column:
+        last = F.least(b * BLOCK + BLOCK - 1, F.size(matches) - 1)
+        empty = F.struct(state["at"].alias("at"), F.expr("cast(array() as array<int>)").alias("out"))
+        inner = F.aggregate(F.sequence((b * BLOCK).cast("int"), last.cast("int")), empty, step)
+        return _let(
+            inner, lambda x: F.struct(x["at"].alias("at"), F.array_append(state["out"], x["out"]).alias("out"))
+        )
+
+    blocks = F.sequence(F.lit(0), F.floor((F.size(matches) - 1) / BLOCK).cast("int"))
+    empty = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<array<int>>)").alias("out"))
+    laid = F.flatten(F.aggregate(blocks, empty, block)["out"])
+    return F.when(F.size(matches) > 0, laid).otherwise(F.expr("cast(array() as array<int>)"))
+
+
+def _entropy(candidate: Column) -> Column:
+    """(first, end) of what windows over the threshold cover in a candidate, null without any.
+
+    ``first`` is the start of the first such window, ``end`` the end of the last.
+    """
+    c_log_c = F.array(*(F.lit(c * math.log2(c) if c else 0.0) for c in range(WINDOW + 1)))
+    bits = F.when(candidate["text"].rlike(HEX_CLASS), THRESHOLD["entropy_hex"]).otherwise(THRESHOLD["entropy_mixed"])
+    codes = F.transform(
+        F.slice(F.split(candidate["text"], ""), 1, F.length(candidate["text"])), lambda ch: F.ascii(ch) - FIRST_CODE
+    )
+
+    def fold(codes: Column) -> Column:
+        def step(state: Column, i: Column) -> Column:
+            enters = codes[i]
+            leaves = F.when(i >= WINDOW, codes[i - WINDOW]).otherwise(-1)
+
+            def move(pair: Column) -> Column:
+                enters, leaves, counts = pair["enters"], pair["leaves"], state["counts"]
+                more = c_log_c[counts[enters] + 1] - c_log_c[counts[enters]]
+                less = F.when(leaves >= 0, c_log_c[counts[leaves] - 1] - c_log_c[counts[leaves]]).otherwise(0.0)
+                total = F.when(enters == leaves, state["total"]).otherwise(state["total"] + more + less)
+                moved = F.when(enters == leaves, counts).otherwise(
+                    F.transform(
+                        counts,
+                        lambda c, k: c + F.when(k == enters, 1).when(k == leaves, -1).otherwise(0),
+                    )
+                )
+
+                def note(total: Column) -> Column:
+                    high = (i >= WINDOW - 1) & (F.lit(math.log2(WINDOW)) - total / WINDOW > bits)
+                    return F.struct(
+                        moved.alias("counts"),
+                        total.alias("total"),
+                        F.when(high & (state["first"] < 0), i - WINDOW + 1).otherwise(state["first"]).alias("first"),
+                        F.when(high, i + 1).otherwise(state["end"]).alias("end"),
+                    )
+
+                return _let(total, note)
+
+            return _let(F.struct(enters.alias("enters"), leaves.alias("leaves")), move)
+
+        zero = F.struct(
+            F.array_repeat(F.lit(0), CODES).alias("counts"),
+            F.lit(0.0).alias("total"),
+            F.lit(-1).alias("first"),
+            F.lit(-1).alias("end"),
+        )
+        return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), zero, step)
+
+    found = _let(codes, fold)
+    return _let(found, lambda f: F.when(f["first"] >= 0, F.struct(f["first"].alias("first"), f["end"].alias("end"))))
+
+
+def _span(start: Column, kind: Column, end: Column) -> Column:
+    return F.struct(start.cast("int").alias("start"), kind.cast("int").alias("kind"), end.cast("int").alias("end"))
+
+
+def scan(df: DataFrame, text: str = "text", name: str = "secrets") -> DataFrame:
+    """``df`` with the spans found in ``text``, as an array of (start, kind, end) ordered by start and kind.
+
+    Starts and ends count code points from 0, ends are exclusive; ``kind`` is an
+    index into ``KINDS``. The first three kinds are leftmost matches of fixed
+    shapes that do not overlap within a kind; the entropy kinds add what no
+    span of the others covers. A null text has no spans. Rows keep their number,
+    repeated rows included; a column named like the output is replaced.
+    """
+    kept = without(df, [name])
+    value = F.coalesce(col(text), F.lit(""))
+    patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "candidate": CANDIDATE}
+    rows = df.select(*(col(c).alias(f"kept_{i}") for i, c in enumerate(kept)), value.alias("text"))
+    rows = rows.select("*", *(F.regexp_extract_all("text", F.lit(p), F.lit(0)).alias(k) for k, p in patterns.items()))
+    rows = rows.select(
+        "*",
+        F.when(F.size("assign") > 0, F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2))).alias("values"),
+        *(F.when(F.size(k) > 0, F.split("text", p, -1)).alias(f"{k}_gaps") for k, p in patterns.items()),
+    )
+    rows = rows.select("*", *(_starts(F.col(f"{k}_gaps"), F.col(k)).alias(f"{k}_starts") for k in patterns))
+    lengths = {
+        "assign": lambda i: F.length(F.col("values")[i]) >= ASSIGN_VALUE,
+        "access": lambda i: F.length(F.col("access")[i]) >= ACCESS_LENGTH,
+        "hex": lambda i: F.lit(True),
+    }
+    none = F.expr(f"cast(array() as array<{SPAN}>)")
+
+    def base(kind: str) -> Column:
+        spans = F.transform(
+            F.col(f"{kind}_starts"),
+            lambda s, i: F.struct(
+                _span(s, F.lit(KINDS.index(kind)), s + F.length(F.col(kind)[i])).alias("span"),
+                lengths[kind](i).alias("keep"),
+            ),
+        )
+        return F.when(F.size(kind) > 0, F.transform(F.filter(spans, lambda x: x["keep"]), lambda x: x["span"])).otherwise(none)
+
+    rows = rows.select("*", F.concat(*(base(k) for k in KINDS[:3])).alias("base"))
+    candidates = F.transform(
+        F.col("candidate_starts"), lambda s, i: F.struct(s.alias("start"), F.col("candidate")[i].alias("text"))
+    )
+
+    def judged(c: Column) -> Column:
+        allowed = c["text"].rlike("|".join(f"(?:{a})" for a in ALLOWED[1:3])) | c["text"].rlike(ALLOWED[0]) | c["text"].rlike(ALLOWED[3])
+        kind = F.when(c["text"].rlike(HEX_CLASS), KINDS.index("entropy_hex")).otherwise(KINDS.index("entropy_mixed"))
+        return F.when(
+            ~allowed,
+            _let(
+                _entropy(c),
+                lambda e: F.when(e.isNotNull(), _span(c["start"] + e["first"], kind, c["start"] + e["end"])),
+            ),
+        )
+
+    added = F.filter(F.transform(candidates, judged), lambda s: s.isNotNull())
+    added = F.filter(
+        added, lambda s: ~F.exists("base", lambda b: (b["start"] <= s["start"]) & (b["end"] >= s["end"]))
+    )
+    added = F.when(F.size("candidate") > 0, added).otherwise(none)
+    spans = F.array_sort(F.concat("base", added)).alias(name)
+    return rows.select(*(F.col(f"kept_{i}").alias(c) for i, c in enumerate(kept)), spans)
+
+
+def listed(spans: Column) -> Column:
+    """Spans as text: kind:start:end, joined by commas."""
+    names = F.array(*map(F.lit, KINDS))
+    return F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", names[s["kind"]], s["start"].cast("string"), s["end"].cast("string"))),
+        ",",
+    )
+
+
+def base_only(spans: Column) -> Column:
+    return F.filter(spans, lambda s: s["kind"] < 3)
+
+
+def counted(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == KINDS.index(kind))).cast("long")
+
+
+def redacted(text: Column, spans: Column) -> Column:
+    """``text`` with each stretch that spans cover replaced by ``REDACTED``."""
+
+    def step(state: Column, s: Column) -> Column:
+        apart = s["start"] >= state["at"]
+        piece = F.substr(text, state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
+        return F.struct(
+            F.greatest(state["at"], s["end"]).alias("at"),
+            F.when(apart, F.array_append(state["out"], F.concat(piece, F.lit(REDACTED)))).otherwise(state["out"]).alias("out"),
+        )
+
+    empty = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
+    done = F.aggregate(spans, empty, step)
+    whole = _let(done, lambda d: F.concat(F.array_join(d["out"], ""), F.substr(text, d["at"] + 1, F.length(text))))
+    return F.when(F.size(spans) > 0, whole).otherwise(text)

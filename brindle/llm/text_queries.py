@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from brindle.llm import bpe
+from brindle.llm import bpe, decontaminate, langid, secrets, simhash
 from brindle.llm.registry import query
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -21,3 +22,39 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = documents(spark, sf_dir).select("doc_id", "text")
     out = bpe.roundtrip_digests(texts, RANKS, public_tokenizers.PATTERN)
     return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query()
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document."""
+    found = secrets.scan(documents(spark, sf_dir).select("doc_id", "text"))
+    spans = F.col("secrets")
+    return found.select(
+        "doc_id",
+        *(secrets.counted(spans, kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
+        F.sha2(secrets.listed(secrets.base_only(spans)), 256).alias("base_sha256"),
+        secrets.listed(spans).alias("spans"),
+    )
+
+
+@query()
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage alike to a benchmark item, with the item and the window."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.contaminated(documents(spark, sf_dir), benchmark)
+
+
+@query()
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    rows = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    held_out = langid.is_held_out(F.col("doc_id"))
+    model = langid.fit(rows.where(~held_out), "text", "lang", "doc_id")
+    found = langid.predict(rows.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(documents(spark, sf_dir))
