@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import bpe, decontaminate, langid, secrets, simhash
+from brindle.llm import bpe, decontaminate, langid, secret_scan, shards, simhash, tokencount
 from brindle.llm.registry import query
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -27,13 +27,13 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets in every document."""
-    found = secrets.scan(documents(spark, sf_dir).select("doc_id", "text"))
+    found = secret_scan.scan(documents(spark, sf_dir).select("doc_id", "text"))
     spans = F.col("secrets")
     return found.select(
         "doc_id",
-        *(secrets.counted(spans, kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
-        F.sha2(secrets.listed(secrets.base_only(spans)), 256).alias("base_sha256"),
-        secrets.listed(spans).alias("spans"),
+        *(secret_scan.counted(spans, kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
+        F.sha2(secret_scan.listed(secret_scan.base_only(spans)), 256).alias("base_sha256"),
+        secret_scan.listed(spans).alias("spans"),
     )
 
 
@@ -58,3 +58,32 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+@query()
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, and after three edits of each: a cut, an insertion and a rewritten end."""
+    ranks, pattern = RANKS, public_tokenizers.PATTERN
+    built = tokencount.build(documents(spark, sf_dir).select("doc_id", "text", "source"), ranks, pattern)
+    n = F.length(F.coalesce("text", F.lit("")))
+    at = lambda x: F.floor(x).cast("int")
+    edits = F.array(
+        F.struct(at(n / 4).alias("start"), (at(n / 4) + 20).alias("end"), F.lit("").alias("text")),
+        F.struct(at(n / 2).alias("start"), at(n / 2).alias("end"), F.concat_ws("", F.lit(" ["), "source", F.lit("] ")).alias("text")),
+        F.struct((n - 30).alias("start"), n.alias("end"), F.substring("text", 1, 10).alias("text")),
+    )
+    counted = built.select("doc_id", "text", "token_tree", F.col("n_tokens").alias("n_tokens_before"), edits.alias("edits"))
+    after = tokencount.apply_edits(counted, ranks, pattern)
+    return after.select(
+        "doc_id",
+        F.col("n_tokens_before").alias("n_tokens"),
+        F.col("n_tokens").alias("n_tokens_edited"),
+        "encoded_chars",
+        F.sha2(F.col("text"), 256).alias("edited_sha256"),
+    )
+
+
+@query()
+def op8_histogram_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard and slot of every document."""
+    return shards.assign(documents(spark, sf_dir))
