@@ -31,6 +31,9 @@ MAX_LANGUAGES = 256
 
 UNDETERMINED = "und"
 
+# Text whose n-grams are held at a time, at some 80 bytes per byte.
+SLICE_BYTES = 1 << 20
+
 _letters: np.ndarray | None = None
 
 
@@ -76,24 +79,19 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def count_grams(batches):
     """Rows (language, bucket, count) of batches with the columns language and text."""
     held: dict[str, np.ndarray] = {}
-
-    def rows():
-        for language, counts in held.items():
-            found = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([language] * len(found), pa.string()), pa.array(found.astype(np.int32)), pa.array(counts[found])],
-                names=["language", "bucket", "n"],
-            )
-
     for batch in batches:
-        for part in slices(batch.select([1, 0]), 1):
+        for part in slices(batch.select([1, 0]), 1, SLICE_BYTES):
             texts, languages = part.column(0).to_pylist(), part.column(1).to_pylist()
+            names = sorted(set(languages))
+            codes = np.array([names.index(x) for x in languages], np.int64)
             buckets, owners, _ = grams(texts)
-            names = np.array(languages, object)[owners]
-            for language in set(languages):
-                counts = np.bincount(buckets[names == language], minlength=BUCKETS)
-                held[language] = held.get(language, 0) + counts
-    yield from rows()
+            counts = np.bincount(codes[owners] * BUCKETS + buckets, minlength=len(names) * BUCKETS)
+            for name, row in zip(names, counts.reshape(-1, BUCKETS)):
+                held[name] = held.get(name, 0) + row
+    for name, counts in held.items():
+        found = np.flatnonzero(counts)
+        columns = [pa.array([name] * len(found), pa.string()), pa.array(found.astype(np.int32)), pa.array(counts[found])]
+        yield pa.RecordBatch.from_arrays(columns, names=["language", "bucket", "n"])
 
 
 @dataclass
@@ -165,7 +163,7 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
     fields = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
-    return append_columns(df, predict_slice, [text], fields, model=shared)
+    return append_columns(df, predict_slice, [text], fields, slice_bytes=SLICE_BYTES, model=shared)
 
 
 def is_held_out(doc_id: Column) -> Column:

@@ -47,7 +47,12 @@ def in_tasks(function: Callable, **options) -> Callable[[Iterator[pa.RecordBatch
 
 
 def append_columns(
-    df: DataFrame, function: Callable, inputs: list[str], fields: list[StructField], **options
+    df: DataFrame,
+    function: Callable,
+    inputs: list[str],
+    fields: list[StructField],
+    slice_bytes: int = SLICE_BYTES,
+    **options,
 ) -> DataFrame:
     """``df`` with the columns ``function(slice, **options)`` computes from ``inputs``.
 
@@ -62,14 +67,22 @@ def append_columns(
     )
     schema = StructType([*(StructField(c, df.schema[c].dataType) for c in kept), *fields])
     names = [f.name for f in schema]
-    run = in_tasks(_append, module=function.__module__, name=function.__name__, n_inputs=len(inputs), names=names, options=options)
+    run = in_tasks(
+        _append,
+        module=function.__module__,
+        name=function.__name__,
+        n_inputs=len(inputs),
+        names=names,
+        slice_bytes=slice_bytes,
+        options=options,
+    )
     return positional.mapInArrow(run, schema)
 
 
-def _append(batches, module: str, name: str, n_inputs: int, names: list[str], options: dict):
+def _append(batches, module: str, name: str, n_inputs: int, names: list[str], slice_bytes: int, options: dict):
     function = getattr(importlib.import_module(module), name)
     for batch in batches:
-        for part in slices(batch, n_inputs):
+        for part in slices(batch, n_inputs, slice_bytes):
             inputs = pa.RecordBatch.from_arrays(part.columns[:n_inputs], names=part.schema.names[:n_inputs])
             yield pa.RecordBatch.from_arrays([*part.columns[n_inputs:], *function(inputs, **options)], names=names)
 
