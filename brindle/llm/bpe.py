@@ -36,6 +36,9 @@ WHITE = "\t-\r \x85\xa0  -     　"
 # whatever stands around: texts are cut there first and these chunks are cached.
 CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 
+# Text that is encoded at a time; its chunks, tokens and decoded lists are held together.
+SLICE_BYTES = 2 << 20
+
 # A generation of cached chunks or pieces; two are held.
 CACHE_ENTRIES = 250_000
 
@@ -285,7 +288,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids
     """
     ranks = share_ranks(df.sparkSession, ranks_path)
     field = StructField(ids, ArrayType(IntegerType()))
-    return append_columns(df, encode_slice, [text], [field], ranks=ranks, pattern=pattern)
+    return append_columns(df, encode_slice, [text], [field], slice_bytes=SLICE_BYTES, ranks=ranks, pattern=pattern)
 
 
 def decode(df: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -295,7 +298,7 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", decod
     """
     ranks = share_ranks(df.sparkSession, ranks_path)
     field = StructField(decoded, BinaryType())
-    return append_columns(df, decode_slice, [ids], [field], ranks=ranks, pattern=pattern)
+    return append_columns(df, decode_slice, [ids], [field], slice_bytes=SLICE_BYTES, ranks=ranks, pattern=pattern)
 
 
 def roundtrip_digests(df: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
@@ -310,4 +313,4 @@ def roundtrip_digests(df: DataFrame, ranks_path: str, pattern: str, text: str =
         StructField("ids_sha256", StringType()),
         StructField("decoded_sha256", StringType()),
     ]
-    return append_columns(df, digest_slice, [text], fields, ranks=ranks, pattern=pattern)
+    return append_columns(df, digest_slice, [text], fields, slice_bytes=SLICE_BYTES, ranks=ranks, pattern=pattern)

@@ -85,6 +85,7 @@ def _append(batches, module: str, name: str, n_inputs: int, names: list[str], sl
         for part in slices(batch, n_inputs, slice_bytes):
             inputs = pa.RecordBatch.from_arrays(part.columns[:n_inputs], names=part.schema.names[:n_inputs])
             yield pa.RecordBatch.from_arrays([*part.columns[n_inputs:], *function(inputs, **options)], names=names)
+        pa.default_memory_pool().release_unused()
 
 
 def slices(batch: pa.RecordBatch, n_inputs: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
