@@ -19,7 +19,7 @@ SITES = [
 
 TOP_K = """
 WITH whole AS (
-    SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)::BIGINT) AS vector
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS vector
     FROM embeddings
 ),
 scored AS (
