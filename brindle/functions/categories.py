@@ -23,13 +23,13 @@ def band(value: Column | str, bounds: Sequence[float], labels: Sequence[str]) ->
 
 
 def band_sql(value: str, bounds: Sequence[float], labels: Sequence[str]) -> Column:
-    """:func:`band` written as a SQL CASE expression."""
+    """:func:`band` written as a SQL CASE expression over the column named ``value``."""
     if len(labels) != len(bounds) + 1:
         raise ValueError("need one more label than bounds")
-    branches = " ".join(
-        f"WHEN {value} < {bound} THEN '{label}'" for bound, label in zip(bounds, labels)
-    )
-    return F.expr(f"CASE WHEN {value} IS NULL THEN NULL {branches} ELSE '{labels[-1]}' END")
+    column = "`" + value.replace("`", "``") + "`"
+    quoted = ["'" + label.replace("\\", "\\\\").replace("'", "\\'") + "'" for label in labels]
+    branches = " ".join(f"WHEN {column} < {bound} THEN {label}" for bound, label in zip(bounds, quoted))
+    return F.expr(f"CASE WHEN {column} IS NULL THEN NULL {branches} ELSE {quoted[-1]} END")
 
 
 def band_udf(bounds: Sequence[float], labels: Sequence[str]):

@@ -7,6 +7,7 @@ rows sends one partial row per map task and needs no salting.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,10 +16,21 @@ from brindle.operators.windows import top_n
 
 
 def pivot(
-    df: DataFrame, by: Sequence[str], column: str, values: Sequence[str], aggregate: Column
+    df: DataFrame, by: Sequence[str], column: str, values: Sequence[str] | None, aggregate: Column
 ) -> DataFrame:
-    """One column per value. Naming the values saves the job that would look for them."""
-    return df.groupBy(*by).pivot(column, list(values)).agg(aggregate)
+    """One column per value, in the order of ``values`` or else sorted.
+
+    Naming the values saves the job that looks for them; a row with a value that
+    is not named is an error, as its share of the result would be lost. Null is
+    named by None or found like any other value. Without names Spark holds the
+    number of values to ``spark.sql.pivotMaxValues``.
+    """
+    if values is None:
+        return df.groupBy(*by).pivot(column).agg(aggregate)
+    named = reduce(lambda a, b: a | b, [F.col(column).eqNullSafe(F.lit(v)) for v in values], F.lit(False))
+    lost = F.raise_error(F.concat(F.lit(f"pivot: {column} has a value that is not named: "), F.col(column).cast("string")))
+    checked = df.withColumn(column, F.when(named | F.col(column).isNull(), F.col(column)).otherwise(lost.cast(df.schema[column].dataType)))
+    return checked.groupBy(*by).pivot(column, list(values)).agg(aggregate)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -26,6 +26,22 @@ from brindle.workspace import (
 
 _LEFT_SALT, _RIGHT_SALT = "_left_salt", "_right_salt"
 
+# All names that Spark takes, without underscores.
+JOIN_KINDS = {
+    "inner": "inner",
+    "left": "left",
+    "leftouter": "left",
+    "right": "right",
+    "rightouter": "right",
+    "full": "full",
+    "outer": "full",
+    "fullouter": "full",
+    "semi": "left_semi",
+    "leftsemi": "left_semi",
+    "anti": "left_anti",
+    "leftanti": "left_anti",
+}
+
 
 def lookup_join(facts: DataFrame, lookup: DataFrame, on: str | Column, how: str = "inner") -> DataFrame:
     """Enrich ``facts`` from ``lookup``, broadcast if its counted size allows."""
@@ -93,19 +109,47 @@ def skew_join(
 ) -> DataFrame:
     """Equi-join on a column of both sides, with salting for the hot keys only.
 
-    ``how`` is inner, left, right or full. Keys with at most ``max_group_rows``
+    ``how`` is any name Spark has for an inner, outer, semi or anti join. The
+    result has the columns of Spark's join on a column name, the sides may share
+    other column names as well. Semi and anti joins meet the distinct keys of the
+    right side only. Keys with at most ``max_group_rows``
     rows on either side are joined plainly. The rows of a hot key are spread over
     a grid of cells: each left row goes to one row of cells, each right row to one
     column, so that every pair meets in exactly one cell and no cell holds more
     than about ``max_group_rows`` rows of a side. A hot key whose other side is
     empty has no pairs, and its rows are kept or dropped as ``how`` says.
     """
+    how = JOIN_KINDS[how.lower().replace("_", "")]
+    if how in ("left_semi", "left_anti"):
+        return left.join(right.select(on).distinct(), on, how)
     plain = left.join(right, on, how)
     rows = [side.count() for side in (left, right)]
     keys = _hot_keys([left, right], rows, on, max_group_rows)
     if keys is None:
         return plain
 
+    # Shared names would be ambiguous from here on; the sides have the key first in the result.
+    names = plain.columns
+    left, right = (
+        side.select(on, *[F.col(c).alias(f"_{mark}{i}") for i, c in enumerate(side.columns) if c != on])
+        for side, mark in ((left, "left"), (right, "right"))
+    )
+    columns = left.columns + right.columns[1:]
+    return _split_join(left, right, on, how, max_group_rows, rows, keys).select(*columns).toDF(*names)
+
+
+def _split_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: str,
+    how: str,
+    max_group_rows: int,
+    rows: list[int],
+    keys: DataFrame,
+) -> DataFrame:
+    """:func:`skew_join` where ``keys`` are hot and the sides share no other name."""
+    columns = left.columns + right.columns[1:]
+
     # Null keys match nothing and would all meet in one task.
     (left, left_null), (right, right_null) = (
         (side.filter(F.col(on).isNotNull()), side.filter(F.col(on).isNull()))
@@ -134,7 +178,7 @@ def skew_join(
     parts = [
         _in_cells(left, paired, on, by_left, by_right, left_hot)
         .join(_in_cells(right, paired, on, by_right, by_left, right_hot), [on, _LEFT_SALT, _RIGHT_SALT])
-        .select(*plain.columns)
+        .select(*columns)
     ]
 
     all_hot = [in_hot == n for in_hot, n in zip(hot_rows, rows)]

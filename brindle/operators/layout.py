@@ -9,6 +9,7 @@ from contextlib import contextmanager, redirect_stdout
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def write_partitioned(
@@ -37,9 +38,16 @@ def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     )
 
 
-def list_partitions(spark: SparkSession, path: str, by: Sequence[str]) -> DataFrame:
-    """The directories of a partitioned dataset with their rows; reads no data column."""
-    return spark.read.parquet(path).groupBy(*by).agg(F.count(F.lit(1)).alias("rows"))
+def list_partitions(
+    spark: SparkSession, path: str, by: Sequence[str], schema: StructType | str | None = None
+) -> DataFrame:
+    """The directories of a partitioned dataset with their rows; reads no data column.
+
+    Directory names carry no types: without the ``schema`` that was written Spark
+    guesses them, and codes such as 007 and 07 become one number.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path).groupBy(*by).agg(F.count(F.lit(1)).alias("rows"))
 
 
 @contextmanager
@@ -65,6 +73,13 @@ def partition_count(df: DataFrame) -> DataFrame:
     )
 
 
+def partition_skew(df: DataFrame) -> DataFrame:
+    """Rows of every non-empty partition and their ratio to the mean, fullest first."""
+    rows = df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("rows"))
+    mean = rows.select(F.avg("rows")).scalar()
+    return rows.withColumn("ratio_to_mean", F.col("rows") / mean).orderBy(F.desc("rows"), "partition")
+
+
 def adaptive_settings(spark: SparkSession) -> DataFrame:
     """Adaptive execution settings in force, as (key, value)."""
     settings = spark.sql("SET -v").select("key", "value")

@@ -15,7 +15,8 @@ that the range partitioning is to spread.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
+from functools import reduce, wraps
+from inspect import signature
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -31,7 +32,25 @@ MAX_GROUP_ROWS = ROWS_PER_PARTITION
 MAX_TABLE_ROWS = 1_000_000
 
 _SEGMENT, _OFFSET, _POSITION = "_segment", "_offset", "_position"
-_CHUNK, _COPY = "_chunk", "_copy"
+_CHUNK, _COPY, _OUTPUT, _ADDEND = "_chunk", "_copy", "_output", "_addend"
+
+
+def _replacing(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Let the output take the place of a column of its name, whichever form the operator takes."""
+    takes = signature(operator)
+
+    @wraps(operator)
+    def run(df: DataFrame, *args, **options) -> DataFrame:
+        bound = takes.bind(df, *args, **options)
+        bound.apply_defaults()
+        name = bound.arguments["name"]
+        if name.lower() not in {c.lower() for c in df.columns}:
+            return operator(df, *args, **options)
+        bound.arguments["name"] = _OUTPUT
+        done = operator(*bound.args, **bound.kwargs)
+        return done.withColumn(name, F.col(_OUTPUT)).drop(_OUTPUT)
+
+    return run
 
 
 def order_names(order: Sequence[str]) -> list[str]:
@@ -152,6 +171,7 @@ def positions(
     return placed.withColumn(name, F.col(_OFFSET) + F.col("_shift")).select(*df.columns, name)
 
 
+@_replacing
 def row_number(
     df: DataFrame,
     keys: Sequence[str],
@@ -178,6 +198,7 @@ def _peer_groups(
     return materialize(peers, "peers")
 
 
+@_replacing
 def rank(
     df: DataFrame,
     keys: Sequence[str],
@@ -204,6 +225,7 @@ def rank(
     )
 
 
+@_replacing
 def dense_rank(
     df: DataFrame,
     keys: Sequence[str],
@@ -248,6 +270,7 @@ def _gathered(df: DataFrame, by: Sequence[str], rows: int) -> DataFrame:
     return df.repartition(*partitions, *by) if partitions else df
 
 
+@_replacing
 def running_sum(
     df: DataFrame,
     keys: Sequence[str],
@@ -256,7 +279,18 @@ def running_sum(
     name: str = "running_total",
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Sum from the first row of the group to this one (ROWS frame)."""
+    """Sum from the first row of the group to this one (ROWS frame).
+
+    The type is that of Spark's plain sum at any size. Doubles and floats are
+    summed as decimals with ten places, so the result does not depend on the
+    order of addition or on how a group is split; NaN, infinities and values of
+    10^28 or more raise an error.
+    """
+    if dict(df.dtypes)[value] in ("double", "float"):
+        exact = df.withColumn(_ADDEND, F.col(value).cast("decimal(38,10)"))
+        summed = running_sum(exact, keys, order, _ADDEND, name, max_group_rows)
+        return summed.withColumn(name, F.col(name).cast("double")).drop(_ADDEND)
+    plain_type = df.select(F.sum(value).alias("_sum")).schema["_sum"].dataType
 
     def to_here(*by: str) -> Window:
         return Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, 0)
@@ -280,7 +314,7 @@ def running_sum(
             F.col("_local") + F.col("_carried"), F.col("_local"), F.col("_carried")
         )
         joined = _attach(within_chunk, summary(carried, "carried"), by)
-        return joined.withColumn(name, total).select(*df.columns, name)
+        return joined.withColumn(name, total.cast(plain_type)).select(*df.columns, name)
 
     return _over_groups(
         df,
@@ -293,6 +327,7 @@ def running_sum(
     )
 
 
+@_replacing
 def running_count(
     df: DataFrame,
     keys: Sequence[str],
@@ -353,6 +388,7 @@ def _over_nearby_rows(
     )
 
 
+@_replacing
 def lag(
     df: DataFrame,
     keys: Sequence[str],
@@ -368,6 +404,7 @@ def lag(
     )
 
 
+@_replacing
 def lead(
     df: DataFrame,
     keys: Sequence[str],
@@ -383,6 +420,7 @@ def lead(
     )
 
 
+@_replacing
 def change(
     df: DataFrame,
     keys: Sequence[str],
@@ -403,6 +441,7 @@ def change(
     )
 
 
+@_replacing
 def moving_avg(
     df: DataFrame,
     keys: Sequence[str],
@@ -447,6 +486,7 @@ def with_group_totals(
     )
 
 
+@_replacing
 def percent_of_total(
     df: DataFrame,
     keys: Sequence[str],
@@ -455,13 +495,14 @@ def percent_of_total(
     scale: int = 2,
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """The value, with ``scale`` decimals, as a percentage of its group's exact sum."""
+    """The value, with ``scale`` decimals, as a percentage of its group's exact sum; null where that is zero."""
     units = {"_total": F.sum(minor_units(value, scale))}
     with_total = with_group_totals(df, keys, units, max_group_rows)
-    share = F.col(value) / major_units(F.col("_total"), scale) * 100
+    share = F.try_divide(F.col(value), major_units(F.col("_total"), scale)) * 100
     return with_total.withColumn(name, share).drop("_total")
 
 
+@_replacing
 def difference_from_avg(
     df: DataFrame,
     keys: Sequence[str],
@@ -477,6 +518,7 @@ def difference_from_avg(
     return with_parts.withColumn(name, F.col(value) - mean).drop("_total", "_n")
 
 
+@_replacing
 def top_n(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, name: str = "rank"
 ) -> DataFrame:

@@ -109,7 +109,7 @@ def approx_distinct_within_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sketch is held to three times its standard error; its own value is engine-specific."""
     rsd = 0.05
     counts = aggregates.approximate_distinct(table(spark, sf_dir, "lineitem"), "l_partkey", rsd)
-    error = F.abs(F.col("approximate") - F.col("exact")) / F.col("exact")
+    error = F.try_divide(F.abs(F.col("approximate") - F.col("exact")), F.col("exact"))
     return counts.select("exact", (error <= 3 * rsd).alias("within_bound"))
 
 
@@ -124,6 +124,20 @@ def pivot_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+    SELECT o_orderstatus,
+           SUM(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 END)::BIGINT AS "1-URGENT",
+           SUM(CASE WHEN o_orderpriority = '2-HIGH' THEN 1 END)::BIGINT AS "2-HIGH",
+           SUM(CASE WHEN o_orderpriority = '3-MEDIUM' THEN 1 END)::BIGINT AS "3-MEDIUM",
+           SUM(CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 1 END)::BIGINT AS "4-NOT SPECIFIED",
+           SUM(CASE WHEN o_orderpriority = '5-LOW' THEN 1 END)::BIGINT AS "5-LOW"
+    FROM orders GROUP BY o_orderstatus""")
+def pivot_found_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The values become columns as they are found, in their order."""
+    orders = table(spark, sf_dir, "orders")
+    return aggregates.pivot(orders, ["o_orderstatus"], "o_orderpriority", None, count_rows())
+
+
 @query("""
     SELECT o_orderstatus, COUNT(*) AS order_count,
            CAST(ROUND(AVG(CAST(o_totalprice AS DECIMAL(18,2)))::DOUBLE, 2) AS DOUBLE) AS avg_price

@@ -253,3 +253,38 @@ def avg_order_value_per_country(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("n_name")
         .agg((major_units(F.sum("cents")) / F.sum("n")).alias("avg_value"))
     )
+
+
+@query("""
+    SELECT doc_id, lang, quality, toxic FROM documents LEFT JOIN labels USING (doc_id)""")
+def documents_with_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents; most have no label."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    return joins.skew_join(documents, spark.read.parquet(f"{sf_dir}/labels.parquet"), "doc_id", "left_outer")
+
+
+@query("""
+    SELECT id, quality, label FROM (SELECT doc_id AS id, quality FROM labels)
+    FULL JOIN (SELECT vec_id AS id, label FROM embeddings) USING (id)""")
+def join_outer_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels and embeddings: rows without a partner on both sides, every key split."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select(F.col("doc_id").alias("id"), "quality")
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "label")
+    doubled = vectors.unionByName(vectors)
+    return joins.skew_join(labels, doubled, "id", "outer", 1).distinct()
+
+
+@query("""
+    SELECT c_custkey, c_name FROM customer
+    WHERE NOT EXISTS (SELECT 1 FROM events WHERE user_id = c_custkey)""")
+def customers_without_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    return joins.without_match(customer, table(spark, sf_dir, "events"), "c_custkey", "user_id")
+
+
+@query("""
+    SELECT o_orderkey, o_custkey FROM orders
+    WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""")
+def orders_without_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return joins.without_match(orders, table(spark, sf_dir, "lineitem"), "o_orderkey", "l_orderkey")

@@ -37,6 +37,15 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_trip(spark, sf_dir, "csv")
 
 
+@query("SELECT doc_id, text, lang, source, n_chars FROM documents")
+def csv_roundtrip_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with line breaks, quotes and blanks come back as they were."""
+    documents = table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "round-trip-texts")
+    save_dataset(documents, path, "csv")
+    return load_dataset(spark, path, "csv", documents.schema)
+
+
 @query(ALL_CUSTOMERS)
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_trip(spark, sf_dir, "json")
@@ -78,6 +87,18 @@ def partition_prune_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pruned.select("o_orderkey", "o_totalprice")
 
 
+@query("""
+    SELECT lpad(CAST(s_nationkey AS VARCHAR), 3, '0') AS code, COUNT(*) AS rows
+    FROM supplier GROUP BY s_nationkey""")
+def partition_listing_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes with leading zeros stay texts when the written schema is given."""
+    code = F.lpad(F.col("s_nationkey").cast("string"), 3, "0").alias("code")
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", code)
+    path = scratch_path(spark, "suppliers-by-code")
+    layout.write_partitioned(supplier, path, ["code"])
+    return layout.list_partitions(spark, path, ["code"], supplier.schema)
+
+
 @query("SELECT o_orderstatus, COUNT(*) AS rows FROM orders GROUP BY o_orderstatus")
 def partition_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.list_partitions(spark, _by_status(spark, sf_dir), ["o_orderstatus"])

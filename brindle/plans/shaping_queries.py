@@ -42,11 +42,10 @@ def computed_price(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     SELECT id, id % 5 AS key, id * 2 AS double_id, id % 2 = 0 AS is_even
-    FROM (SELECT row_number() OVER () AS id FROM orders)""")
+    FROM (SELECT o_orderkey AS id FROM orders)""")
 def range_mod_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A sequence as long as the orders table, keyed by remainder."""
-    rows = table(spark, sf_dir, "orders").count()
-    return spark.range(1, rows + 1).select(
+    """The orders keyed by the remainder of their key."""
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id")).select(
         "id",
         (F.col("id") % 5).alias("key"),
         (F.col("id") * 2).alias("double_id"),

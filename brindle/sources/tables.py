@@ -15,6 +15,20 @@ FULL_TIMESTAMPS = {
 }
 
 
+# Every text is quoted and read back as it was: line breaks, quotes, blanks at the
+# ends and empty texts included. Null is written as a control character, so a text
+# that is just this character reads as null.
+LOSSLESS_CSV = {
+    "header": True,
+    "quoteAll": True,
+    "escape": '"',
+    "nullValue": "\x01",
+    "emptyValue": "",
+    "multiLine": True,
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
 # The columns of the data directories' tables. Reading with a known
 # schema saves the job that looks into the files for one.
 TABLE_SCHEMAS = {
@@ -50,13 +64,17 @@ def load_dataset(
     file_format: str = "parquet",
     schema: StructType | str | None = None,
 ) -> DataFrame:
-    """Read a dataset; CSV (with header) and JSON lines need a schema."""
+    """Read a dataset; CSV (with header) and JSON lines need a schema.
+
+    A CSV file may have line breaks within texts, so it is read by one task:
+    write as many files as should be read at once.
+    """
     reader = spark.read.format(file_format)
     if file_format in FORMATS_WITHOUT_SCHEMA:
         if schema is None:
             raise ValueError(f"reading {file_format} needs a schema")
         if file_format == "csv":
-            reader = reader.option("header", True)
+            reader = reader.options(**LOSSLESS_CSV)
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
@@ -75,5 +93,5 @@ def save_dataset(
     if file_format in FORMATS_WITHOUT_SCHEMA:
         writer = writer.options(**FULL_TIMESTAMPS)
     if file_format == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(**LOSSLESS_CSV)
     writer.format(file_format).save(path)
