@@ -23,11 +23,13 @@ HEADLINE = """
     sql_revenue_by_country computed_price filter_and case_when late_cutoff_batch
     join_inner_using join_left join_full join_broadcast join_sort_merge join_salted bucketed_join
     products_never_ordered revenue_by_category user_spending
-    agg_global group_multi_agg count_distinct pivot_sum dedup_first skew_profile
+    join_salted_full join_outer_hot_key customers_without_events orders_without_lines documents_with_labels
+    agg_global group_multi_agg count_distinct pivot_sum pivot_found_values dedup_first skew_profile
     win_row_number_global win_rank win_running_total win_moving_avg win_pct_of_total top_n_per_group
     sort_multi top_k word_count array_explode udf_price_category
+    win_rank_hot_key win_running_total_hot_key csv_roundtrip_texts
     dynamic_overwrite partition_prune_multi gen_orders_fk_check
-    stream_filter_project stream_window_append
+    stream_filter_project stream_window_append stream_upsert stream_category_stats
 """.split()
 
 
