@@ -33,18 +33,22 @@ from brindle.llm.tasks import append_columns
 WHITE = "\t-\r \x85\xa0  -     　"
 
 # Every place where white space follows something else is a boundary of pieces,
-# whatever stands around: texts are cut there first and these chunks are cached.
+# whatever stands around: texts are cut there first, and each chunk of a slice is
+# cut into pieces once.
 CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 
 # Text that is encoded at a time; its chunks, tokens and decoded lists are held together.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 3 << 19
 
-# A generation of cached chunks or pieces; two are held.
-CACHE_ENTRIES = 250_000
+# A generation of cached pieces; two are held.
+CACHE_ENTRIES = 200_000
+
+# Tokens of whole documents that are lined up by one query.
+DECODED_TOKENS = 1 << 17
 
 # The recursion keeps the rows of all its steps, about half the square of a
 # piece's length; so many at a time, and longer pieces are contracted by a heap.
-STEP_ROWS = 1_500_000
+STEP_ROWS = 1_000_000
 LONGEST_PIECE = 256
 
 CONTRACT = """
@@ -98,17 +102,14 @@ class Recent:
         self.entries, self.young, self.old = entries, {}, {}
 
     def missing(self, keys: set) -> list:
-        """The keys not held; those that are held are kept for another generation."""
-        if len(self.young) + len(keys) > self.entries:
-            self.old, self.young = self.young, {}
-        absent = []
-        for key in keys:
-            if key not in self.young:
-                if key in self.old:
-                    self.young[key] = self.old[key]
-                else:
-                    absent.append(key)
-        return absent
+        """The keys not held, which the caller adds; those that are held are kept for another generation."""
+        young, old = self.young, self.old
+        fresh = [key for key in keys if key not in young]
+        if len(young) + len(fresh) > self.entries:
+            # what is asked for now goes on, the rest waits to be asked for once more
+            self.old, self.young = young, {key: young[key] for key in keys if key in young}
+        self.young.update((key, old[key]) for key in fresh if key in old)
+        return [key for key in fresh if key not in old]
 
 
 class Encoder:
@@ -118,7 +119,7 @@ class Encoder:
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
-        self.chunks, self.pieces = Recent(), Recent()
+        self.pieces = Recent()
         pairs, merged = [], []
         for token, rank in ranks.items():
             for i in range(1, len(token)):
@@ -137,14 +138,11 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
         cut = [CHUNK.findall(text) for text in texts]
-        absent = self.chunks.missing(set().union(*cut))
-        split = [[c] if (c[1:] if c[0] == " " else c).isalpha() else self.pattern.findall(c) for c in absent]
-        self._learn({piece for pieces in split for piece in pieces})
+        distinct = set().union(*cut)
+        split = {c: (c,) if (c[1:] if c[0] == " " else c).isalpha() else self.pattern.findall(c) for c in distinct}
+        self._learn({piece for pieces in split.values() for piece in pieces})
         ids = self.pieces.young
-        self.chunks.young.update(
-            (c, ids[p[0]] if len(p) == 1 else b"".join([ids[x] for x in p])) for c, p in zip(absent, split)
-        )
-        held = self.chunks.young
+        held = {c: ids[p[0]] if len(p) == 1 else b"".join([ids[x] for x in p]) for c, p in split.items()}
         return [b"".join([held[c] for c in chunks]) for chunks in cut]
 
     def _learn(self, pieces: set[str]) -> None:
@@ -188,10 +186,25 @@ class Encoder:
 
     def decode(self, ids: list[bytes | None]) -> list[bytes | None]:
         """The bytes that each sequence of ids stands for; null where an id is unknown."""
+        out: list[bytes | None] = []
+        start = held = 0
+        for i, x in enumerate(ids):
+            size = len(x or b"") // 4
+            if held and held + size > DECODED_TOKENS:
+                out += self._decode(ids[start:i])
+                start, held = i, 0
+            held += size
+        return out + self._decode(ids[start:])
+
+    def _decode(self, ids: list[bytes | None]) -> list[bytes | None]:
         counts = [len(x or b"") // 4 for x in ids]
-        flat = np.frombuffer(b"".join(x or b"" for x in ids), "<u4").astype(np.int64)
+        flat = np.frombuffer(b"".join(x or b"" for x in ids), "<u4")
         tokens = pa.table(
-            {"doc": np.repeat(np.arange(len(ids), dtype=np.int32), counts), "pos": np.arange(len(flat)), "token": flat}
+            {
+                "doc": np.repeat(np.arange(len(ids), dtype=np.int32), counts),
+                "pos": np.arange(len(flat), dtype=np.int32),
+                "token": flat,
+            }
         )
         self.db.register("tokens", tokens)
         lined = self.db.sql(IN_ORDER).to_arrow_table()
