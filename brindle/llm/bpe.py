@@ -119,7 +119,8 @@ class Encoder:
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
-        self.pieces = Recent()
+        # one cache; chunks was a second one and stays as its other name
+        self.chunks = self.pieces = Recent()
         pairs, merged = [], []
         for token, rank in ranks.items():
             for i in range(1, len(token)):
