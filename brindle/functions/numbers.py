@@ -2,28 +2,51 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Sums of minor units are held in two longs: the low bits and the rest. Each has room
+# for 2^43 rows of values up to 2^40, or for 2^30 rows of the largest whole doubles.
+LOW_BITS = 20
+
 
 def minor_units(value: Column | str, scale: int = 2) -> Column:
     """A double with ``scale`` decimals as whole minor units (cents for 2).
 
-    Sums of longs do not depend on the order of rows and keep fixed-width
-    aggregation buffers, unlike sums of doubles or wide decimals.
+    Sums of whole units do not depend on the order of rows.
     """
     column = F.col(value) if isinstance(value, str) else value
     return F.rint(column * F.lit(float(10**scale))).cast("bigint")
 
 
 def major_units(units: Column, scale: int = 2) -> Column:
-    """Inverse of :func:`minor_units`."""
-    return units / F.lit(float(10**scale))
+    """Inverse of :func:`minor_units`, rounded once."""
+    return (units.cast("decimal(36,0)") * F.lit(Decimal(1).scaleb(-scale))).cast("double")
+
+
+def unit_parts(value: Column | str, name: str, scale: int = 2) -> dict[str, Column]:
+    """:func:`minor_units` as two longs to be summed apart, ``<name>_high`` and ``<name>_low``.
+
+    Sums of longs keep fixed-width aggregation buffers, unlike those of wide
+    decimals; two of them do not overflow where one would.
+    """
+    units = minor_units(value, scale)
+    low = units.bitwiseAND(F.lit((1 << LOW_BITS) - 1))
+    return {f"{name}_high": F.shiftright(units, LOW_BITS), f"{name}_low": low}
+
+
+def from_parts(high: Column, low: Column, scale: int = 2) -> Column:
+    """The double that the sums of both parts stand for, rounded once."""
+    whole = high.cast("decimal(20,0)") * F.lit(Decimal(1 << LOW_BITS)) + low.cast("decimal(20,0)")
+    return major_units(whole, scale)
 
 
 def exact_sum(value: Column | str, scale: int = 2) -> Column:
-    """Order-independent sum; raises on overflow of a long under ANSI mode."""
-    return major_units(F.sum(minor_units(value, scale)), scale)
+    """Order-independent sum of any number of rows, rounded once."""
+    high, low = unit_parts(value, "units", scale).values()
+    return from_parts(F.sum(high), F.sum(low), scale)
 
 
 def exact_avg(value: Column | str, scale: int = 2) -> Column:

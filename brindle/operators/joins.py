@@ -222,10 +222,12 @@ def _in_cells(
 def bucketed(df: DataFrame, table: str, key: str, buckets: int) -> DataFrame:
     """Save ``df`` as a table of sorted buckets, one file each, and read it back.
 
-    The files go to the shared folder. The catalog entry is removed at once: the
+    No more buckets than the session allows (``spark.sql.sources.bucketing.maxBuckets``).
+    Writing them shuffles ``df``, which pays when several joins read them. The files go to the shared folder. The catalog entry is removed at once: the
     returned frame keeps the bucketed layout without it.
     """
     spark = df.sparkSession
+    buckets = min(buckets, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
     (
         df.repartition(buckets, key)
         .write.bucketBy(buckets, key)
@@ -245,7 +247,7 @@ def bucketed_join(
     buckets: int,
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Inner join of two tables saved in the same buckets, which needs no shuffle.
+    """Inner join of two tables saved in the same buckets: both are shuffled to write them, the join is not.
 
     A bucket is read by one task, so keys too large for one go through
     :func:`skew_join` instead of the buckets. Null keys match nothing and are left out.

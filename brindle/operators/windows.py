@@ -22,7 +22,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from brindle.functions.numbers import major_units, minor_units
+from brindle.functions.numbers import from_parts, major_units, minor_units, unit_parts
 from brindle.workspace import ROWS_PER_PARTITION, materialize, partitions_for, summary
 
 # A group beyond it is split.
@@ -31,8 +31,14 @@ MAX_GROUP_ROWS = ROWS_PER_PARTITION
 # Without keys the table is one group, and one task does all the work: split earlier.
 MAX_TABLE_ROWS = 1_000_000
 
+# A range partition is worth a task of its own.
+SEGMENT_ROWS = 100_000
+
+# More map tasks than a shuffle has.
+MOST_TASKS = 1_000_000
+
 _SEGMENT, _OFFSET, _POSITION = "_segment", "_offset", "_position"
-_CHUNK, _COPY, _OUTPUT, _ADDEND = "_chunk", "_copy", "_output", "_addend"
+_CHUNK, _COPY, _OUTPUT, _ADDEND, _PLACE = "_chunk", "_copy", "_output", "_addend", "_place_of_row"
 
 
 def _replacing(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
@@ -138,21 +144,31 @@ def _over_groups(
 
 
 def positions(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, rows: int
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    name: str,
+    rows: int,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Exact 1-based position of each of the ``rows`` rows in its group, of any size.
 
-    One range shuffle and one written table: the sampled range bounds must not
-    change between counting the segments and numbering the rows.
+    The rows are written with their place in the input, which tells identical ones
+    apart, then range-partitioned once and written again: neither the places nor the
+    sampled range bounds may change between counting the segments and numbering the rows.
     """
-    # The hash spreads rows that tie in ``order`` but differ elsewhere.
+    placed = materialize(df.withColumn(_PLACE, F.monotonically_increasing_id()), "places")
+    # The hash spreads rows that tie in ``order`` but differ elsewhere, the place all others.
     hashed = F.xxhash64(*[c for c, t in df.dtypes if "map<" not in t])
-    layout = [*[F.col(k).asc() for k in keys], *order_columns(order), hashed.asc()]
-    ordered = df.repartitionByRange(
-        *partitions_for(df.sparkSession, rows), *layout
-    ).sortWithinPartitions(*layout)
+    layout = [*[F.col(k).asc() for k in keys], *order_columns(order), hashed.asc(), F.col(_PLACE).asc()]
+    # A number that is asked for is not coalesced: no segment holds more than a group may.
+    session = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows // SEGMENT_ROWS)
+    needed = -(-rows // min(max_group_rows, ROWS_PER_PARTITION))
+    # below a thousand rows each, sixteen are enough
+    segments = max(min(needed, max(16, rows // 1000)), session, 1)
+    ordered = placed.repartitionByRange(segments, *layout).sortWithinPartitions(*layout)
     laid = materialize(
-        ordered.withColumn(_SEGMENT, F.spark_partition_id()).withColumn(
+        ordered.drop(_PLACE).withColumn(_SEGMENT, F.spark_partition_id()).withColumn(
             _OFFSET, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
         ),
         "positions",
@@ -167,8 +183,8 @@ def positions(
         .withColumn("_start", start)
         .select(_SEGMENT, *keys, (F.col("_start") - first_of_group + 1).alias("_shift"))
     )
-    placed = _attach(laid, summary(shifts, "shifts"), [_SEGMENT, *keys])
-    return placed.withColumn(name, F.col(_OFFSET) + F.col("_shift")).select(*df.columns, name)
+    shifted = _attach(laid, summary(shifts, "shifts"), [_SEGMENT, *keys])
+    return shifted.withColumn(name, F.col(_OFFSET) + F.col("_shift")).select(*df.columns, name)
 
 
 @_replacing
@@ -186,7 +202,7 @@ def row_number(
         keys,
         max_group_rows,
         lambda small: small.withColumn(name, F.row_number().over(window).cast("bigint")),
-        lambda large, rows: positions(large, keys, order, name, rows),
+        lambda large, rows: positions(large, keys, order, name, rows, max_group_rows),
     )
 
 
@@ -257,10 +273,10 @@ def _chunk_rows(spark: SparkSession, rows: int, max_group_rows: int) -> int:
 
 
 def _chunked(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int, rows: int
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int, rows: int, max_group_rows: int
 ) -> DataFrame:
     """Rows with their position and the number of their fixed-length chunk."""
-    placed = positions(df, keys, order, _POSITION, rows)
+    placed = positions(df, keys, order, _POSITION, rows, max_group_rows)
     return placed.withColumn(_CHUNK, F.expr(f"({_POSITION} - 1) div {chunk_rows}"))
 
 
@@ -297,7 +313,7 @@ def running_sum(
 
     def by_chunks(large: DataFrame, rows: int) -> DataFrame:
         chunk_rows = _chunk_rows(df.sparkSession, rows, max_group_rows)
-        placed = _chunked(large, keys, order, chunk_rows, rows)
+        placed = _chunked(large, keys, order, chunk_rows, rows, max_group_rows)
         by = [*keys, _CHUNK]
         within_chunk = _gathered(placed, by, rows).withColumn(
             "_local", F.sum(value).over(to_here(*by).orderBy(_POSITION))
@@ -368,7 +384,7 @@ def _over_nearby_rows(
     def by_chunks(large: DataFrame, rows: int) -> DataFrame:
         # A chunk also gets copies of the rows just outside it.
         chunk_rows = max(_chunk_rows(df.sparkSession, rows, max_group_rows), before, after)
-        placed = _chunked(large, keys, order, chunk_rows, rows)
+        placed = _chunked(large, keys, order, chunk_rows, rows, max_group_rows)
         within_chunk = F.pmod(F.col(_POSITION) - 1, F.lit(chunk_rows))
         first = F.col(_CHUNK) - F.when(within_chunk < after, 1).otherwise(0)
         last = F.col(_CHUNK) + F.when(within_chunk >= chunk_rows - before, 1).otherwise(0)
@@ -496,10 +512,11 @@ def percent_of_total(
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """The value, with ``scale`` decimals, as a percentage of its group's exact sum; null where that is zero."""
-    units = {"_total": F.sum(minor_units(value, scale))}
+    units = {part: F.sum(c) for part, c in unit_parts(value, "_total", scale).items()}
     with_total = with_group_totals(df, keys, units, max_group_rows)
-    share = F.try_divide(F.col(value), major_units(F.col("_total"), scale)) * 100
-    return with_total.withColumn(name, share).drop("_total")
+    total = from_parts(F.col("_total_high"), F.col("_total_low"), scale)
+    share = F.try_divide(F.col(value), total) * 100
+    return with_total.withColumn(name, share).drop(*units)
 
 
 @_replacing
@@ -512,10 +529,10 @@ def difference_from_avg(
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """The value, with ``scale`` decimals, minus its group's mean."""
-    parts = {"_total": F.sum(minor_units(value, scale)), "_n": F.count(value)}
+    parts = {part: F.sum(c) for part, c in unit_parts(value, "_total", scale).items()} | {"_n": F.count(value)}
     with_parts = with_group_totals(df, keys, parts, max_group_rows)
-    mean = major_units(F.col("_total"), scale) / F.col("_n")
-    return with_parts.withColumn(name, F.col(value) - mean).drop("_total", "_n")
+    mean = from_parts(F.col("_total_high"), F.col("_total_low"), scale) / F.col("_n")
+    return with_parts.withColumn(name, F.col(value) - mean).drop(*parts)
 
 
 @_replacing
@@ -525,11 +542,11 @@ def top_n(
     """The first ``n`` rows of each group.
 
     Spark limits each group to ``n`` rows per map task before the shuffle
-    (``WindowGroupLimit``), so an oversized group never meets in one task. It does
-    so up to a configured ``n``; beyond that the rows are numbered by :func:`row_number`.
+    (``WindowGroupLimit``). Where it does not, or where ``n`` rows of that many
+    tasks could be more than a group may have, :func:`row_number` numbers the rows.
     """
-    limit = df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
-    if n > int(limit):
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if n > min(limit, MAX_GROUP_ROWS // MOST_TASKS):
         return row_number(df, keys, order, name).filter(F.col(name) <= n)
     window = Window.partitionBy(*keys).orderBy(*order_columns(order))
     numbered = df.withColumn(name, F.row_number().over(window))

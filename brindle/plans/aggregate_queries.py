@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.functions.numbers import count_rows, exact_avg, exact_sum, major_units, minor_units
+from brindle.functions.numbers import count_rows, exact_avg, exact_sum, from_parts, unit_parts
 from brindle.operators import aggregates
 from brindle.operators.layout import cached
 from brindle.plans.registry import query
@@ -46,14 +46,15 @@ def sql_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT o_orderstatus, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
     FROM orders GROUP BY o_orderstatus ORDER BY total DESC""")
 def agg_dict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The dict form names its result ``sum(cents)``; sorted under that name, then renamed."""
+    """The dict form names its results ``sum(<column>)``; they are used under that name, then renamed."""
+    total = from_parts(F.col("sum(cents_high)"), F.col("sum(cents_low)"))
     return (
         table(spark, sf_dir, "orders")
-        .select("o_orderstatus", minor_units("o_totalprice").alias("cents"))
+        .select("o_orderstatus", *[part.alias(name) for name, part in unit_parts("o_totalprice", "cents").items()])
         .groupBy("o_orderstatus")
-        .agg({"cents": "sum"})
-        .orderBy(F.col("sum(cents)").desc())
-        .select("o_orderstatus", major_units(F.col("sum(cents)")).alias("total"))
+        .agg({"cents_high": "sum", "cents_low": "sum"})
+        .select("o_orderstatus", total.alias("total"))
+        .orderBy(F.col("total").desc())
     )
 
 

@@ -1,4 +1,4 @@
-"""Synthetic tables sized from the given ones."""
+"""Synthetic tables under the keys of the given ones."""
 
 from __future__ import annotations
 
@@ -13,23 +13,30 @@ from brindle.sources.tables import table
 
 
 def _generated(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    counts = {
-        "users": table(spark, sf_dir, "customer").count(),
-        "products": table(spark, sf_dir, "part").count(),
-        "orders": table(spark, sf_dir, "orders").count(),
+    """A user per customer, a product per part and an order per line, under the keys they have."""
+    customer, part, orders, lines = (table(spark, sf_dir, t) for t in ("customer", "part", "orders", "lineitem"))
+    sold = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        (F.col("l_orderkey") * 16 + F.col("l_linenumber")).alias("id"),
+        F.col("o_custkey").alias("user_id"),
+        F.col("l_partkey").alias("product_id"),
+    )
+    return {
+        "users": generate.users_of(customer.select(F.col("c_custkey").alias("id"))),
+        "products": generate.products_of(part.select(F.col("p_partkey").alias("id"))),
+        "orders": generate.orders_of(sold),
     }
-    return generate.generate(spark, **counts)
 
 
 @query("""
-    SELECT COUNT(*) AS users, COUNT(*) AS distinct_ids, true AS ages_ok, true AS dates_ok,
-           CAST(8 AS BIGINT) AS countries, true AS emails_ok
+    SELECT COUNT(*) AS users, COUNT(DISTINCT c_custkey) AS distinct_ids, MAX(c_custkey) AS last_id,
+           true AS ages_ok, true AS dates_ok, CAST(8 AS BIGINT) AS countries, true AS emails_ok
     FROM customer""")
 def gen_users_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = _generated(spark, sf_dir)["users"]
     return users.agg(
         count_rows().alias("users"),
         F.count_distinct("user_id").alias("distinct_ids"),
+        F.max("user_id").alias("last_id"),
         ((F.min("age") >= 18) & (F.max("age") <= 75)).alias("ages_ok"),
         F.every(F.col("registration_date").between("2020-01-01", "2024-12-31")).alias("dates_ok"),
         F.count_distinct("country").alias("countries"),
@@ -38,13 +45,14 @@ def gen_users_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT COUNT(*) AS products, true AS prices_ok, true AS stock_ok, true AS ratings_ok,
+    SELECT COUNT(*) AS products, MAX(p_partkey) AS last_id, true AS prices_ok, true AS stock_ok, true AS ratings_ok,
            CAST(7 AS BIGINT) AS categories, CAST(5 AS BIGINT) AS brands
     FROM part""")
 def gen_products_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     products = _generated(spark, sf_dir)["products"]
     return products.agg(
         count_rows().alias("products"),
+        F.max("product_id").alias("last_id"),
         F.every(F.col("price").between(10, 1000)).alias("prices_ok"),
         F.every(F.col("stock_quantity").between(0, 1000)).alias("stock_ok"),
         F.every(F.col("rating").between(1, 5)).alias("ratings_ok"),
@@ -54,8 +62,11 @@ def gen_products_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT COUNT(*) AS orders, CAST(0 AS BIGINT) AS without_user, CAST(0 AS BIGINT) AS without_product
-    FROM orders""")
+    WITH sold AS (SELECT o_custkey, l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+    SELECT COUNT(*) AS orders,
+           (SELECT COUNT(DISTINCT o_custkey) FROM sold ANTI JOIN customer ON o_custkey = c_custkey) AS without_user,
+           (SELECT COUNT(DISTINCT l_partkey) FROM sold ANTI JOIN part ON l_partkey = p_partkey) AS without_product
+    FROM sold""")
 def gen_orders_fk_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders whose user or product does not exist, found by distinct key."""
     tables = _generated(spark, sf_dir)
@@ -74,9 +85,9 @@ def gen_orders_fk_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
     SELECT 'users' AS name, COUNT(*) AS rows FROM customer
     UNION ALL SELECT 'products', COUNT(*) FROM part
-    UNION ALL SELECT 'orders', COUNT(*) FROM orders""")
+    UNION ALL SELECT 'orders', COUNT(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 def gen_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the three generated tables, with the preset counts overridden."""
+    """Rows of the three generated tables."""
     sizes = [
         df.agg(count_rows().alias("rows")).select(F.lit(name).alias("name"), "rows")
         for name, df in _generated(spark, sf_dir).items()

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.functions.numbers import count_rows, major_units, minor_units
+from brindle.functions.numbers import count_rows, exact_sum, from_parts, unit_parts
 from brindle.operators import joins
 from brindle.operators.windows import split_size
 from brindle.plans.registry import query
@@ -169,6 +169,20 @@ def join_salted_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+    SELECT user_id, COUNT(*) AS pairs, CAST(SUM(day_events) AS BIGINT) AS day_events
+    FROM events JOIN (SELECT user_id, date_trunc('day', ts) AS day, COUNT(*) AS day_events
+                      FROM events GROUP BY user_id, day) USING (user_id)
+    GROUP BY user_id""")
+def join_skew_many_to_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event of a user with each of the user's days; summed as the pairs are made."""
+    events = table(spark, sf_dir, "events")
+    days = events.groupBy("user_id", F.date_trunc("day", "ts").alias("day")).agg(count_rows().alias("day_events"))
+    small = split_size(events.count(), 1024)
+    pairs = joins.skew_join(events.select("user_id", "event_id"), days, "user_id", "inner", small)
+    return pairs.groupBy("user_id").agg(count_rows().alias("pairs"), F.sum("day_events").alias("day_events"))
+
+
 @query("""
     SELECT c_custkey, COUNT(*) AS order_count
     FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey""")
@@ -206,10 +220,10 @@ def products_never_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_type""")
 def revenue_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    sums = {"lines": F.lit(1), "cents": minor_units("l_extendedprice")}
+    sums = {"lines": F.lit(1), **unit_parts("l_extendedprice", "cents")}
     lineitem = table(spark, sf_dir, "lineitem")
     summed = joins.join_and_sum(lineitem, part, "l_partkey", "p_partkey", ["p_type"], sums)
-    return summed.select("p_type", "lines", major_units(F.col("cents")).alias("revenue"))
+    return summed.select("p_type", "lines", from_parts(F.col("cents_high"), F.col("cents_low")).alias("revenue"))
 
 
 @query("""
@@ -223,14 +237,14 @@ def user_spending(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "orders")
         .groupBy("o_custkey")
         .agg(
-            F.sum(minor_units("o_totalprice")).alias("cents"),
+            exact_sum("o_totalprice").alias("total_spent"),
             F.count("o_orderkey").alias("order_count"),
         )
     )
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     return (
         customer.join(spending, F.col("c_custkey") == F.col("o_custkey"))
-        .select("c_custkey", "c_name", major_units(F.col("cents")).alias("total_spent"), "order_count")
+        .select("c_custkey", "c_name", "total_spent", "order_count")
         .orderBy(F.col("total_spent").desc(), "c_custkey")
         .limit(10)
     )
@@ -242,7 +256,7 @@ def user_spending(spark: SparkSession, sf_dir: str) -> DataFrame:
     GROUP BY n_name""")
 def avg_order_value_per_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    sums = {"n": F.lit(1), "cents": minor_units("o_totalprice")}
+    sums = {"n": F.lit(1), **unit_parts("o_totalprice", "cents")}
     orders = table(spark, sf_dir, "orders")
     per_nation = joins.join_and_sum(
         orders, customer, "o_custkey", "c_custkey", ["c_nationkey"], sums
@@ -251,7 +265,7 @@ def avg_order_value_per_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         per_nation.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .groupBy("n_name")
-        .agg((major_units(F.sum("cents")) / F.sum("n")).alias("avg_value"))
+        .agg((from_parts(F.sum("cents_high"), F.sum("cents_low")) / F.sum("n")).alias("avg_value"))
     )
 
 

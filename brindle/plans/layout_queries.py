@@ -119,6 +119,19 @@ def dynamic_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_dataset(spark, path).select("o_orderkey", "o_orderstatus", "o_totalprice")
 
 
+@query("SELECT COUNT(*) AS rows, true AS counted_once, true AS even FROM lineitem")
+def partition_skew_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per partition against their mean: dealt in turn, no partition has far more than another."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey")
+    n = max(8, lines.count() // ROWS_PER_PARTITION)
+    skew = layout.partition_skew(lines.repartition(n))
+    return skew.agg(
+        F.sum("rows").alias("rows"),
+        (F.count_distinct("partition") == F.count(F.lit(1))).alias("counted_once"),
+        (F.max("ratio_to_mean") < 1.5).alias("even"),
+    )
+
+
 @query("""
     SELECT layout, COUNT(*) AS rows, true AS as_asked
     FROM lineitem, (VALUES ('repartition'), ('coalesce'), ('by_column'), ('rebalance')) AS v(layout)

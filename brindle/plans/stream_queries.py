@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.functions.numbers import count_rows, major_units, minor_units
+from brindle.functions.numbers import count_rows, exact_avg, exact_sum
+from brindle.operators.layout import write_partitioned
 from brindle.plans.registry import query
 from brindle.sources.tables import save_dataset, table
 from brindle.streaming import streams
@@ -15,6 +17,9 @@ from brindle.workspace import scratch_path, within
 
 LARGE_EVENTS = "SELECT event_id, event_type, round(value, 1) AS value, ts FROM events WHERE value > 200"
 
+# Events of one micro-batch of a replay in the order of time.
+SLICE_ROWS = 500_000_000
+
 TYPE_COUNTS = "SELECT event_type, COUNT(*) AS event_count FROM events GROUP BY event_type"
 
 
@@ -34,6 +39,33 @@ def _run_to_files(df: DataFrame, label: str, **options: object) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _arrivals(events: DataFrame, loads: int) -> DataFrame:
+    """The number of the equal span of time, 0 to ``loads`` - 1, that an event lies in, as ``arrival``."""
+    first, last = (events.select(F.unix_micros(end("ts").cast("timestamp"))).scalar() for end in (F.min, F.max))
+    since = F.unix_micros(F.col("ts").cast("timestamp")) - first
+    return events.withColumn("arrival", F.floor(since * loads / (last - first + 1)).cast("int"))
+
+
+def _replayed(arriving: DataFrame, loads: int, transform: Callable[[DataFrame], DataFrame], label: str) -> DataFrame:
+    """What ``transform`` appends as the loads come in one after the other, each a batch of its own.
+
+    Watermark and state go from load to load through the checkpoint, and a load
+    that fails is repeated alone.
+    """
+    spark = arriving.sparkSession
+    laid, source, path, progress = (
+        scratch_path(spark, f"{label}-{part}") for part in ("loads", "in", "out", "progress")
+    )
+    write_partitioned(arriving, laid, ["arrival"])
+    loaded = spark.read.schema(arriving.schema).parquet(laid)
+    schema = arriving.drop("arrival").schema
+    for load in range(loads):
+        save_dataset(loaded.filter(F.col("arrival") == load).drop("arrival"), source, mode="append")
+        stream = transform(streams.parquet_stream(spark, source, schema))
+        streams.drain(streams.start_to_files(stream, path, progress))
+    return spark.read.schema(stream.schema).parquet(path)
+
+
 def _run_to_memory(df: DataFrame, label: str, mode: str) -> DataFrame:
     """The result table of a stream whose size was checked before."""
     spark = df.sparkSession
@@ -80,14 +112,13 @@ def stream_json_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_category_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Complete mode: the whole result after every batch, read with SQL."""
     _check_few_types(table(spark, sf_dir, "events"))
-    cents = F.sum(minor_units("value"))
     stats = (
         streams.table_stream(spark, sf_dir, "events")
         .groupBy("event_type")
         .agg(
             count_rows().alias("event_count"),
-            major_units(cents).alias("total_value"),
-            F.round(major_units(cents) / count_rows(), 2).alias("avg_value"),
+            exact_sum("value").alias("total_value"),
+            F.round(exact_avg("value"), 2).alias("avg_value"),
         )
     )
     result = _run_to_memory(stats, "category_stats", "complete")
@@ -108,10 +139,33 @@ def _daily(events: DataFrame) -> DataFrame:
 
 @query(WINDOWED)
 def stream_window_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Append mode: a window is written once the watermark has passed its end."""
-    replay = streams.table_stream(spark, sf_dir, "events", max_files_per_trigger=None)
-    daily = _daily(replay)
-    return _run_to_files(daily, "stream-window")
+    """Append mode: a window is written once the watermark has passed its end.
+
+    The events come in the order of time, in four loads or more.
+    """
+    events = table(spark, sf_dir, "events")
+    loads = max(4, events.count() // SLICE_ROWS)
+    return _replayed(_arrivals(events, loads), loads, _daily, "stream-window")
+
+
+@query("""
+    WITH ends AS (SELECT MIN(epoch_us(ts)) AS first, MAX(epoch_us(ts)) AS last FROM events),
+    sliced AS (SELECT *, (epoch_us(ts) - first) * 4 // (last - first + 1) AS slice FROM events, ends),
+    arrived AS (
+        SELECT event_type, ts, date_trunc('day', ts)::TIMESTAMP AS window_start,
+               window_start + INTERVAL 1 DAY AS window_end,
+               CASE WHEN slice = 0 AND event_id % 10 = 0 THEN 3 ELSE slice END AS arrival
+        FROM sliced)
+    SELECT window_start, window_end, event_type, COUNT(*) AS event_count FROM arrived
+    WHERE window_end <= (SELECT MAX(ts) FROM arrived) - INTERVAL 1 HOUR
+      AND NOT (arrival = 3 AND window_end <= (SELECT MAX(ts) FROM arrived WHERE arrival < 3) - INTERVAL 1 HOUR)
+    GROUP BY window_start, window_end, event_type""")
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In four loads, of which the last brings a tenth of the first: too late for windows already written."""
+    events = _arrivals(table(spark, sf_dir, "events"), 4)
+    is_late = (F.col("arrival") == 0) & (F.col("event_id") % 10 == 0)
+    arriving = events.withColumn("arrival", F.when(is_late, 3).otherwise(F.col("arrival")))
+    return _replayed(arriving, 4, _daily, "stream-late")
 
 
 @query(TYPE_COUNTS)

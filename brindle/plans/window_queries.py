@@ -100,7 +100,7 @@ RUNNING_TOTAL = """
 
 
 def _running_total(df: DataFrame, keys: list[str], **options: int) -> DataFrame:
-    cents = df.withColumn("cents", minor_units("o_totalprice"))
+    cents = df.withColumn("cents", minor_units("o_totalprice").cast("decimal(19,0)"))
     summed = windows.running_sum(cents, keys, BY_DATE, "cents", "total", **options)
     return summed.select(*keys, "o_orderkey", major_units(F.col("total")).alias("running_total"))
 

@@ -30,8 +30,6 @@ SIZES = {
     "very_large": {"users": 1_000_000, "products": 500_000, "orders": 10_000_000},
 }
 
-_INT_MAX = 2**31 - 1
-
 
 class _Fields:
     """Draws for one table: ``field`` keeps the columns of a row independent."""
@@ -65,11 +63,6 @@ class _Fields:
         return F.lpad(top, length, "0")
 
 
-def _key(count: int, column: Column) -> Column:
-    """Keys are 32-bit, and 64-bit only where the table needs it."""
-    return column.cast("int" if count <= _INT_MAX else "bigint")
-
-
 def _ids(spark: SparkSession, count: int) -> DataFrame:
     partitions = partitions_for(spark, count)
     return spark.range(1, count + 1, 1, *partitions)
@@ -77,10 +70,15 @@ def _ids(spark: SparkSession, count: int) -> DataFrame:
 
 def users(spark: SparkSession, count: int, seed: int = 42) -> DataFrame:
     """user_id, username, email, age, country, registration_date, is_active."""
+    return users_of(_ids(spark, count), seed)
+
+
+def users_of(ids: DataFrame, seed: int = 42) -> DataFrame:
+    """A user for each value of the column ``id``."""
     draw = _Fields(seed, "users")
     username = F.concat(F.lit("user_"), draw.text("name", 8))
-    return _ids(spark, count).select(
-        _key(count, F.col("id")).alias("user_id"),
+    return ids.select(
+        F.col("id").alias("user_id"),
         username.alias("username"),
         F.concat(username, F.lit("@example.com")).alias("email"),
         draw.integer("age", 18, 75).alias("age"),
@@ -92,9 +90,14 @@ def users(spark: SparkSession, count: int, seed: int = 42) -> DataFrame:
 
 def products(spark: SparkSession, count: int, seed: int = 42) -> DataFrame:
     """product_id, product_name, category, price, stock_quantity, rating, brand."""
+    return products_of(_ids(spark, count), seed)
+
+
+def products_of(ids: DataFrame, seed: int = 42) -> DataFrame:
+    """A product for each value of the column ``id``."""
     draw = _Fields(seed, "products")
-    return _ids(spark, count).select(
-        _key(count, F.col("id")).alias("product_id"),
+    return ids.select(
+        F.col("id").alias("product_id"),
         F.concat(F.lit("Product_"), draw.text("name", 6)).alias("product_name"),
         draw.choice("category", CATEGORIES).alias("category"),
         draw.decimal("price", 10, 1000, 2).alias("price"),
@@ -109,11 +112,21 @@ def orders(
 ) -> DataFrame:
     """order_id (unique), user_id, product_id, quantity, total_amount, order_date, status."""
     draw = _Fields(seed, "orders")
+    ids = _ids(spark, count)
+    keyed = ids.withColumns(
+        {"user_id": draw.number("user", 1, user_count), "product_id": draw.number("product", 1, product_count)}
+    )
+    return orders_of(keyed, seed)
+
+
+def orders_of(ids: DataFrame, seed: int = 42) -> DataFrame:
+    """An order for each value of the column ``id``, with the ``user_id`` and ``product_id`` beside it."""
+    draw = _Fields(seed, "orders")
     number = F.lpad(F.conv(F.col("id").cast("string"), 10, 36), 10, "0")
-    return _ids(spark, count).select(
+    return ids.select(
         F.concat(F.lit("ORD-"), number).alias("order_id"),
-        _key(user_count, draw.number("user", 1, user_count)).alias("user_id"),
-        _key(product_count, draw.number("product", 1, product_count)).alias("product_id"),
+        "user_id",
+        "product_id",
         draw.integer("quantity", 1, 10).alias("quantity"),
         draw.decimal("amount", 20, 5000, 2).alias("total_amount"),
         draw.date("ordered", "2022-01-01", "2024-12-31").alias("order_date"),

@@ -46,8 +46,8 @@ def table_stream(
 ) -> DataFrame:
     """A Parquet table of a data directory replayed as a stream.
 
-    Files come in no order of event time. Where a watermark would take the later
-    batches for late, ``max_files_per_trigger=None`` replays the table as one batch.
+    Files come in no order of event time: where a watermark would take the later
+    batches for late, deal the events into loads by time first.
     The file source refuses a path that is a file; as a glob it takes a
     file and a directory of files alike.
     """

@@ -114,12 +114,6 @@ def broadcast_within(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataF
 
 
 def summary(df: DataFrame, label: str, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """The result of a small aggregate, computed once.
-
-    Up to ``max_rows`` rows it is held with the plan and broadcast where it is
-    joined; beyond that it is a written table, joined by shuffling.
-    """
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows or rows.nbytes > MAX_BROADCAST_BYTES:
-        return materialize(df, label)
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    """The result of a small aggregate, written once, and broadcast where it is
+    joined if the written table's rows and bytes allow; beyond that it is shuffled."""
+    return broadcast_within(materialize(df, label), max_rows)

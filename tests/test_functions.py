@@ -113,3 +113,15 @@ def test_approximate_distinct(spark):
 def test_grouped_aggregates_combine_before_the_shuffle(spark):
     plan = plan_text(spark.range(10).groupBy((F.col("id") % 2).alias("k")).agg(F.sum("id")))
     assert "partial_sum" in plan or plan.count("HashAggregate") >= 2
+
+
+def test_exact_sums_beyond_a_long(spark):
+    """Ten times 10^16 cents, and sums above 2^53 cents, as a wide DECIMAL gives them."""
+    large = spark.range(10).select(F.lit(1e14).alias("v"))
+    assert large.agg(exact_sum("v")).first()[0] == 1e15
+    huge = spark.range(2000).select(F.lit(9e13).alias("v"))
+    assert huge.agg(exact_sum("v")).first()[0] == 1.8e17
+    mixed = spark.range(999).select(((F.col("id") - 400) * 987654321.37).alias("v"))
+    mixed = mixed.select(F.round("v", 2).alias("v"))
+    row = mixed.agg(exact_sum("v"), F.sum(F.col("v").cast("decimal(38,2)")).cast("double")).first()
+    assert row[0] == row[1]

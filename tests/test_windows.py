@@ -4,8 +4,11 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from brindle.operators import windows
 from brindle.operators.layout import plan_text
+from brindle.plans import QUERIES
 
 # Toy rows with known answers.
 SALES = [
@@ -205,3 +208,32 @@ def test_split_windows_get_partitions_for_their_rows(skewed, monkeypatch):
     assert "hashpartitioning(_chunk" in plan and ", 30)" in plan
     assert plan.count("Exchange hashpartitioning") <= 2
     assert sorted(map(repr, split.collect())) == sorted(map(repr, whole.collect()))
+
+
+def test_identical_rows_are_spread_over_segments(spark, monkeypatch):
+    laid = {}
+    written = windows.materialize
+    monkeypatch.setattr(windows, "materialize", lambda df, label: laid.setdefault(label, written(df, label)))
+    rows = spark.range(40_000).select((F.col("id") % 2).alias("v"))
+    done = windows.positions(rows, [], ["v"], "n", 40_000, 5_000)
+    assert done.select("n").distinct().count() == 40_000
+    segments = [r["count"] for r in laid["positions"].groupBy("_segment").count().collect()]
+    assert len(segments) >= 8 and max(segments) <= 10_000
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_forced_windows_have_several_segments(spark, sf, monkeypatch):
+    seen = []
+    written = windows.materialize
+
+    def watch(df, label):
+        done = written(df, label)
+        if label == "positions":
+            seen.append(done.select("_segment").distinct().count())
+        return done
+
+    monkeypatch.setattr(windows, "materialize", watch)
+    for name in ("win_row_number_hot_key", "win_rank_hot_key", "win_running_total_hot_key", "win_change_hot_key"):
+        QUERIES[name](spark, f"/root/testdata/{sf}")
+        assert seen and min(seen) >= 4, name
+        seen.clear()
