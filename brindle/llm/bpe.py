@@ -23,6 +23,7 @@ import re
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField
@@ -117,7 +118,8 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
-        self.bytes_of = {rank: token for token, rank in ranks.items()}
+        by_rank = {rank: token for token, rank in ranks.items()}
+        self.vocabulary = pa.array([by_rank.get(rank) for rank in range(max(by_rank) + 1)], pa.binary())
         self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         # one cache; chunks was a second one and stays as its other name
         self.chunks = self.pieces = Recent()
@@ -211,10 +213,20 @@ class Encoder:
         lined = self.db.sql(IN_ORDER).to_arrow_table()
         self.db.unregister("tokens")
         out = [None if x is None else b"" for x in ids]
-        lists = lined["ids"].combine_chunks() if lined.num_rows else None
-        for i, doc in enumerate(lined["doc"].to_pylist()):
-            parts = [self.bytes_of.get(token) for token in lists[i].values.to_numpy().tolist()]
-            out[doc] = None if None in parts else b"".join(parts)
+        for batch in lined.to_batches():
+            docs, lists = batch.columns
+            values = lists.flatten()
+            known = pc.less(values, len(self.vocabulary))
+            # the bytes of all tokens one after the other, those of a document in one stretch
+            parts = self.vocabulary.take(pc.if_else(known, values, None))
+            starts = np.cumsum([0, *pc.list_value_length(lists).to_pylist()])
+            missing = np.flatnonzero(pc.is_null(parts).to_numpy(zero_copy_only=False))
+            unknown = np.searchsorted(missing, starts)
+            _, offsets, data = parts.buffers()
+            at = np.frombuffer(offsets, np.int32)[starts + parts.offset].tolist()
+            raw = memoryview(data or b"")
+            for i, doc in enumerate(docs.to_pylist()):
+                out[doc] = bytes(raw[at[i] : at[i + 1]]) if unknown[i] == unknown[i + 1] else None
         return out
 
 
