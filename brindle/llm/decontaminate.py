@@ -11,6 +11,10 @@ one of eight blocks, and the items are filed under all such block values:
 every fingerprint within the radius is found by an equality join. Survivors are
 verified by the exact similarity.
 
+A document shorter than an item is one window with a length of its own, if it has
+enough shingles to be alike. It needs no fingerprint: it is compared with the
+items that have a shingle it holds among their anchors for this wider bound.
+
 The documents are exploded to shingle hashes once, against the anchors of the
 benchmark, which are broadcast if they are measured to be small. Only matches
 and the windows around them are shuffled.
@@ -109,10 +113,12 @@ def _items(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
 
 
 def _anchors(items: DataFrame) -> DataFrame:
-    """Rows (size, hash, n_words): of each item the shingles, one of which every alike window holds.
+    """Rows (item_id, n_words, size, hash, close): of each item the shingles, one of which every alike window holds.
 
     Alike means sharing c of n shingles with c / (2n - c) >= SIMILARITY, so any
     n - c + 1 occurrences of shingles do; the rarest in the benchmark are taken.
+    A shorter document shares c >= SIMILARITY * n, as c / n is no less than their
+    similarity. ``close`` tells the anchors that windows as long as the item need.
     """
     each = items.select("item_id", "n_words", "size", F.size("hashes").alias("n"), F.posexplode("hashes").alias("place", "hash"))
     often = each.groupBy("size", "hash").agg(F.count("*").alias("often"))
@@ -120,8 +126,14 @@ def _anchors(items: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("often", "hash", "place"))).alias("shingles")
     )
     least = F.ceil(F.col("n") * (2 * SIMILARITY / (1 + SIMILARITY)) - 1e-9)
-    taken = F.slice("shingles", 1, (F.col("n") - least + 1).cast("int"))
-    return ranked.select("n_words", "size", F.explode(taken).alias("s")).select("n_words", "size", "s.hash").distinct()
+    taken = F.slice("shingles", 1, (F.col("n") - _least_shorter(F.col("n")) + 1).cast("int"))
+    placed = ranked.select("item_id", "n_words", "size", (F.col("n") - least).alias("last"), F.posexplode(taken).alias("rank", "s"))
+    return placed.groupBy("item_id", "n_words", "size", "s.hash").agg(F.max(F.col("rank") <= F.col("last")).alias("close"))
+
+
+def _least_shorter(n: Column) -> Column:
+    """Shingles that a shorter document must have, and share, to be alike to an item of ``n``."""
+    return F.ceil(n * SIMILARITY - 1e-9)
 
 
 def contaminated(
@@ -137,9 +149,10 @@ def contaminated(
     ``start`` is the window's first word, from 0; of equally similar windows the
     first counts. ``bits`` is the distance of the fingerprints. Texts are
     compared as lower-case words without punctuation. An item of fewer than five
-    words is one shingle; an item without words, and a document that is null or
-    shorter than an item, match nothing. Repeated documents give one row per
-    id and item, repeated items likewise.
+    words is one shingle; an item without words, and a document that is null,
+    match nothing. A document shorter than an item is one window, with its own
+    ``n_words``. Repeated documents give one row per id and item, repeated items
+    likewise.
     """
     items = workspace.materialize(_items(benchmark, item_id, item_text), "items")
     anchors = workspace.materialize(_anchors(items), "anchors")
@@ -169,12 +182,18 @@ def _search(documents: DataFrame, items: DataFrame, anchors: DataFrame, size: in
     # A document is known by its id and its shingles, as ids may repeat.
     rows = rows.select("doc_id", "length", F.xxhash64("hashes").alias("key"), "hashes")
 
+    sought = anchors.groupBy("hash", "n_words").agg(F.max("close").alias("close"))
+    sought = workspace.materialize(sought, "sought")
+    shorter = F.col("length") < F.col("n_words")
+    enough = F.col("length") - (size - 1) >= _least_shorter(F.col("n_words") - (size - 1))
     hits = (
         rows.select("doc_id", "key", "length", F.posexplode_outer("hashes").alias("pos", "hash"))
-        .join(workspace.broadcast_within(anchors.select("hash", "n_words")), "hash")
-        .where(F.col("length") >= F.col("n_words"))
+        .join(workspace.broadcast_within(sought), "hash")
+        .where(F.when(shorter, enough).otherwise(F.col("close")))
+        .select("doc_id", "key", "length", "n_words", "pos", "hash")
     )
-    windows = hits.select(
+    hits = workspace.materialize(hits, "hits")
+    windows = hits.where(~shorter).select(
         "doc_id",
         "key",
         "n_words",
@@ -186,10 +205,17 @@ def _search(documents: DataFrame, items: DataFrame, anchors: DataFrame, size: in
         ).alias("start"),
     ).distinct()
     windows = workspace.materialize(windows, "windows")
+    short = (
+        hits.where(shorter)
+        .join(workspace.broadcast_within(anchors.select("item_id", "n_words", "hash")), ["n_words", "hash"])
+        .select("doc_id", "key", "length", "item_id", F.col("n_words").alias("item_words"))
+        .distinct()
+    )
+    short = workspace.materialize(short, "short-documents")
     wanted = windows.groupBy("doc_id", "key").agg(F.collect_list(F.struct("start", "n_words")).alias("windows"))
 
     # again the documents, now only those with windows
-    ids = workspace.materialize(wanted.select("doc_id").distinct(), "ids")
+    ids = workspace.materialize(wanted.select("doc_id").unionByName(short.select("doc_id")).distinct(), "ids")
     some = documents.join(workspace.broadcast_within(ids.select(F.col("doc_id").alias("wanted_id"))), col(doc_id).eqNullSafe(F.col("wanted_id")), "left_semi")
     some = some.select(col(doc_id).alias("doc_id"), words(col(text)).alias("words"))
     some = some.select("doc_id", shingle_hashes(F.col("words"), size).alias("hashes"))
@@ -240,9 +266,23 @@ def _search(documents: DataFrame, items: DataFrame, anchors: DataFrame, size: in
     ]
     first = reduce(lambda rest, b: F.when(agreed[b], b).otherwise(rest), reversed(range(BLOCKS)), F.lit(-1))
     near = near.where(F.col("block") == first)
-    return near.select("doc_id", "item_id", "start", "n_words", "bits", similarity(F.col("own"), F.col("hashes")).alias("similarity")).where(
-        F.col("similarity") >= SIMILARITY
+    near = near.select("doc_id", "item_id", "start", "n_words", "bits", similarity(F.col("own"), F.col("hashes")).alias("similarity"))
+
+    known = short.alias("d").join(
+        some.alias("s"), F.col("s.doc_id").eqNullSafe(F.col("d.doc_id")) & (F.col("s.key") == F.col("d.key"))
+    ).select("d.doc_id", "length", "item_id", "item_words", F.col("hashes").alias("own"))
+    pairs = known.alias("d").join(
+        items.alias("i"), F.col("i.item_id").eqNullSafe(F.col("d.item_id")) & (F.col("i.n_words") == F.col("d.item_words"))
+    ).select("doc_id", "d.item_id", "length", "own", "hashes", similarity(F.col("own"), F.col("hashes")).alias("similarity"))
+    whole = pairs.where(F.col("similarity") >= SIMILARITY).select(
+        "doc_id",
+        "item_id",
+        F.lit(0).alias("start"),
+        F.col("length").alias("n_words"),
+        F.bit_count(fingerprint(F.col("own")).bitwiseXOR(fingerprint(F.col("hashes")))).alias("bits"),
+        "similarity",
     )
+    return near.where(F.col("similarity") >= SIMILARITY).unionByName(whole)
 
 
 def similarity(a: Column, b: Column) -> Column:

@@ -131,6 +131,34 @@ def test_decontamination(spark):
     assert len(got) == len(expected) and max(r["bits"] for r in got) > 0
 
 
+def test_documents_shorter_than_an_item(spark):
+    items = [(i, prose(2000 + i, n)) for i, n in enumerate([40, 9, 14, 60, 4, 8, 25])] + [(50, " ".join(["again"] * 30))]
+    docs = []
+    for item_id, item in items:
+        words = item.split()
+        for cut in range(1, len(words)):
+            docs += [(100 * item_id + cut, " ".join(words[:-cut])), (10_000 + 100 * item_id + cut, " ".join(words[cut:]))]
+        if len(words) > 13:
+            docs.append((20_000 + item_id, " ".join([*words[:12], "changed", *words[13:-1]])))
+    docs.append((None, " ".join(items[0][1].split()[:-1])))
+    expected = {}
+    for doc_id, text in docs:
+        have = text.split()
+        for item_id, item in items:
+            own = item.split()
+            if len(have) < len(own) and (k := min(5, len(own))) <= len(have):
+                a, b = (Counter(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) for w in (have, own))
+                similar = (a & b).total() / (a | b).total()
+                if similar >= 0.8:
+                    expected[doc_id, item_id] = (pytest.approx(similar), 0, len(have))
+    got = decontaminate.contaminated(
+        spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    ).collect()
+    short = {(r["doc_id"], r["item_id"]): (r["similarity"], r["start"], r["n_words"]) for r in got}
+    assert expected[1, 0] == (35 / 36, 0, 39) and (None, 0) in expected and (101, 1) in expected
+    assert len(got) == len(short) and short == expected
+
+
 def test_decontamination_of_nothing(spark):
     none = spark.createDataFrame([], "doc_id bigint, text string")
     items = spark.createDataFrame([], "item_id bigint, text string")
