@@ -25,7 +25,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from brindle import workspace
 from brindle.llm.components import least_reachable
-from brindle.llm.tasks import append_columns, col, in_tasks
+from brindle.llm.tasks import append_columns, col, in_tasks, row_key
 
 WORDS = 4
 SEED = 42
@@ -208,9 +208,19 @@ def near_duplicates(
     other. Repeated rows are returned as often as they occur. A null id is no
     candidate for the least; a component of null ids only has a null id.
     """
-    spark = df.sparkSession
     rows = fingerprint(df.select(col(doc_id).alias("doc_id"), col(text).alias("text")), "text", words)
     rows = workspace.materialize(rows.select("doc_id", "simhash"), "simhash")
+    component = _components(rows, max_bits).select("simhash", F.col("least").alias("component_id"))
+    return rows.join(component, "simhash").select(
+        F.col("doc_id").alias(doc_id),
+        F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
+
+
+def _components(rows: DataFrame, max_bits: int) -> DataFrame:
+    """Rows (simhash, least): each fingerprint of ``rows`` with the least ``doc_id`` of its component."""
+    spark = rows.sparkSession
     prints = workspace.materialize(rows.groupBy("simhash").agg(F.min("doc_id").alias("least")), "prints")
     masks = _masks(prints.count(), max_bits)
     cells = _cells(prints, masks)
@@ -226,29 +236,31 @@ def near_duplicates(
         "simhash", "least", F.coalesce("root", "simhash").alias("root")
     )
     grouped = workspace.materialize(grouped, "rooted")
-    least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    component = workspace.materialize(grouped.join(least, "root").select("simhash", "component_id"), "components")
-    return rows.join(component, "simhash").select(
-        F.col("doc_id").alias(doc_id),
-        F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"),
-        "component_id",
-    )
+    least = grouped.groupBy("root").agg(F.min("least").alias("least"))
+    return workspace.materialize(grouped.select("simhash", "root").join(least, "root").select("simhash", "least"), "components")
 
 
 def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """``df`` with one row of each component: that of the least id.
+    """``df`` with one row of each component: that of the least id, and of its texts the least by a hash.
 
-    Rows that share an id are told apart by their text; of wholly repeated rows
-    one stays. Rows with a null id stay only if their component has no other.
+    Rows that share an id, or have none, are told apart by their text; of rows
+    alike in both one stays. A row with a null id stays only if its component
+    has no other.
     """
-    found = workspace.materialize(near_duplicates(df, doc_id, text, words, max_bits), "near-duplicates")
-    gone = found.where(~F.col(doc_id).eqNullSafe(F.col("component_id"))).select(col(doc_id).alias("gone")).distinct()
-    kept = df.join(workspace.broadcast_within(gone), col(doc_id).eqNullSafe(F.col("gone")), "left_anti")
-    ids = found.where(F.col(doc_id).eqNullSafe(F.col("component_id"))).select(col(doc_id).alias("id"))
-    twice = workspace.materialize(ids.groupBy("id").count().where("count > 1").select("id"), "repeated-ids")
+    # ids in their order, null ones last, and the keys of the rows
+    known = F.struct(col(doc_id).isNull().alias("unknown"), col(doc_id).alias("id"), row_key(doc_id, text).alias("key"))
+    rows = fingerprint(df.select(known.alias("doc_id"), col(text).alias("text")), "text", words)
+    rows = workspace.materialize(rows.select("doc_id", "simhash"), "simhash")
+    found = rows.join(_components(rows, max_bits), "simhash")
+    found = workspace.materialize(found.select(F.col("doc_id.key").alias("key"), F.col("least.key").alias("stays")), "near-duplicates")
+    gone = workspace.materialize(found.where("key <> stays").select("key").distinct(), "gone")
+    gone = workspace.broadcast_within(gone)
+    kept = df.join(gone, row_key(doc_id, text) == gone["key"], "left_anti")
+    twice = found.where("key = stays").groupBy("key").count().where("count > 1").select("key")
+    twice = workspace.materialize(twice, "repeated-rows")
     if twice.isEmpty():
         return kept
     shared = workspace.broadcast_within(twice)
-    once = kept.join(shared, col(doc_id).eqNullSafe(F.col("id")), "left_anti")
-    one = kept.join(shared, col(doc_id).eqNullSafe(F.col("id")), "left_semi")
-    return once.unionByName(one.dropDuplicates([doc_id]))
+    once = kept.join(shared, row_key(doc_id, text) == shared["key"], "left_anti")
+    one = kept.join(shared, row_key(doc_id, text) == shared["key"], "left_semi")
+    return once.unionByName(one.dropDuplicates([doc_id, text]))

@@ -30,6 +30,11 @@ def without(df: DataFrame, names: list[str]) -> list[str]:
     return [c for c in df.columns if c.lower() not in taken]
 
 
+def row_key(doc_id: str, text: str) -> Column:
+    """A key of a row's id and text, which tells null and repeated ids apart by their text; never null."""
+    return F.concat_ws(":", F.coalesce(F.md5(col(text).cast("binary")), F.lit("")), col(doc_id).cast("string"))
+
+
 def in_tasks(function: Callable, **options) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """``function(batches, **options)`` looked up by name where it runs.
 

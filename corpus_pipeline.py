@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from brindle import workspace
 from brindle.llm import bpe, decontaminate, langid, secret_scan, simhash
+from brindle.llm.tasks import row_key
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -29,9 +30,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage alike to a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.contaminated(docs, benchmark).select(F.col("doc_id").alias("leaking")).distinct()
+    key = row_key("doc_id", "text")
+    keyed = docs.select(key.alias("row_key"), "text")
+    found = decontaminate.contaminated(keyed, benchmark, "row_key").select(F.col("row_key").alias("leaking")).distinct()
     found = workspace.broadcast_within(workspace.materialize(found, "leaking"))
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("leaking")), "left_anti").select(*COLUMNS)
+    return docs.join(found, key == F.col("leaking"), "left_anti").select(*COLUMNS)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -51,6 +51,14 @@ def merged(spans):
     return out
 
 
+def test_a_leak_takes_no_other_row_of_its_id(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 200").first()["text"]
+    rows = [(i, t, "en", "s", 1) for i, t in [(None, item), (None, "a clean text"), (1, item), (1, "another"), (None, None)]]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = corpus_pipeline.decontaminated(spark, docs, SF).collect()
+    assert {(r["doc_id"], r["text"]) for r in kept} == {(None, "a clean text"), (1, "another"), (None, None)} and len(kept) == 3
+
+
 def test_stages_return_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES[:-1]:

@@ -83,6 +83,17 @@ def test_repeated_ids_stay_once(spark):
     assert sorted(r["doc_id"] for r in kept) == [1, 2]
 
 
+def test_null_and_repeated_ids_lose_no_text(spark):
+    a, b, c, d, e = (prose(3000 + i, 60) for i in range(5))
+    rows = [(1, a), (None, a), (None, b), (None, c), (None, c), (2, d), (2, e), (2, e), (3, e), (5, b + " "), (6, None), (None, None)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, key string")
+    kept = simhash.keep_one(df).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in kept) == Counter([(1, a), (5, b + " "), (None, c), (2, d), (2, e), (6, None)])
+    # one of the rows of a component without an id
+    kept = simhash.keep_one(spark.createDataFrame([(None, a), (None, a.upper()), (None, d)], "doc_id bigint, text string")).collect()
+    assert len(kept) == 2 and (None, d) in {tuple(r) for r in kept}
+
+
 def test_masks_leave_out_no_link():
     draw = random.Random(5)
     for n in (10, 10**6, 10**8, 10**10):
