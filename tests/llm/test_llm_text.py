@@ -176,6 +176,22 @@ def test_secret_spans(spark):
     assert any(s["kind"] == 4 for r in out for s in r["secrets"]) and any(s["kind"] == 3 for r in out for s in r["secrets"])
 
 
+def test_random_strings_of_each_class_are_found(spark):
+    draw = random.Random(8)
+    base32, base36 = "abcdefghijklmnopqrstuvwxyz234567", "0123456789abcdefghijklmnopqrstuvwxyz"
+    classes = {"hex": base36[:16], "base32": base32.upper(), "base36": base36, "base62": base36 + base32[:26].upper(), "key": base36}
+    rows = []
+    for name, letters in classes.items():
+        for width in (20, 24, 32):
+            made = ("".join(draw.choices(letters, k=width)) for _ in range(700))
+            made = [m for m in made if re.search("[0-9]", m) and re.search("[A-Za-z]", m) and not re.search(secret_scan.ALLOWED[3], m)][:600]
+            rows += [(name, width, f"see {'A-key_of=' if name == 'key' else ''}{m} there") for m in made]
+    found = secret_scan.scan(spark.createDataFrame(rows, "name string, width int, text string"))
+    missed = found.groupBy("name", "width").agg(F.avg((F.size("secrets") == 0).cast("int")).alias("share")).collect()
+    assert len(missed) == 3 * len(classes) and max(r["share"] for r in missed) < 0.06, missed
+    assert {r["name"] for r in found.where(F.exists("secrets", lambda s: s["kind"] == 5)).select("name").collect()} == {"base32", "base36"}
+
+
 def test_redaction(spark):
     df = secret_scan.scan(spark.createDataFrame([(t,) for t in SECRETS], "text string"))
     for r in df.select("text", "secrets", secret_scan.redacted(F.col("text"), F.col("secrets")).alias("clean")).collect():
