@@ -6,7 +6,8 @@ and a digit. A fold over a candidate's characters holds the count of each
 character in the window and the sum of c log2 c over them; the character that
 enters and the one that leaves change two counts. The entropy of every window
 follows from that sum. What windows above the threshold of their character
-class cover is a span, unless the candidate is of an allowed shape. A candidate
+class cover is a span, unless the candidate is of an allowed shape; windows that
+touch a placeholder do not count. A candidate
 is hexadecimal as a whole; in others a window of digits and letters of one case
 has a lower threshold than one of both cases or with signs.
 """
@@ -14,6 +15,7 @@ has a lower threshold than one of both cases or with signs.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,7 +46,8 @@ SINGLE_CLASS = r"^(?:[a-z0-9]+|[A-Z0-9]+)=*$"
 # more, 1.9 % over 32, 0.9 % over 36 and 3.9 % over 62 (60,000 windows each).
 THRESHOLD = {"entropy_hex": 3.0, "entropy_mixed": 3.75, "entropy_single": 3.4}
 
-# Shapes that are no secrets: UUIDs, paths, slugs, alphabets and placeholders.
+# No secrets: candidates that are UUIDs, paths and slugs, and, within candidates,
+# alphabets and placeholders.
 ALLOWED = (
     r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$",
     r"^/?[a-z0-9_-]{1,16}(/[a-z0-9_-]{1,16}){2,}/?$",
@@ -52,8 +55,15 @@ ALLOWED = (
     r"(?i)0123456789|abcdefghij|example|sample|placeholder|changeme|xxxx",
 )
 
-# Codes of the candidates' characters run from "+" to "z".
-FIRST_CODE, CODES = 43, 80
+# What a placeholder's characters are replaced by, each of them.
+MASK = "*"
+MASKED = {
+    **{f"(?i){word}": MASK * len(word) for word in ("0123456789", "abcdefghij", "example", "sample", "placeholder", "changeme")},
+    "(?i)x(?=x{3})|(?<=x)x(?=x{2})|(?<=x{2})x(?=x)|(?<=x{3})x": MASK,
+}
+
+# Codes of the candidates' characters run from "+" to "z", after that of the mask.
+FIRST_CODE, CODES = 42, 81
 DIGIT_CODES, UPPER_CODES, LOWER_CODES = ((ord(a) - FIRST_CODE, ord(b) - FIRST_CODE) for a, b in ("09", "AZ", "az"))
 
 # Spans are laid out so many at a time, which keeps the cost of long lists linear.
@@ -100,8 +110,12 @@ def _entropy(candidate: Column) -> Column:
     """
     c_log_c = F.array(*(F.lit(c * math.log2(c) if c else 0.0) for c in range(WINDOW + 1)))
     hexadecimal = candidate["text"].rlike(HEX_CLASS)
+    masked = F.when(
+        candidate["text"].rlike(ALLOWED[3]),
+        reduce(lambda text, p: F.regexp_replace(text, p, MASKED[p]), MASKED, candidate["text"]),
+    ).otherwise(candidate["text"])
     codes = F.transform(
-        F.slice(F.split(candidate["text"], ""), 1, F.length(candidate["text"])), lambda ch: F.ascii(ch) - FIRST_CODE
+        F.slice(F.split(masked, ""), 1, F.length(candidate["text"])), lambda ch: F.ascii(ch) - FIRST_CODE
     )
 
     def fold(codes: Column) -> Column:
@@ -127,6 +141,7 @@ def _entropy(candidate: Column) -> Column:
                 upper, lower = enters.between(*UPPER_CODES), enters.between(*LOWER_CODES)
                 upper_at, lower_at = latest(upper, "upper"), latest(lower, "lower")
                 sign_at = latest(~(upper | lower | enters.between(*DIGIT_CODES)), "sign")
+                mask_at = latest(enters == ord(MASK) - FIRST_CODE, "mask")
 
                 def note(total: Column) -> Column:
                     single = (F.least(upper_at, lower_at) <= i - WINDOW) & (sign_at <= i - WINDOW)
@@ -135,13 +150,15 @@ def _entropy(candidate: Column) -> Column:
                         .when(single, THRESHOLD["entropy_single"])
                         .otherwise(THRESHOLD["entropy_mixed"])
                     )
-                    high = (i >= WINDOW - 1) & (F.lit(math.log2(WINDOW)) - total / WINDOW > bits)
+                    whole = (i >= WINDOW - 1) & (mask_at <= i - WINDOW)
+                    high = whole & (F.lit(math.log2(WINDOW)) - total / WINDOW > bits)
                     return F.struct(
                         moved.alias("counts"),
                         total.alias("total"),
                         upper_at.alias("upper"),
                         lower_at.alias("lower"),
                         sign_at.alias("sign"),
+                        mask_at.alias("mask"),
                         F.when(high & (state["first"] < 0), i - WINDOW + 1).otherwise(state["first"]).alias("first"),
                         F.when(high, i + 1).otherwise(state["end"]).alias("end"),
                     )
@@ -153,7 +170,7 @@ def _entropy(candidate: Column) -> Column:
         zero = F.struct(
             F.array_repeat(F.lit(0), CODES).alias("counts"),
             F.lit(0.0).alias("total"),
-            *(F.lit(-1).alias(name) for name in ("upper", "lower", "sign")),
+            *(F.lit(-1).alias(name) for name in ("upper", "lower", "sign", "mask")),
             F.lit(-1).alias("first"),
             F.lit(-1).alias("end"),
         )
@@ -210,7 +227,7 @@ def scan(df: DataFrame, text: str = "text", name: str = "secrets") -> DataFrame:
     )
 
     def judged(c: Column) -> Column:
-        allowed = c["text"].rlike("|".join(f"(?:{a})" for a in ALLOWED[1:3])) | c["text"].rlike(ALLOWED[0]) | c["text"].rlike(ALLOWED[3])
+        allowed = c["text"].rlike("|".join(f"(?:{a})" for a in ALLOWED[1:3])) | c["text"].rlike(ALLOWED[0])
         kind = (
             F.when(c["text"].rlike(HEX_CLASS), KINDS.index("entropy_hex"))
             .when(c["text"].rlike(SINGLE_CLASS), KINDS.index("entropy_single"))

@@ -192,6 +192,25 @@ def test_random_strings_of_each_class_are_found(spark):
     assert {r["name"] for r in found.where(F.exists("secrets", lambda s: s["kind"] == 5)).select("name").collect()} == {"base32", "base36"}
 
 
+def test_a_placeholder_hides_only_the_windows_on_it(spark):
+    token = "aG9zdF9rZXk6UjNhbGx5U2VjcmV0VmFsdWU5Qk1p"
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    cases = {
+        f"EXAMPLE_KEY={token}": (0, 52), f"/samples/{token}": (0, 49), f"{token}xXxXx{token}": (0, 85), f"{token}Example": (0, 40),
+        alphabet: None, "your-placeholder-key-goes-here-xxxx1xxxxxx2xxxx": None, "a1example9Zq7Rb3Lk8Wd": None,
+    }
+    out = secret_scan.scan(spark.createDataFrame([(t,) for t in cases], "text string")).collect()
+    for r in out:
+        spans = [(s["start"], s["end"]) for s in r["secrets"] if s["kind"] >= 3]
+        if cases[r["text"]] is None:
+            assert spans == [], r
+        else:
+            assert len(spans) == 1 and spans[0][1] == cases[r["text"]][1], r
+            # no window on the placeholder begins or ends a span
+            where = re.search(secret_scan.ALLOWED[3], r["text"])
+            assert not (where.start() <= spans[0][0] < where.end()), r
+
+
 def test_redaction(spark):
     df = secret_scan.scan(spark.createDataFrame([(t,) for t in SECRETS], "text string"))
     for r in df.select("text", "secrets", secret_scan.redacted(F.col("text"), F.col("secrets")).alias("clean")).collect():
