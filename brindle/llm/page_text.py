@@ -2,9 +2,10 @@
 
 A page is cut into lines at block-level markup. Elements that are navigation,
 notices, forms and the like by their tag, role or class count as one line
-without text, and text in links adds no length. Over the lengths a short window
-slides: where its sum surges the text begins, where it dives to nothing the text
-ends, and all lines between are kept. Pages are independent rows.
+without text. Where no element says that it is the article, text in links adds
+no length. Over the lengths a short window slides: where its sum surges the text
+begins, where it dives to nothing the text ends, and all lines between are kept.
+Pages are independent rows.
 """
 
 from __future__ import annotations
@@ -130,8 +131,8 @@ def _lines(page: str) -> list[tuple[str, int, bool]]:
 def main_text(page: str | None) -> str:
     """The main text of one page; empty for a null, empty or textless page."""
     lines = _lines(page or "")
-    marked = any(inside and length for _, length, inside in lines)
-    lengths = [length if inside or not marked else 0 for _, length, inside in lines]
+    marked = any(inside and text for text, _, inside in lines)
+    lengths = [len(text) * inside if marked else length for text, length, inside in lines]
     sums = [sum(lengths[i : i + WINDOW]) for i in range(len(lines))]
     surge = min(1 if marked else SURGE, max(sums, default=0))
     kept: list[str] = []

@@ -290,6 +290,20 @@ def test_main_text(spark):
     assert len(out) == len(rows)
 
 
+def test_links_of_an_article_are_kept():
+    links = "".join(f"<li><a href=/{k}>Reference {k}</a></li>" for k in range(6))
+    outside = f"<ul>{links}</ul><p>{'Not the article. ' * 9}</p>"
+    named = " ".join(f"Reference {k}" for k in range(6))
+    for body, text in {
+        f"<p>First.</p><ul>{links}</ul><p>Last.</p>": f"First. {named} Last.",
+        "<p>First.</p><p><a href=/>Read on</a></p>": "First. Read on",
+        f"<ul>{links}</ul>": named,
+        f"<p>First.</p>{'<div class=ad>Buy</div>' * 4}<p><a>Read on</a></p>": "First. Read on",
+    }.items():
+        for tag in ("article", "main"):
+            assert page_text.main_text(f"{outside}<{tag}>{body}</{tag}>{outside}") == text
+
+
 def test_pages_give_their_articles(spark):
     got = {r["page_id"]: r["text"] for r in QUERIES["op10_html_extraction"](spark, SF).collect()}
     from html import unescape
