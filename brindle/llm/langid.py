@@ -48,11 +48,11 @@ def letters() -> np.ndarray:
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Buckets of all n-grams, the text each belongs to, and whether each text has a letter.
 
-    Texts are lower-cased, what is not a letter counts as a blank, and an n-gram
-    holds a letter at least.
+    Texts are lower-cased and stand between blanks, what is not a letter counts as
+    a blank, and an n-gram holds a letter at least and lies within one text.
     """
-    gap = " " * max(SIZES)
-    codes = [np.frombuffer((t.lower() + gap).encode("utf-32-le", "replace"), "<u4") for t in texts]
+    gap = " " * (max(SIZES) - 1)
+    codes = [np.frombuffer((gap + t.lower() + gap).encode("utf-32-le", "replace"), "<u4") for t in texts]
     owner = np.repeat(np.arange(len(texts), dtype=np.int32), [len(c) for c in codes])
     flat = np.concatenate(codes) if codes else np.zeros(0, "<u4")
     known = letters()[flat]
@@ -67,8 +67,9 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             h = (h ^ part) * np.uint32(0x9E3779B1)
             h ^= h >> np.uint32(15)
             any_letter |= known[k : len(flat) - n + 1 + k]
-        buckets.append((h & np.uint32(BUCKETS - 1))[any_letter].astype(np.int32))
-        owners.append(owner[: len(h)][any_letter])
+        own = any_letter & (owner[: len(h)] == owner[n - 1 :])
+        buckets.append((h & np.uint32(BUCKETS - 1))[own].astype(np.int32))
+        owners.append(owner[: len(h)][own])
     has_letter = np.zeros(len(texts), bool)
     has_letter[owner[known]] = True
     if not buckets:

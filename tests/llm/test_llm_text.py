@@ -7,6 +7,7 @@ import re
 import struct
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -121,6 +122,27 @@ def test_language_of_held_out_documents(spark):
         assert has_letter or r["score"] == 0
 
 
+def test_grams_are_of_one_text_alone():
+    texts = ["the", "", "a", "der Hund", "?", "x y", "the"]
+    buckets, owners, has_letter = langid.grams(texts)
+    for i, text in enumerate(texts):
+        alone, _, letter = langid.grams([text])
+        assert buckets[owners == i].tolist() == alone.tolist() and has_letter[i] == letter[0]
+    # " t", "th", "he", "e " and "  t", " th", "the", "he ", "e  "
+    assert len(langid.grams(["the"])[0]) == 9 and len(set(langid.grams(["the"])[0])) == 9
+
+
+def test_language_does_not_depend_on_other_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = langid.fit(docs, "text", "lang", "doc_id")
+    words = [w for r in docs.orderBy("doc_id").limit(40).collect() for w in (r["text"] or "").split()[:3]]
+    held = type("Held", (), {"value": model})
+    predict = lambda texts: [c.to_pylist() for c in langid.predict_slice(pa.record_batch([pa.array(texts)], ["text"]), held)]
+    together = predict(words)
+    assert together == [sum(x, []) for x in zip(*(predict([w]) for w in words))]
+    assert together == [x[::-1] for x in predict(words[::-1])]
+
+
 def test_language_without_labels(spark):
     rows = odd_rows(spark).withColumn("lang", F.lit(None).cast("string"))
     model = langid.fit(rows, "text", "lang", "doc_id")
