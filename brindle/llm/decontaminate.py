@@ -109,26 +109,30 @@ def _items(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
         range(1, WORDS),
         shingle_hashes(F.col("words"), WORDS),
     )
-    return split.select("item_id", "n_words", size.alias("size"), hashes.alias("hashes")).distinct()
+    split = split.select("item_id", "n_words", size.alias("size"), hashes.alias("hashes")).distinct()
+    return split.select("*", F.xxhash64("hashes").alias("content"))
 
 
 def _anchors(items: DataFrame) -> DataFrame:
-    """Rows (item_id, n_words, size, hash, close): of each item the shingles, one of which every alike window holds.
+    """Rows (content, n_words, size, hash, close): of each item the shingles, one of which every alike window holds.
+
+    Items are told apart by ``content``, a hash of their shingles, as ids may repeat.
 
     Alike means sharing c of n shingles with c / (2n - c) >= SIMILARITY, so any
     n - c + 1 occurrences of shingles do; the rarest in the benchmark are taken.
     A shorter document shares c >= SIMILARITY * n, as c / n is no less than their
     similarity. ``close`` tells the anchors that windows as long as the item need.
     """
-    each = items.select("item_id", "n_words", "size", F.size("hashes").alias("n"), F.posexplode("hashes").alias("place", "hash"))
+    texts = items.select("content", "n_words", "size", "hashes").distinct()
+    each = texts.select("content", "n_words", "size", F.size("hashes").alias("n"), F.posexplode("hashes").alias("place", "hash"))
     often = each.groupBy("size", "hash").agg(F.count("*").alias("often"))
-    ranked = each.join(often, ["size", "hash"]).groupBy("item_id", "n_words", "size", "n").agg(
+    ranked = each.join(often, ["size", "hash"]).groupBy("content", "n_words", "size", "n").agg(
         F.array_sort(F.collect_list(F.struct("often", "hash", "place"))).alias("shingles")
     )
     least = F.ceil(F.col("n") * (2 * SIMILARITY / (1 + SIMILARITY)) - 1e-9)
     taken = F.slice("shingles", 1, (F.col("n") - _least_shorter(F.col("n")) + 1).cast("int"))
-    placed = ranked.select("item_id", "n_words", "size", (F.col("n") - least).alias("last"), F.posexplode(taken).alias("rank", "s"))
-    return placed.groupBy("item_id", "n_words", "size", "s.hash").agg(F.max(F.col("rank") <= F.col("last")).alias("close"))
+    placed = ranked.select("content", "n_words", "size", (F.col("n") - least).alias("last"), F.posexplode(taken).alias("rank", "s"))
+    return placed.groupBy("content", "n_words", "size", "s.hash").agg(F.max(F.col("rank") <= F.col("last")).alias("close"))
 
 
 def _least_shorter(n: Column) -> Column:
@@ -207,8 +211,8 @@ def _search(documents: DataFrame, items: DataFrame, anchors: DataFrame, size: in
     windows = workspace.materialize(windows, "windows")
     short = (
         hits.where(shorter)
-        .join(workspace.broadcast_within(anchors.select("item_id", "n_words", "hash")), ["n_words", "hash"])
-        .select("doc_id", "key", "length", "item_id", F.col("n_words").alias("item_words"))
+        .join(workspace.broadcast_within(anchors.select("content", "n_words", "hash")), ["n_words", "hash"])
+        .select("doc_id", "key", "length", "content", F.col("n_words").alias("item_words"))
         .distinct()
     )
     short = workspace.materialize(short, "short-documents")
@@ -270,10 +274,10 @@ def _search(documents: DataFrame, items: DataFrame, anchors: DataFrame, size: in
 
     known = short.alias("d").join(
         some.alias("s"), F.col("s.doc_id").eqNullSafe(F.col("d.doc_id")) & (F.col("s.key") == F.col("d.key"))
-    ).select("d.doc_id", "length", "item_id", "item_words", F.col("hashes").alias("own"))
+    ).select("d.doc_id", "length", "content", "item_words", F.col("hashes").alias("own"))
     pairs = known.alias("d").join(
-        items.alias("i"), F.col("i.item_id").eqNullSafe(F.col("d.item_id")) & (F.col("i.n_words") == F.col("d.item_words"))
-    ).select("doc_id", "d.item_id", "length", "own", "hashes", similarity(F.col("own"), F.col("hashes")).alias("similarity"))
+        items.alias("i"), (F.col("i.content") == F.col("d.content")) & (F.col("i.n_words") == F.col("d.item_words"))
+    ).select("doc_id", "item_id", "length", "own", "hashes", similarity(F.col("own"), F.col("hashes")).alias("similarity"))
     whole = pairs.where(F.col("similarity") >= SIMILARITY).select(
         "doc_id",
         "item_id",

@@ -142,6 +142,18 @@ def test_decontamination(spark):
     assert len(got) == len(expected) and max(r["bits"] for r in got) > 0
 
 
+def test_items_that_share_an_id(spark):
+    items = [(None if i < 12 else 7, prose(4000 + i, 30)) for i in range(24)]
+    docs = []
+    for i, (_, item) in enumerate(items):
+        docs += [(i, f"{prose(i, 9)} {item} {prose(i + 50, 9)}"), (100 + i, " ".join(item.split()[:-2]))]
+    got = decontaminate.contaminated(
+        spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    ).collect()
+    found = Counter((r["doc_id"], r["item_id"]) for r in got)
+    assert found == Counter((d, items[d % 100][0]) for d, _ in docs)
+
+
 def test_documents_shorter_than_an_item(spark):
     items = [(i, prose(2000 + i, n)) for i, n in enumerate([40, 9, 14, 60, 4, 8, 25])] + [(50, " ".join(["again"] * 30))]
     docs = []
