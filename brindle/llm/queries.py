@@ -1,6 +1,6 @@
 """All queries of the subpackage."""
 
-from brindle.llm import table_queries, text_queries  # noqa: F401
+from brindle.llm import manifest_queries, table_queries, text_queries  # noqa: F401
 from brindle.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
