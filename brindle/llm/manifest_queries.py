@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import merkle, negatives
+from brindle.llm import merkle, negatives, packing
 from brindle.llm.registry import query
 
 HARD_NEGATIVES = """
@@ -104,6 +105,14 @@ FROM placed p JOIN groups g ON g.g = p.g
 """
 
 
+@query()
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' tokens in sequences of 2048."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 @query(HARD_NEGATIVES)
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three hard negatives for each of the five best positives of every fiftieth vector."""
