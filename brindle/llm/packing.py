@@ -18,49 +18,80 @@ through the driver; both are bounded by the window.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, StructField
 from tokenizers import Tokenizer
 
 from brindle import workspace
-from brindle.llm.bpe import CHUNK, WHITE
 from brindle.llm.tasks import append_columns, col, in_tasks, slices, without
 
 WINDOW = 2_048
 
 # Text that is tokenized at a time, and what the tokenizer gets of it in one call.
-SLICE_BYTES, CALL_BYTES = 1 << 20, 1 << 18
+SLICE_BYTES, CALL_BYTES = 4 << 20, 1 << 18
 
-# Code points of a text that are cut into chunks at a time.
-SECTION = 1 << 20
+# Bytes of texts that are cut into chunks at a time.
+SECTION = 2 << 20
 
-# White space and what follows it, and where something is followed by white space.
-INNER = re.compile(f"[{WHITE}]+[^{WHITE}]+")
-BOUNDARY = re.compile(f"[^{WHITE}](?=[{WHITE}])")
+# By byte: white space, letters, and marks that end a run of letters (not the apostrophe).
+ASCII_WHITE, LETTER, MARK = (np.isin(np.arange(256), list(x)) for x in (b"\t\n\x0b\x0c\r ", bytes(range(65, 91)) + bytes(range(97, 123)), b".,;:!?"))
 
-# Chunks' ids a worker remembers, in bytes with their overhead.
-CACHE_BYTES, ENTRY_BYTES, LONGEST_CACHED = 96 << 20, 220, 64
+# Chunks' ids a worker remembers, in bytes with their overhead, and the bytes of a short one.
+CACHE_BYTES, ENTRY_BYTES, SHORT = 128 << 20, 200, 7
 
 ROUNDS, STEPS = 6, 300
 
 OUTPUTS = ["text_key", "doc_tokens", "start", "length", "sequence_id", "offset", "ids_crc32"]
 
 
-class Chunks:
-    """A tokenizer that encodes each distinct chunk of white space and what follows once.
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of all texts one after the other, and where each begins; null texts are empty."""
+    column = pc.fill_null(column.cast(pa.binary()), b"")
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    flat = np.frombuffer(data or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return flat, offsets - offsets[0]
+
+
+def _ends_white(b: np.ndarray) -> np.ndarray:
+    """Where UTF-8 white space ends."""
+    two, three = np.roll(b, 1), np.roll(b, 2)
+    out = ASCII_WHITE[b]
+    out |= (two == 0xC2) & ((b == 0xA0) | (b == 0x85))
+    general = (three == 0xE2) & (two == 0x80) & ((b <= 0x8A) | (b == 0xA8) | (b == 0xA9) | (b == 0xAF)) & (b >= 0x80)
+    other = ((three == 0xE1) & (two == 0x9A) | (three == 0xE3) & (two == 0x80)) & (b == 0x80)
+    return out | general | other | (three == 0xE2) & (two == 0x81) & (b == 0x9F)
+
 
-    White space after something else is a boundary of the tokenizer's pieces, so
-    texts are cut there: the ids of a text are those of its chunks.
+def cuts(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where chunks begin: each text, white space after something else, and a mark after a letter.
+
+    These are boundaries of the tokenizer's pieces wherever they stand, as a run of
+    letters ends at a mark (other than an apostrophe) and pieces hold white space in front only.
     """
+    begins = np.zeros(len(flat), bool)
+    begins[offsets[:-1][np.diff(offsets) > 0]] = True
+    for start in range(0, len(flat), SECTION):
+        back = min(start, 4)
+        b = flat[start - back : start + SECTION]
+        white = _ends_white(b)
+        cut = ASCII_WHITE[b[1:]] & ~white[:-1] | LETTER[b[:-1]] & MARK[b[1:]]
+        # a cut is made by the byte after it and those before
+        skip = max(back - 1, 0)
+        begins[start - back + 1 + skip : start + SECTION] |= cut[skip:]
+    return np.flatnonzero(begins)
+
+
+class Chunks:
+    """A tokenizer that encodes each distinct chunk of texts once; their ids are those of their chunks."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
@@ -68,59 +99,73 @@ class Chunks:
         # byte-level tokens spell each byte as one character; added tokens are spelt in UTF-8
         sizes |= {i: len(t.content.encode()) for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.sizes = np.array([sizes.get(i, 0) for i in range(max(sizes) + 1)])
-        self.known: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
         self.held = 0
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
-        """Ids of chunks that begin with white space and go on, many to a call: where they meet is a boundary too."""
-        out, start, held = {}, 0, 0
+    def _learn(self, chunks: list[bytes]) -> None:
+        """Encode chunks that begin with white space and do not end with it, many to a call: they meet at boundaries."""
+        start, held = 0, 0
         for i, chunk in enumerate(chunks):
             held += len(chunk)
             if held < CALL_BYTES and i + 1 < len(chunks):
                 continue
             part = chunks[start : i + 1]
-            ids = np.frombuffer(self._encode(["".join(part)])[0], "<u4")
-            ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(c.encode()) for c in part])) + 1
-            raw = ids.tobytes()
-            bounds = [0, *(ends * 4).tolist()]
-            out.update(zip(part, (raw[a:b] for a, b in zip(bounds, bounds[1:]))))
+            raw = self._encode([b"".join(part).decode()])[0]
+            ends = np.cumsum(self.sizes[np.frombuffer(raw, "<u4")])
+            bounds = [0, *((np.searchsorted(ends, np.cumsum(list(map(len, part)))) + 1) * 4).tolist()]
+            self.known.update(zip(part, [raw[a:b] for a, b in zip(bounds, bounds[1:])]))
             start, held = i + 1, 0
-        return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _forget(self, fresh: list[bytes]) -> None:
+        """Bound what is remembered; a token is rarely shorter than its four bytes of id."""
+        self.held += ENTRY_BYTES * len(fresh) + 5 * sum(map(len, fresh))
+        if self.held > CACHE_BYTES:
+            # the frequent ones are short
+            self.known = {c: x for c, x in self.known.items() if len(c) <= SHORT}
+            self.held = (ENTRY_BYTES + 5 * SHORT) * len(self.known)
+            if self.held > CACHE_BYTES // 2:
+                self.known, self.held = {}, 0
+
+    def _group(self, flat: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of consecutive chunks, and how many each has."""
+        bounds = np.append(starts, len(flat)).astype(np.int32)
+        chunks = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(flat)])
+        coded = chunks.dictionary_encode()
+        values, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        fresh = [c for c in values if c not in self.known]
+        inner, outer = [], []
+        for c in fresh:
+            last = c[-1:] if c[-1] < 128 else c.decode()[-1]
+            (inner if ASCII_WHITE[c[0]] and not last.isspace() else outer).append(c)
+        self._learn(inner)
+        self.known.update(zip(outer, self._encode([c.decode() for c in outer])))
+        ids = [self.known[c] for c in values]
+        pool = np.frombuffer(b"".join(ids), "<u4")
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        counts = sizes[codes]
+        first = (np.cumsum(sizes) - sizes)[codes] - (np.cumsum(counts) - counts)
+        self._forget(fresh)
+        return pool[np.arange(counts.sum()) + np.repeat(first, counts)], counts
+
+    def encode(self, column: pa.Array) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers, without special tokens around it."""
-        short = [t for t in texts if len(t) <= SECTION]
-        done = iter(self._encode_short(short))
-        return [next(done) if len(t) <= SECTION else b"".join(self._encode_short([s])[0] for s in sections(t)) for t in texts]
-
-    def _encode_short(self, texts: list[str]) -> list[bytes]:
-        cut = [CHUNK.findall(text) for text in texts]
-        fresh = [c for c in set().union(*cut) if c not in self.known]
-        inner = [c for c in fresh if INNER.fullmatch(c)]
-        outer = [c for c in fresh if not INNER.fullmatch(c)]
-        new = self._learn(inner)
-        new.update(zip(outer, self._encode(outer)))
-        known = self.known
-        out = [b"".join([known.get(c) or new.get(c, b"") for c in chunks]) for chunks in cut]
-        short = {c: x for c, x in new.items() if len(c) <= LONGEST_CACHED}
-        size = sum(len(c) + len(x) + ENTRY_BYTES for c, x in short.items())
-        if self.held + size > CACHE_BYTES:
-            self.known, self.held = {}, 0
-        self.known.update(short)
-        self.held += size
-        return out
-
-
-def sections(text: str) -> Iterator[str]:
-    """``text`` in stretches of about SECTION code points, cut where white space follows something else."""
-    start = 0
-    while (found := BOUNDARY.search(text, start + SECTION)) is not None:
-        yield text[start : found.end()]
-        start = found.end()
-    yield text[start:]
+        flat, offsets = _flat(column)
+        starts = cuts(flat, offsets)
+        tokens, counts, first = [], [np.zeros(1, np.int64)], 0
+        while first < len(starts):
+            end = max(first + 1, int(np.searchsorted(starts, starts[first] + SECTION)))
+            stop = starts[end] if end < len(starts) else len(flat)
+            ids, n = self._group(np.ascontiguousarray(flat[starts[first] : stop]), starts[first:end] - starts[first])
+            tokens.append(ids)
+            counts.append(n)
+            first = end
+        raw = np.concatenate(tokens).tobytes() if tokens else b""
+        through = np.cumsum(np.concatenate(counts))
+        bounds = (through[np.searchsorted(starts, offsets)] * 4).tolist()
+        return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
 
 
 _chunks: dict[str, Chunks] = {}
@@ -134,7 +179,7 @@ def tokenizer(path: str) -> Chunks:
     return _chunks[path]
 
 
-def token_ids(texts: list[str], path: str, end_id: int) -> list[bytes]:
+def token_ids(texts: pa.Array, path: str, end_id: int) -> list[bytes]:
     """The ids of each text and the end mark."""
     end = end_id.to_bytes(4, "little")
     return [ids + end for ids in tokenizer(path).encode(texts)]
@@ -151,7 +196,7 @@ def measure(batches, path: str, end_id: int, window: int):
     width = window * 4
     for batch in batches:
         for part in slices(batch, 1, SLICE_BYTES):
-            ids = token_ids([t or "" for t in part.column(0).to_pylist()], path, end_id)
+            ids = token_ids(part.column(0), path, end_id)
             tokens = [len(x) // 4 for x in ids]
             checks = [[zlib.crc32(x[a : a + width]) for a in range(0, len(x) - width + 1, width)] for x in ids]
             rests = [n % window for n in tokens]
@@ -376,9 +421,8 @@ def _places(measured: DataFrame, found: Plan, n_full: int, window: int) -> DataF
 
 def slice_ids(part: pa.RecordBatch, path: str, end_id: int) -> list[pa.Array]:
     """The ids of the wanted pieces (start, length) of each text, as little-endian unsigned 32-bit integers."""
-    texts = [t or "" for t in part.column(0).to_pylist()]
     out = []
-    for ids, wanted in zip(token_ids(texts, path, end_id), part.column(1).to_pylist()):
+    for ids, wanted in zip(token_ids(part.column(0), path, end_id), part.column(1).to_pylist()):
         out.append([ids[w["start"] * 4 : (w["start"] + w["length"]) * 4] for w in wanted])
     return [pa.array(out, pa.list_(pa.binary()))]
 
