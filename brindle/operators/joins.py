@@ -10,18 +10,20 @@ from __future__ import annotations
 
 import uuid
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from brindle.operators.windows import MAX_GROUP_ROWS, oversized_keys
+from brindle.operators.windows import MAX_GROUP_ROWS
 from brindle.workspace import (
+    MAX_BROADCAST_BYTES,
     MAX_BROADCAST_ROWS,
     broadcast_within,
     fits_broadcast,
     materialize,
+    measured,
     scratch_path,
-    summary,
 )
 
 _LEFT_SALT, _RIGHT_SALT = "_left_salt", "_right_salt"
@@ -87,17 +89,53 @@ def without_match(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     return left.join(keys, F.col(left_key) == F.col("_key"), "left_anti")
 
 
-def _hot_keys(
-    sides: list[DataFrame], rows: list[int], on: str, max_group_rows: int
-) -> DataFrame | None:
-    """Keys with more than ``max_group_rows`` rows on a side, or None."""
-    found = [
-        oversized_keys(side.select(on), [on], max_group_rows, n) for side, n in zip(sides, rows)
-    ]
-    hot = [keys.select(on) for keys in found if keys is not None]
-    if len(hot) < 2:
-        return hot[0] if hot else None
-    return summary(hot[0].union(hot[1]).distinct(), "hot-keys")
+# Pairs of one key that one task makes, as a multiple of the rows it may hold.
+PAIRS_PER_ROW = 16
+
+
+class HotKeys(NamedTuple):
+    """Keys with too many rows or pairs for one task, with their rows on both sides and their grid of cells.
+
+    Whether a side has no other keys, and the cells of the key that has most.
+    """
+
+    keys: DataFrame
+    all_left: bool
+    all_right: bool
+    left_cells: int
+    right_cells: int
+
+
+def _hot_keys(left: DataFrame, right: DataFrame, on: str, max_group_rows: int) -> HotKeys | None:
+    """The keys that need cells, or None: one pass over the keys of both sides, combined on the map side.
+
+    A cell has at most ``max_group_rows`` rows of a side and ``PAIRS_PER_ROW`` times as
+    many pairs; the cells of a key are cut so that the fewest copies are made.
+    """
+    most_pairs = max_group_rows * PAIRS_PER_ROW
+    sides = [side.select(on, F.lit(i).alias("_side")) for i, side in enumerate((left, right))]
+    in_left, in_right = (F.count(F.when(F.col("_side") == i, 1)) for i in (0, 1))
+    both = sides[0].union(sides[1]).groupBy(on).agg(in_left.alias("_l"), in_right.alias("_r"))
+    whole = Observation()
+    both = both.observe(whole, F.coalesce(F.sum("_l"), F.lit(0)).alias("left"), F.coalesce(F.sum("_r"), F.lit(0)).alias("right"))
+    pairs = F.col("_l").cast("double") * F.col("_r")
+    hot = both.filter((F.greatest("_l", "_r") > max_group_rows) | (F.col(on).isNotNull() & (pairs > most_pairs)))
+    # left rows are copied to each column of cells, right rows to each row of them
+    cells = F.ceil(pairs / most_pairs)
+    columns = F.greatest(F.ceil(F.sqrt(cells * F.col("_r") / F.col("_l"))), F.ceil(F.col("_r") / max_group_rows))
+    columns = F.least(columns, F.col("_r"))
+    lines = F.least(F.greatest(F.ceil(cells / columns), F.ceil(F.col("_l") / max_group_rows)), F.col("_l"))
+    paired = (F.col("_l") > 0) & (F.col("_r") > 0) & F.col(on).isNotNull()
+    sized = hot.withColumns({"_left_cells": F.when(paired, lines.cast("bigint")), "_right_cells": F.when(paired, columns.cast("bigint"))})
+    found, size = measured(
+        sized, "hot-keys", left=F.sum("_l"), right=F.sum("_r"), lines=F.max("_left_cells"), columns=F.max("_right_cells")
+    )
+    if not size["rows"]:
+        return None
+    if size["rows"] <= MAX_BROADCAST_ROWS and size["bytes"] <= MAX_BROADCAST_BYTES:
+        found = F.broadcast(found)
+    rows = whole.get
+    return HotKeys(found, size["left"] == rows["left"], size["right"] == rows["right"], size["lines"], size["columns"])
 
 
 def skew_join(
@@ -112,20 +150,20 @@ def skew_join(
     ``how`` is any name Spark has for an inner, outer, semi or anti join. The
     result has the columns of Spark's join on a column name, the sides may share
     other column names as well. Semi and anti joins meet the distinct keys of the
-    right side only. Keys with at most ``max_group_rows``
-    rows on either side are joined plainly. The rows of a hot key are spread over
-    a grid of cells: each left row goes to one row of cells, each right row to one
-    column, so that every pair meets in exactly one cell and no cell holds more
-    than about ``max_group_rows`` rows of a side. A hot key whose other side is
-    empty has no pairs, and its rows are kept or dropped as ``how`` says.
+    right side only. Keys with at most ``max_group_rows`` rows on either side and
+    ``PAIRS_PER_ROW`` times as many pairs are joined plainly. The rows of a hot key are
+    spread over a grid of cells: each left row goes to one row of cells, each right row
+    to one column, so that every pair meets in exactly one cell, no cell holds more
+    than about ``max_group_rows`` rows of a side, and none makes more pairs than that
+    bound. A hot key whose other side is empty has no pairs, and its rows are kept or
+    dropped as ``how`` says.
     """
     how = JOIN_KINDS[how.lower().replace("_", "")]
     if how in ("left_semi", "left_anti"):
         return left.join(right.select(on).distinct(), on, how)
     plain = left.join(right, on, how)
-    rows = [side.count() for side in (left, right)]
-    keys = _hot_keys([left, right], rows, on, max_group_rows)
-    if keys is None:
+    hot = _hot_keys(left, right, on, max_group_rows)
+    if hot is None:
         return plain
 
     # Shared names would be ambiguous from here on; the sides have the key first in the result.
@@ -135,19 +173,11 @@ def skew_join(
         for side, mark in ((left, "left"), (right, "right"))
     )
     columns = left.columns + right.columns[1:]
-    return _split_join(left, right, on, how, max_group_rows, rows, keys).select(*columns).toDF(*names)
+    return _split_join(left, right, on, how, hot).select(*columns).toDF(*names)
 
 
-def _split_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: str,
-    how: str,
-    max_group_rows: int,
-    rows: list[int],
-    keys: DataFrame,
-) -> DataFrame:
-    """:func:`skew_join` where ``keys`` are hot and the sides share no other name."""
+def _split_join(left: DataFrame, right: DataFrame, on: str, how: str, hot: HotKeys) -> DataFrame:
+    """:func:`skew_join` where the sides share no other name than that of the key."""
     columns = left.columns + right.columns[1:]
 
     # Null keys match nothing and would all meet in one task.
@@ -155,41 +185,23 @@ def _split_join(
         (side.filter(F.col(on).isNotNull()), side.filter(F.col(on).isNull()))
         for side in (left, right)
     )
-    keys = keys.filter(F.col(on).isNotNull())
-
-    def count_hot(side: DataFrame, name: str) -> DataFrame:
-        return side.select(on).join(keys, on, "left_semi").groupBy(on).agg(
-            F.count(F.lit(1)).alias(name)
-        )
-
-    # One row per hot key.
-    both = count_hot(left, "_l").join(count_hot(right, "_r"), on, "full").fillna(0, ["_l", "_r"])
-    sizes = summary(both, "hot-sizes")
-    totals = sizes.agg(F.sum("_l"), F.sum("_r"), F.max("_l"), F.max("_r")).first()
-    *hot_rows, most_left, most_right = (n or 0 for n in totals)
-
-    paired = sizes.filter("_l > 0 AND _r > 0").select(
-        on,
-        F.ceil(F.col("_l") / max_group_rows).alias("_left_cells"),
-        F.ceil(F.col("_r") / max_group_rows).alias("_right_cells"),
-    )
-    left_hot, right_hot = most_left > max_group_rows, most_right > max_group_rows
+    keys = hot.keys.filter(F.col(on).isNotNull())
+    paired = keys.filter("_left_cells IS NOT NULL").select(on, "_left_cells", "_right_cells")
     by_left, by_right = (_LEFT_SALT, "_left_cells"), (_RIGHT_SALT, "_right_cells")
     parts = [
-        _in_cells(left, paired, on, by_left, by_right, left_hot)
-        .join(_in_cells(right, paired, on, by_right, by_left, right_hot), [on, _LEFT_SALT, _RIGHT_SALT])
+        _in_cells(left, paired, on, by_left, by_right, hot.left_cells > 1)
+        .join(_in_cells(right, paired, on, by_right, by_left, hot.right_cells > 1), [on, _LEFT_SALT, _RIGHT_SALT])
         .select(*columns)
     ]
-
-    all_hot = [in_hot == n for in_hot, n in zip(hot_rows, rows)]
-    nothing_cold = {"inner": any(all_hot), "left": all_hot[0], "right": all_hot[1], "full": all(all_hot)}
+    all_hot = (hot.all_left, hot.all_right)
+    nothing_cold = {"inner": any(all_hot), "left": hot.all_left, "right": hot.all_right, "full": all(all_hot)}
     if not nothing_cold[how]:
-        cold_left, cold_right = (side.join(keys, on, "left_anti") for side in (left, right))
+        cold_left, cold_right = (side.join(keys.select(on), on, "left_anti") for side in (left, right))
         parts.append(cold_left.join(cold_right, on, how))
     if how in ("left", "full"):
-        parts.append(left.join(sizes.filter("_r = 0"), on, "left_semi").unionByName(left_null))
+        parts.append(left.join(keys.filter("_r = 0"), on, "left_semi").unionByName(left_null))
     if how in ("right", "full"):
-        parts.append(right.join(sizes.filter("_l = 0"), on, "left_semi").unionByName(right_null))
+        parts.append(right.join(keys.filter("_l = 0"), on, "left_semi").unionByName(right_null))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -253,9 +265,10 @@ def bucketed_join(
     :func:`skew_join` instead of the buckets. Null keys match nothing and are left out.
     """
     left, right = (side.filter(F.col(on).isNotNull()) for side in (left, right))
-    keys = _hot_keys([left, right], [left.count(), right.count()], on, max_group_rows)
+    hot = _hot_keys(left, right, on, max_group_rows)
     rows, others = left, right
-    if keys is not None:
+    if hot is not None:
+        keys = hot.keys.select(on)
         rows, others = (side.join(keys, on, "left_anti") for side in (left, right))
     name = uuid.uuid4().hex
     joined = (
@@ -263,7 +276,7 @@ def bucketed_join(
         .hint("merge")
         .join(bucketed(others, f"bucketed_right_{name}", on, buckets), on)
     )
-    if keys is None:
+    if hot is None:
         return joined
     hot_left, hot_right = (side.join(keys, on, "left_semi") for side in (left, right))
     return joined.unionByName(skew_join(hot_left, hot_right, on, "inner", max_group_rows))

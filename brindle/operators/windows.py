@@ -22,12 +22,15 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from brindle.functions.numbers import from_parts, major_units, minor_units, unit_parts
-from brindle.workspace import ROWS_PER_PARTITION, materialize, partitions_for, summary
+from brindle.functions.numbers import ExactSum, exact_doubles, from_parts, unit_parts
+from brindle.workspace import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, ROWS_PER_PARTITION, counted, materialize, measured, partitions_for, summary, variable_bytes
 
 # A group beyond it is split.
 MAX_GROUP_ROWS = ROWS_PER_PARTITION
 
+# So is one with more bytes of variable width.
+MAX_GROUP_BYTES = 1 << 30
+
 # Without keys the table is one group, and one task does all the work: split earlier.
 MAX_TABLE_ROWS = 1_000_000
 
@@ -38,7 +41,7 @@ SEGMENT_ROWS = 100_000
 MOST_TASKS = 1_000_000
 
 _SEGMENT, _OFFSET, _POSITION = "_segment", "_offset", "_position"
-_CHUNK, _COPY, _OUTPUT, _ADDEND, _PLACE = "_chunk", "_copy", "_output", "_addend", "_place_of_row"
+_CHUNK, _COPY, _OUTPUT, _PLACE = "_chunk", "_copy", "_output", "_place_of_row"
 
 
 def _replacing(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
@@ -82,27 +85,16 @@ def _attach(df: DataFrame, extra: DataFrame, names: Sequence[str], how: str = "l
     return df.join(renamed, matched, how).drop(*[f"_m_{n}" for n in names])
 
 
-def oversized_keys(
-    df: DataFrame, keys: Sequence[str], max_group_rows: int, rows: int | None = None
-) -> DataFrame | None:
-    """Keys with more than ``max_group_rows`` rows, as ``_rows``, or None if there are none.
+class Groups(NamedTuple):
+    """Rows of the groups one task can hold, and rows of larger groups; None for neither.
 
-    At most ``rows / max_group_rows`` keys, counted with map-side combining. A
-    table that is smaller than one group may be is not looked at further.
+    ``bound`` is how many rows of the larger groups a task can hold.
     """
-    if (df.count() if rows is None else rows) <= max_group_rows:
-        return None
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    found = summary(counts.filter(F.col("_rows") > max_group_rows), "oversized")
-    return None if found.isEmpty() else found
-
-
-class Groups(NamedTuple):
-    """Rows of the groups one task can hold, and rows of larger groups; None for neither."""
 
     small: DataFrame | None
     large: DataFrame | None
     large_rows: int
+    bound: int
 
 
 def split_size(rows: int, parts: int = 64) -> int:
@@ -110,22 +102,43 @@ def split_size(rows: int, parts: int = 64) -> int:
     return min(max(rows // parts, 1), MAX_GROUP_ROWS)
 
 
-def split_groups(df: DataFrame, keys: Sequence[str], max_group_rows: int) -> Groups:
-    rows = df.count()
+def _bound(max_group_rows: int, rows: int, size: int) -> int:
+    """Rows of average width that are within both bounds of a group."""
+    return max(min(max_group_rows, MAX_GROUP_BYTES * rows // size if size else max_group_rows), 1)
+
+
+def split_groups(
+    df: DataFrame, keys: Sequence[str], max_group_rows: int, known: tuple[int, int] | None = None
+) -> Groups:
+    """Groups beyond ``max_group_rows`` rows or ``MAX_GROUP_BYTES`` apart from the rest.
+
+    One pass counts the table; only if it is larger than a group may be, a second
+    one counts the groups, combined on the map side, and measures those it finds.
+    ``known`` are the rows and bytes of a table that was counted before.
+    """
+    rows, size = known or counted(df)
     if not keys:
-        whole = rows <= min(max_group_rows, MAX_TABLE_ROWS)
-        return Groups(df, None, 0) if whole else Groups(None, df, rows)
-    found = oversized_keys(df, keys, max_group_rows, rows)
-    if found is None:
-        return Groups(df, None, 0)
-    large_rows = found.agg(F.sum("_rows")).first()[0]
-    if large_rows == rows:
-        return Groups(None, df, rows)
+        bound = _bound(max_group_rows, rows, size)
+        whole = rows <= min(bound, MAX_TABLE_ROWS)
+        return Groups(df, None, 0, bound) if whole else Groups(None, df, rows, bound)
+    if rows <= max_group_rows and size <= MAX_GROUP_BYTES:
+        return Groups(df, None, 0, max_group_rows)
+    lengths = variable_bytes(df) if size > MAX_GROUP_BYTES else None
+    counts = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_rows"), (F.lit(0) if lengths is None else F.sum(lengths)).alias("_bytes")
+    )
+    too_large = (F.col("_rows") > max_group_rows) | (F.col("_bytes") > MAX_GROUP_BYTES)
+    found, of_large = measured(counts.filter(too_large), "oversized", in_rows=F.sum("_rows"), in_bytes=F.sum("_bytes"))
+    if not of_large["rows"]:
+        return Groups(df, None, 0, max_group_rows)
+    bound = _bound(max_group_rows, of_large["in_rows"], of_large["in_bytes"])
+    if of_large["in_rows"] == rows:
+        return Groups(None, df, rows, bound)
     found = found.select(*keys)
+    if of_large["rows"] <= MAX_BROADCAST_ROWS and of_large["bytes"] <= MAX_BROADCAST_BYTES:
+        found = F.broadcast(found)
     is_large = _same_keys(df, found, keys)
-    return Groups(
-        df.join(found, is_large, "left_anti"), df.join(found, is_large, "left_semi"), large_rows
-    )
+    return Groups(df.join(found, is_large, "left_anti"), df.join(found, is_large, "left_semi"), of_large["in_rows"], bound)
 
 
 def _over_groups(
@@ -133,13 +146,14 @@ def _over_groups(
     keys: Sequence[str],
     max_group_rows: int,
     small_form: Callable[[DataFrame], DataFrame],
-    large_form: Callable[[DataFrame, int], DataFrame],
+    large_form: Callable[[DataFrame, int, int], DataFrame],
+    known: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """``small_form(rows)`` and ``large_form(rows, how many)`` on the groups they are for."""
-    small, large, large_rows = split_groups(df, keys, max_group_rows)
+    """``small_form(rows)`` and ``large_form(rows, how many, rows per task)`` on the groups they are for."""
+    small, large, large_rows, bound = split_groups(df, keys, max_group_rows, known)
     if large is None:
         return small_form(small)
-    done = large_form(large, large_rows)
+    done = large_form(large, large_rows, bound)
     return done if small is None else small_form(small).unionByName(done)
 
 
@@ -174,14 +188,12 @@ def positions(
         "positions",
     )
     # One row per shuffle partition and group in it: what to add to the offset there.
-    by_segment = Window.orderBy(_SEGMENT).rangeBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum("_n").over(by_segment), F.lit(0))
-    first_of_group = F.min(F.col("_start") + F.col("_first")).over(Window.partitionBy(*keys))
+    earlier = Window.partitionBy(*keys).orderBy(_SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
     shifts = (
         laid.groupBy(_SEGMENT, *keys)
         .agg(F.count(F.lit(1)).alias("_n"), F.min(_OFFSET).alias("_first"))
-        .withColumn("_start", start)
-        .select(_SEGMENT, *keys, (F.col("_start") - first_of_group + 1).alias("_shift"))
+        .select(_SEGMENT, *keys, (before - F.col("_first") + 1).alias("_shift"))
     )
     shifted = _attach(laid, summary(shifts, "shifts"), [_SEGMENT, *keys])
     return shifted.withColumn(name, F.col(_OFFSET) + F.col("_shift")).select(*df.columns, name)
@@ -202,16 +214,17 @@ def row_number(
         keys,
         max_group_rows,
         lambda small: small.withColumn(name, F.row_number().over(window).cast("bigint")),
-        lambda large, rows: positions(large, keys, order, name, rows, max_group_rows),
+        lambda large, rows, bound: positions(large, keys, order, name, rows, bound),
     )
 
 
-def _peer_groups(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], count: Column
+def _through_peers(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], count: Column, max_group_rows: int
 ) -> DataFrame:
-    """One row per distinct order value of a group, with ``_peers`` rows each."""
+    """One row per distinct order value of a group, with its ``_peers`` and those ``_through`` it."""
     peers = df.groupBy(*keys, *order_names(order)).agg(count.cast("bigint").alias("_peers"))
-    return materialize(peers, "peers")
+    peers, size = measured(peers, "peers")
+    return _running_sums(peers, keys, order, {"_through": "_peers"}, max_group_rows, (size["rows"], size["bytes"]))
 
 
 @_replacing
@@ -225,9 +238,8 @@ def rank(
     """Rank with gaps: 1 + the rows that sort strictly before."""
     window = Window.partitionBy(*keys).orderBy(*order_columns(order))
 
-    def by_peers(large: DataFrame, rows: int) -> DataFrame:
-        peers = _peer_groups(large, keys, order, F.count(F.lit(1)))
-        summed = running_sum(peers, keys, order, "_peers", "_through", max_group_rows)
+    def by_peers(large: DataFrame, rows: int, bound: int) -> DataFrame:
+        summed = _through_peers(large, keys, order, F.count(F.lit(1)), max_group_rows)
         ranks = summed.withColumn(name, F.col("_through") - F.col("_peers") + 1)
         by = [*keys, *order_names(order)]
         return _attach(large, ranks.select(*by, name), by)
@@ -252,7 +264,7 @@ def dense_rank(
     """Rank without gaps: the position of the row's value among the distinct values."""
     window = Window.partitionBy(*keys).orderBy(*order_columns(order))
 
-    def by_values(large: DataFrame, rows: int) -> DataFrame:
+    def by_values(large: DataFrame, rows: int, bound: int) -> DataFrame:
         by = [*keys, *order_names(order)]
         distinct = materialize(large.select(*by).distinct(), "values")
         values = row_number(distinct, keys, order, name, max_group_rows)
@@ -298,48 +310,61 @@ def running_sum(
     """Sum from the first row of the group to this one (ROWS frame).
 
     The type is that of Spark's plain sum at any size. Doubles and floats are
-    summed as decimals with ten places, so the result does not depend on the
-    order of addition or on how a group is split; NaN, infinities and values of
-    10^28 or more raise an error.
+    summed exactly and rounded once, so the result does not depend on the order of
+    addition or on how a group is split; NaN and infinities prevail, as in Spark's sum.
     """
-    if dict(df.dtypes)[value] in ("double", "float"):
-        exact = df.withColumn(_ADDEND, F.col(value).cast("decimal(38,10)"))
-        summed = running_sum(exact, keys, order, _ADDEND, name, max_group_rows)
-        return summed.withColumn(name, F.col(name).cast("double")).drop(_ADDEND)
-    plain_type = df.select(F.sum(value).alias("_sum")).schema["_sum"].dataType
+    if dict(df.dtypes)[value] not in ("double", "float"):
+        return _running_sums(df, keys, order, {name: value}, max_group_rows)
+    exact = exact_doubles(df, value)
+    sums = {f"{n}_sum": n for n in exact.addends}
+    summed = _running_sums(df.withColumns(exact.addends), keys, order, sums, max_group_rows)
+    return summed.withColumn(name, exact.total(lambda n: F.col(f"{n}_sum"))).drop(*sums, *exact.addends)
+
+
+def _running_sums(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    sums: dict[str, str],
+    max_group_rows: int,
+    known: tuple[int, int] | None = None,
+) -> DataFrame:
+    """Running sums of several columns, by the name of the sum."""
+    plain = df.select(*[F.sum(value).alias(name) for name, value in sums.items()]).schema
 
     def to_here(*by: str) -> Window:
         return Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, 0)
 
-    def by_chunks(large: DataFrame, rows: int) -> DataFrame:
-        chunk_rows = _chunk_rows(df.sparkSession, rows, max_group_rows)
-        placed = _chunked(large, keys, order, chunk_rows, rows, max_group_rows)
+    def by_chunks(large: DataFrame, rows: int, bound: int) -> DataFrame:
+        chunk_rows = _chunk_rows(df.sparkSession, rows, bound)
+        placed = _chunked(large, keys, order, chunk_rows, rows, bound)
         by = [*keys, _CHUNK]
-        within_chunk = _gathered(placed, by, rows).withColumn(
-            "_local", F.sum(value).over(to_here(*by).orderBy(_POSITION))
-        )
+        local = {f"_local_{name}": F.sum(value).over(to_here(*by).orderBy(_POSITION)) for name, value in sums.items()}
+        within_chunk = _gathered(placed, by, rows).withColumns(local)
         # One row per chunk and group.
         earlier = Window.partitionBy(*keys).orderBy(_CHUNK)
         earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
         carried = (
             placed.groupBy(*by)
-            .agg(F.sum(value).alias("_sum"))
-            .select(*by, F.sum("_sum").over(earlier).alias("_carried"))
-        )
-        total = F.coalesce(
-            F.col("_local") + F.col("_carried"), F.col("_local"), F.col("_carried")
+            .agg(*[F.sum(value).alias(f"_sum_{name}") for name, value in sums.items()])
+            .select(*by, *[F.sum(f"_sum_{name}").over(earlier).alias(f"_carried_{name}") for name in sums])
         )
         joined = _attach(within_chunk, summary(carried, "carried"), by)
-        return joined.withColumn(name, total.cast(plain_type)).select(*df.columns, name)
 
+        def total(name: str) -> Column:
+            here, before = F.col(f"_local_{name}"), F.col(f"_carried_{name}")
+            return F.coalesce(here + before, here, before).cast(plain[name].dataType)
+
+        return joined.withColumns({name: total(name) for name in sums}).select(*df.columns, *sums)
+
+    window = to_here(*keys).orderBy(*order_columns(order))
     return _over_groups(
         df,
         keys,
         max_group_rows,
-        lambda small: small.withColumn(
-            name, F.sum(value).over(to_here(*keys).orderBy(*order_columns(order)))
-        ),
+        lambda small: small.withColumns({name: F.sum(value).over(window) for name, value in sums.items()}),
         by_chunks,
+        known,
     )
 
 
@@ -355,11 +380,10 @@ def running_count(
     """Non-null values up to this row and its ties (the default RANGE frame)."""
     window = Window.partitionBy(*keys).orderBy(*order_columns(order))
 
-    def by_peers(large: DataFrame, rows: int) -> DataFrame:
-        peers = _peer_groups(large, keys, order, F.count(value))
-        counts = running_sum(peers, keys, order, "_peers", name, max_group_rows)
+    def by_peers(large: DataFrame, rows: int, bound: int) -> DataFrame:
+        counts = _through_peers(large, keys, order, F.count(value), max_group_rows)
         by = [*keys, *order_names(order)]
-        return _attach(large, counts.select(*by, name), by)
+        return _attach(large, counts.select(*by, F.col("_through").alias(name)), by)
 
     return _over_groups(
         df,
@@ -381,10 +405,10 @@ def _over_nearby_rows(
 ) -> DataFrame:
     """Columns that look at most ``before`` rows back and ``after`` rows ahead."""
 
-    def by_chunks(large: DataFrame, rows: int) -> DataFrame:
+    def by_chunks(large: DataFrame, rows: int, bound: int) -> DataFrame:
         # A chunk also gets copies of the rows just outside it.
-        chunk_rows = max(_chunk_rows(df.sparkSession, rows, max_group_rows), before, after)
-        placed = _chunked(large, keys, order, chunk_rows, rows, max_group_rows)
+        chunk_rows = max(_chunk_rows(df.sparkSession, rows, bound), before, after)
+        placed = _chunked(large, keys, order, chunk_rows, rows, bound)
         within_chunk = F.pmod(F.col(_POSITION) - 1, F.lit(chunk_rows))
         first = F.col(_CHUNK) - F.when(within_chunk < after, 1).otherwise(0)
         last = F.col(_CHUNK) + F.when(within_chunk >= chunk_rows - before, 1).otherwise(0)
@@ -457,6 +481,17 @@ def change(
     )
 
 
+def _addends(df: DataFrame, value: str, scale: int | None) -> ExactSum:
+    """How a column is summed exactly: in units of ``scale`` decimals if given, else as its type asks for."""
+    rows = {"_exact_rows": F.when(F.col(value).isNotNull(), F.lit(1).cast("bigint")).otherwise(0)}
+    if scale is not None:
+        parts = unit_parts(value, "_exact", scale)
+        return ExactSum(parts | rows, lambda s: from_parts(s("_exact_high"), s("_exact_low"), scale))
+    if dict(df.dtypes)[value] in ("double", "float"):
+        return exact_doubles(df, value)
+    return ExactSum({"_exact_value": F.col(value)} | rows, lambda s: s("_exact_value").cast("double"))
+
+
 @_replacing
 def moving_avg(
     df: DataFrame,
@@ -465,17 +500,24 @@ def moving_avg(
     value: str,
     preceding: int,
     name: str = "moving_avg",
-    scale: int = 2,
+    scale: int | None = None,
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Mean of a value with ``scale`` decimals over the row and the ``preceding`` rows before it."""
+    """Mean over the row and the ``preceding`` rows before it, of an exact sum.
+
+    ``scale`` says that the values have that many decimals, which is cheaper; it is
+    an error if one has more. Without it any doubles are summed as they are.
+    """
+    exact = _addends(df, value, scale)
 
-    def mean(window: Window) -> dict[str, Column]:
+    def sums(window: Window) -> dict[str, Column]:
         frame = window.rowsBetween(-preceding, 0)
-        total = major_units(F.sum(minor_units(value, scale)).over(frame), scale)
-        return {name: total / F.count(value).over(frame)}
+        return {f"{n}_sum": F.sum(n).over(frame) for n in exact.addends}
 
-    return _over_nearby_rows(df, keys, order, preceding, 0, mean, max_group_rows)
+    summed = _over_nearby_rows(df.withColumns(exact.addends), keys, order, preceding, 0, sums, max_group_rows)
+    at = lambda n: F.col(f"{n}_sum")
+    mean = F.try_divide(exact.total(at), at("_exact_rows"))
+    return summed.withColumn(name, mean).drop(*exact.addends, *[f"{n}_sum" for n in exact.addends])
 
 
 def with_group_totals(
@@ -489,7 +531,7 @@ def with_group_totals(
         return df.withColumns({n: df.select(c).scalar() for n, c in totals.items()})
     window = Window.partitionBy(*keys)
 
-    def by_totals(large: DataFrame, rows: int) -> DataFrame:
+    def by_totals(large: DataFrame, rows: int, bound: int) -> DataFrame:
         summed = large.groupBy(*keys).agg(*[c.alias(n) for n, c in totals.items()])
         return _attach(large, summary(summed, "totals"), keys)
 
@@ -502,21 +544,29 @@ def with_group_totals(
     )
 
 
+def _with_total(
+    df: DataFrame, keys: Sequence[str], value: str, scale: int | None, max_group_rows: int, compute: Callable[[Column, Column], Column], name: str
+) -> DataFrame:
+    """``compute(the group's exact sum, its values that are not null)`` per row."""
+    exact = _addends(df, value, scale)
+    sums = {f"{n}_sum": F.sum(column) for n, column in exact.addends.items()}
+    with_sums = with_group_totals(df, keys, sums, max_group_rows)
+    at = lambda n: F.col(f"{n}_sum")
+    return with_sums.withColumn(name, compute(exact.total(at), at("_exact_rows"))).drop(*sums)
+
+
 @_replacing
 def percent_of_total(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
     name: str = "pct_of_total",
-    scale: int = 2,
+    scale: int | None = None,
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """The value, with ``scale`` decimals, as a percentage of its group's exact sum; null where that is zero."""
-    units = {part: F.sum(c) for part, c in unit_parts(value, "_total", scale).items()}
-    with_total = with_group_totals(df, keys, units, max_group_rows)
-    total = from_parts(F.col("_total_high"), F.col("_total_low"), scale)
-    share = F.try_divide(F.col(value), total) * 100
-    return with_total.withColumn(name, share).drop(*units)
+    """The value as a percentage of its group's exact sum; null where that is zero. ``scale`` as in :func:`moving_avg`."""
+    share = lambda total, rows: F.try_divide(F.col(value), total) * 100
+    return _with_total(df, keys, value, scale, max_group_rows, share, name)
 
 
 @_replacing
@@ -525,14 +575,12 @@ def difference_from_avg(
     keys: Sequence[str],
     value: str,
     name: str = "diff_from_avg",
-    scale: int = 2,
+    scale: int | None = None,
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """The value, with ``scale`` decimals, minus its group's mean."""
-    parts = {part: F.sum(c) for part, c in unit_parts(value, "_total", scale).items()} | {"_n": F.count(value)}
-    with_parts = with_group_totals(df, keys, parts, max_group_rows)
-    mean = from_parts(F.col("_total_high"), F.col("_total_low"), scale) / F.col("_n")
-    return with_parts.withColumn(name, F.col(value) - mean).drop(*parts)
+    """The value minus its group's mean, of an exact sum. ``scale`` as in :func:`moving_avg`."""
+    difference = lambda total, rows: F.col(value) - F.try_divide(total, rows)
+    return _with_total(df, keys, value, scale, max_group_rows, difference, name)
 
 
 @_replacing

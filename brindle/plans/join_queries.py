@@ -26,7 +26,7 @@ def sql_revenue_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(
         """SELECT n.n_name AS country,
                   COUNT(DISTINCT o.o_orderkey) AS order_count,
-                  SUM(CAST(RINT(o.o_totalprice * 100) AS BIGINT)) / 100D AS total_revenue
+                  CAST(SUM(CAST(RINT(o.o_totalprice * 100) AS DECIMAL(19,0))) / 100 AS DOUBLE) AS total_revenue
            FROM {customer} c
            JOIN {orders} o ON c.c_custkey = o.o_custkey
            JOIN {nation} n ON c.c_nationkey = n.n_nationkey

@@ -123,7 +123,7 @@ def win_running_total_global(spark: SparkSession, sf_dir: str) -> DataFrame:
                              ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""")
 def win_moving_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _orders(spark, sf_dir, "o_custkey", "o_orderdate", "o_totalprice")
-    averaged = windows.moving_avg(orders, CUSTOMER, BY_DATE, "o_totalprice", preceding=2)
+    averaged = windows.moving_avg(orders, CUSTOMER, BY_DATE, "o_totalprice", preceding=2, scale=2)
     return averaged.select("o_custkey", "o_orderkey", "moving_avg")
 
 
@@ -132,7 +132,7 @@ def win_moving_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
         OVER (PARTITION BY o_custkey) AS DOUBLE) * 100 AS pct_of_total FROM orders""")
 def win_pct_of_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _orders(spark, sf_dir, "o_custkey", "o_totalprice")
-    shares = windows.percent_of_total(orders, CUSTOMER, "o_totalprice")
+    shares = windows.percent_of_total(orders, CUSTOMER, "o_totalprice", scale=2)
     return shares.select("o_custkey", "o_orderkey", "pct_of_total")
 
 
@@ -180,7 +180,7 @@ def second_highest_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM orders""")
 def diff_from_user_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _orders(spark, sf_dir, "o_custkey", "o_totalprice")
-    compared = windows.difference_from_avg(orders, CUSTOMER, "o_totalprice")
+    compared = windows.difference_from_avg(orders, CUSTOMER, "o_totalprice", scale=2)
     return compared.select("o_custkey", "o_orderkey", "diff_from_avg")
 
 
@@ -229,5 +229,38 @@ def win_change_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 def win_pct_of_total_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _orders(spark, sf_dir, "o_orderstatus", "o_totalprice")
     size = windows.split_size(orders.count())
-    shares = windows.percent_of_total(orders, STATUS, "o_totalprice", max_group_rows=size)
+    shares = windows.percent_of_total(orders, STATUS, "o_totalprice", scale=2, max_group_rows=size)
     return shares.select("o_orderstatus", "o_orderkey", "pct_of_total")
+
+
+# A seventh of a price has no last decimal; its multiples of 2^-60 are exact integers here.
+SEVENTHS = "SELECT o_orderstatus, o_orderkey, o_orderdate, o_totalprice / 7.0::DOUBLE AS seventh FROM orders"
+IN_UNITS = f"SELECT *, (seventh * 1152921504606846976.0)::HUGEINT AS units FROM ({SEVENTHS})"
+
+
+def _sevenths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _orders(spark, sf_dir, "o_orderstatus", "o_orderdate", (F.col("o_totalprice") / 7).alias("seventh"))
+
+
+@query(f"""
+    SELECT o_orderstatus, o_orderkey, round((SUM(units) OVER w)::DOUBLE / 1152921504606846976, 3) AS running_total,
+           round((SUM(units) OVER (w ROWS BETWEEN 4 PRECEDING AND CURRENT ROW))::DOUBLE / 1152921504606846976
+                 / COUNT(*) OVER (w ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 6) AS moving_avg
+    FROM ({IN_UNITS}) WINDOW w AS (PARTITION BY o_orderstatus ORDER BY o_orderdate, o_orderkey)""")
+def win_exact_doubles_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums and means of numbers that are no decimals, over split groups."""
+    rows = _sevenths(spark, sf_dir)
+    size = windows.split_size(rows.count(), 16)
+    summed = windows.running_sum(rows, STATUS, BY_DATE, "seventh", max_group_rows=size)
+    out = windows.moving_avg(summed, STATUS, BY_DATE, "seventh", 4, max_group_rows=size)
+    rounded = [F.round("running_total", 3).alias("running_total"), F.round("moving_avg", 6).alias("moving_avg")]
+    return out.select("o_orderstatus", "o_orderkey", *rounded)
+
+
+@query(f"""
+    SELECT o_orderstatus, o_orderkey,
+           round(seventh - (SUM(units) OVER g)::DOUBLE / 1152921504606846976 / COUNT(*) OVER g, 6) AS diff_from_avg
+    FROM ({IN_UNITS}) WINDOW g AS (PARTITION BY o_orderstatus)""")
+def win_exact_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    compared = windows.difference_from_avg(_sevenths(spark, sf_dir), STATUS, "seventh")
+    return compared.select("o_orderstatus", "o_orderkey", F.round("diff_from_avg", 6).alias("diff_from_avg"))

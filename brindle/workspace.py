@@ -12,7 +12,7 @@ import tempfile
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 SHARED_DIR_CONF = "spark.checkpoint.dir"
@@ -90,19 +90,28 @@ def within(df: DataFrame, max_rows: int) -> bool:
     return df.count() <= max_rows
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether ``df`` was measured to be small in rows and in bytes."""
-    if not within(df, max_rows):
-        return False
+def variable_bytes(df: DataFrame) -> Column | None:
+    """The bytes of a row's columns of variable width; None if there are none."""
     lengths = [
         F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0)).cast("bigint")
         for name, type_name in df.dtypes
         if type_name.startswith(VARIABLE_WIDTH)
     ]
-    if not lengths:
-        return True
-    size = df.agg(F.sum(reduce(lambda a, b: a + b, lengths))).first()[0]
-    return (size or 0) <= MAX_BROADCAST_BYTES
+    return reduce(lambda a, b: a + b, lengths) if lengths else None
+
+
+def counted(df: DataFrame) -> tuple[int, int]:
+    """Rows, and bytes of the columns of variable width (a footer-only count on a file scan without such columns)."""
+    lengths = variable_bytes(df)
+    if lengths is None:
+        return df.count(), 0
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(lengths)).first()
+    return rows, size or 0
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Whether ``df`` was measured to be small in rows and in bytes."""
+    return within(df, max_rows) and counted(df)[1] <= MAX_BROADCAST_BYTES
 
 
 def broadcast_within(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -113,7 +122,17 @@ def broadcast_within(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataF
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
+def measured(df: DataFrame, label: str, **sums: Column) -> tuple[DataFrame, dict[str, int]]:
+    """:func:`materialize`, with ``rows``, ``bytes`` (of variable width) and ``sums`` observed by the same job."""
+    lengths = variable_bytes(df)
+    observed = {"rows": F.count(F.lit(1)), "bytes": F.lit(0) if lengths is None else F.sum(lengths), **sums}
+    observation = Observation()
+    written = materialize(df.observe(observation, *[F.coalesce(c, F.lit(0)).alias(n) for n, c in observed.items()]), label)
+    return written, observation.get
+
+
 def summary(df: DataFrame, label: str, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """The result of a small aggregate, written once, and broadcast where it is
-    joined if the written table's rows and bytes allow; beyond that it is shuffled."""
-    return broadcast_within(materialize(df, label), max_rows)
+    """The result of a small aggregate, written once and measured as it is written. It is
+    broadcast where it is joined if its rows and bytes allow; beyond that it is shuffled."""
+    written, size = measured(df, label)
+    return F.broadcast(written) if size["rows"] <= max_rows and size["bytes"] <= MAX_BROADCAST_BYTES else written
