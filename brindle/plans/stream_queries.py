@@ -5,10 +5,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.functions.numbers import count_rows, exact_avg, exact_sum
+from brindle.functions.numbers import count_rows, from_parts, unit_parts
 from brindle.operators.layout import write_partitioned
 from brindle.plans.registry import query
 from brindle.sources.tables import save_dataset, table
@@ -39,15 +39,36 @@ def _run_to_files(df: DataFrame, label: str, **options: object) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _arrivals(events: DataFrame, loads: int) -> DataFrame:
-    """The number of the equal span of time, 0 to ``loads`` - 1, that an event lies in, as ``arrival``."""
-    first, last = (events.select(F.unix_micros(end("ts").cast("timestamp"))).scalar() for end in (F.min, F.max))
-    since = F.unix_micros(F.col("ts").cast("timestamp")) - first
-    return events.withColumn("arrival", F.floor(since * loads / (last - first + 1)).cast("int"))
+def _place(value: Column, borders: list[int], at_border: int) -> Column:
+    """How many of the sorted borders lie below ``value``, or also at it, by halving."""
+    if not borders:
+        return F.lit(0)
+    middle = len(borders) // 2
+    beyond = value > borders[middle] if at_border == 0 else value >= borders[middle]
+    above = _place(value, borders[middle + 1 :], at_border) + (middle + 1)
+    return F.when(beyond, above).otherwise(_place(value, borders[:middle], at_border))
 
 
-def _replayed(arriving: DataFrame, loads: int, transform: Callable[[DataFrame], DataFrame], label: str) -> DataFrame:
-    """What ``transform`` appends as the loads come in one after the other, each a batch of its own.
+def arrivals(events: DataFrame, loads: int) -> DataFrame:
+    """Events with ``arrival``, the number of their load from 0: loads in the order of time, about equal in rows.
+
+    The borders are quantiles of event time. An instant that holds several of them is
+    spread over the loads it borders on, so no load has more than about twice the mean.
+    """
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    shares = F.array(*[F.lit(i / loads) for i in range(1, loads)]) if loads > 1 else None
+    borders = [] if shares is None else events.select(F.percentile_approx(micros, shares, max(10_000, 100 * loads))).first()[0] or []
+    first, last = _place(micros, borders, 0), _place(micros, borders, 1)
+    spread = F.pmod(F.xxhash64(*events.columns), F.lit(loads) if not borders else last - first + 1)
+    arrival = (first + spread).cast("int") if borders else F.lit(0)
+    # rows without a time come first
+    return events.withColumn("arrival", F.coalesce(arrival, F.lit(0)))
+
+
+def _replayed(
+    arriving: DataFrame, loads: int, transform: Callable[[DataFrame], DataFrame], label: str
+) -> tuple[DataFrame, int]:
+    """What ``transform`` appends as the loads come in one after the other, each a batch of its own, and what was late.
 
     Watermark and state go from load to load through the checkpoint, and a load
     that fails is repeated alone.
@@ -59,11 +80,22 @@ def _replayed(arriving: DataFrame, loads: int, transform: Callable[[DataFrame],
     write_partitioned(arriving, laid, ["arrival"])
     loaded = spark.read.schema(arriving.schema).parquet(laid)
     schema = arriving.drop("arrival").schema
+    late = 0
     for load in range(loads):
         save_dataset(loaded.filter(F.col("arrival") == load).drop("arrival"), source, mode="append")
         stream = transform(streams.parquet_stream(spark, source, schema))
-        streams.drain(streams.start_to_files(stream, path, progress))
-    return spark.read.schema(stream.schema).parquet(path)
+        query = streams.start_to_files(stream, path, progress)
+        streams.drain(query)
+        late += streams.dropped_as_late(query)
+    return spark.read.schema(stream.schema).parquet(path), late
+
+
+def _aggregated(grouped: DataFrame, names: list[str], label: str, mode: str) -> DataFrame:
+    """The result of a streaming aggregate of any number of keys, read from its state."""
+    spark = grouped.sparkSession
+    progress = scratch_path(spark, f"{label}-progress")
+    streams.drain(streams.start_to_state(grouped, progress, mode))
+    return streams.state_of(spark, progress, names)
 
 
 def _run_to_memory(df: DataFrame, label: str, mode: str) -> DataFrame:
@@ -75,13 +107,6 @@ def _run_to_memory(df: DataFrame, label: str, mode: str) -> DataFrame:
     return spark.table(name)
 
 
-def _check_few_types(events: DataFrame, rows_per_type: int = 1) -> None:
-    """The in-memory sink holds one row per type and batch; refuse what it could not hold."""
-    types = events.select("event_type").distinct()
-    if not within(types, streams.MAX_MEMORY_ROWS // rows_per_type):
-        raise ValueError("too many event types for a result table on the driver")
-
-
 def _in_files(events: DataFrame, label: str, at_least: int) -> tuple[str, int]:
     """The events written as at least that many files, without a shuffle."""
     path = scratch_path(events.sparkSession, label)
@@ -110,19 +135,34 @@ def stream_json_source(spark: SparkSession, sf_dir: str) -> DataFrame:
            round(CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*), 2) AS avg_value
     FROM events GROUP BY event_type""")
 def stream_category_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Complete mode: the whole result after every batch, read with SQL."""
-    _check_few_types(table(spark, sf_dir, "events"))
+    """Complete mode, the whole result read with SQL: from the state, however many types there are."""
+    sums = unit_parts("value", "cents")
     stats = (
         streams.table_stream(spark, sf_dir, "events")
+        .select("event_type", *[part.alias(name) for name, part in sums.items()])
         .groupBy("event_type")
-        .agg(
-            count_rows().alias("event_count"),
-            exact_sum("value").alias("total_value"),
-            F.round(exact_avg("value"), 2).alias("avg_value"),
-        )
+        .agg(count_rows().alias("event_count"), *[F.sum(name).alias(name) for name in sums])
     )
-    result = _run_to_memory(stats, "category_stats", "complete")
-    return spark.sql("SELECT * FROM {result} ORDER BY total_value DESC", result=result)
+    state = _aggregated(stats, ["event_count", *sums], "category-stats", "complete")
+    total = from_parts(F.col("cents_high"), F.col("cents_low"))
+    result = state.select("event_type", "event_count", total.alias("total_value"))
+    return spark.sql(
+        """SELECT event_type, event_count, total_value, round(total_value / event_count, 2) AS avg_value
+           FROM {result} ORDER BY total_value DESC""",
+        result=result,
+    )
+
+
+@query("""
+    SELECT n_name, COUNT(*) AS customers FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""")
+def stream_memory_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A result of known size, a row per nation, in a table on the driver."""
+    nation = table(spark, sf_dir, "nation")
+    if not within(nation, streams.MAX_MEMORY_ROWS):
+        raise ValueError("too many nations for a result table on the driver")
+    customers = streams.table_stream(spark, sf_dir, "customer")
+    named = customers.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    return _run_to_memory(named.groupBy("n_name").agg(count_rows().alias("customers")), "nation_counts", "complete")
 
 
 WINDOWED = """
@@ -145,51 +185,51 @@ def stream_window_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     events = table(spark, sf_dir, "events")
     loads = max(4, events.count() // SLICE_ROWS)
-    return _replayed(_arrivals(events, loads), loads, _daily, "stream-window")
+    counts, late = _replayed(arrivals(events, loads), loads, _daily, "stream-window")
+    if late:
+        raise ValueError("events were late although they came in order")
+    return counts
 
 
 @query("""
-    WITH ends AS (SELECT MIN(epoch_us(ts)) AS first, MAX(epoch_us(ts)) AS last FROM events),
-    sliced AS (SELECT *, (epoch_us(ts) - first) * 4 // (last - first + 1) AS slice FROM events, ends),
-    arrived AS (
-        SELECT event_type, ts, date_trunc('day', ts)::TIMESTAMP AS window_start,
-               window_start + INTERVAL 1 DAY AS window_end,
-               CASE WHEN slice = 0 AND event_id % 10 = 0 THEN 3 ELSE slice END AS arrival
-        FROM sliced)
-    SELECT window_start, window_end, event_type, COUNT(*) AS event_count FROM arrived
-    WHERE window_end <= (SELECT MAX(ts) FROM arrived) - INTERVAL 1 HOUR
-      AND NOT (arrival = 3 AND window_end <= (SELECT MAX(ts) FROM arrived WHERE arrival < 3) - INTERVAL 1 HOUR)
-    GROUP BY window_start, window_end, event_type""")
+    SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, event_type, COUNT(*) AS event_count
+    FROM (SELECT *, date_trunc('day', ts)::TIMESTAMP AS window_start FROM events)
+    WHERE window_start + INTERVAL 1 DAY <= (SELECT MAX(ts) FROM events) - INTERVAL 1 HOUR
+      AND NOT (event_id % 10 = 0 AND ts < (SELECT MIN(ts) FROM events) + INTERVAL 3 DAY)
+    GROUP BY window_start, event_type""")
 def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """In four loads, of which the last brings a tenth of the first: too late for windows already written."""
-    events = _arrivals(table(spark, sf_dir, "events"), 4)
-    is_late = (F.col("arrival") == 0) & (F.col("event_id") % 10 == 0)
-    arriving = events.withColumn("arrival", F.when(is_late, 3).otherwise(F.col("arrival")))
-    return _replayed(arriving, 4, _daily, "stream-late")
+    """The last of four loads brings a tenth of the first three days: too late for windows already written."""
+    events = table(spark, sf_dir, "events")
+    first = events.select(F.min("ts")).scalar()
+    is_late = (F.col("ts") < F.lit(first) + F.expr("INTERVAL 3 DAYS")) & (F.col("event_id") % 10 == 0)
+    arriving = arrivals(events, 4).withColumn("arrival", F.when(is_late, 3).otherwise(F.col("arrival")))
+    counts, late = _replayed(arriving, 4, _daily, "stream-late")
+    if not late:
+        raise ValueError("no event was late")
+    return counts
 
 
-@query(TYPE_COUNTS)
-def stream_multi_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """State carried over several micro-batches."""
+def _type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running counts by type over four batches or more."""
     events = table(spark, sf_dir, "events").select("event_type")
-    _check_few_types(events)
     path, files = _in_files(events, "events-files", at_least=4)
     replay = streams.parquet_stream(spark, path, events.schema, -(-files // 4))
-    counts = replay.groupBy("event_type").agg(count_rows().alias("event_count"))
-    return _run_to_memory(counts, "type_counts", "complete")
+    return replay.groupBy("event_type").agg(count_rows().alias("event_count"))
+
+
+@query(TYPE_COUNTS)
+def stream_multi_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State carried over several micro-batches, and read as a table after the last."""
+    return _aggregated(_type_counts(spark, sf_dir), ["event_count"], "type-counts", "complete")
 
 
 @query(TYPE_COUNTS)
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Update mode logs the changed rows of each batch; the newest per key is the table."""
-    batches = 4
-    events = table(spark, sf_dir, "events").select("event_type")
-    _check_few_types(events, batches + 1)
-    path, files = _in_files(events, "events-files", at_least=batches)
-    replay = streams.parquet_stream(spark, path, events.schema, -(-files // batches))
-    counts = replay.groupBy("event_type").agg(count_rows().alias("event_count"))
-    log = _run_to_memory(counts, "type_log", "update")
-    return streams.latest_per_key(log, ["event_type"], "event_count")
+    """Update mode: the state store logs the changed rows of each batch; the newest per key is the table."""
+    progress = scratch_path(spark, "type-log-progress")
+    streams.drain(streams.start_to_state(_type_counts(spark, sf_dir), progress))
+    log = streams.state_changes(spark, progress, ["event_count"])
+    return streams.latest_per_key(log, ["event_type"], "batch_id").select("event_type", "event_count")
 
 
 @query("SELECT event_id, user_id, value, event_type FROM events")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from brindle.sources.tables import table
 
@@ -121,6 +121,53 @@ def start_to_memory(
     )
 
 
+def start_to_state(df: DataFrame, checkpoint: str, mode: str = "update", **trigger: object) -> StreamingQuery:
+    """Run an aggregate whose result is kept where its state is, in the checkpoint, whatever its size.
+
+    :func:`state_of` reads it as a table, :func:`state_changes` what each batch changed.
+    """
+    return (
+        df.writeStream.format("noop")
+        .outputMode(mode)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
+def _named(state: DataFrame, names: Sequence[str]) -> Column:
+    """The aggregation buffer with a name for each of its fields, which are told apart by place only."""
+    fields = state.schema["value"].dataType.fields
+    if len(fields) != len(names):
+        raise ValueError(f"the state holds {len(fields)} fields: only counts, sums of longs, least and greatest values are their own state")
+    return F.col("value").cast(StructType([StructField(n, f.dataType) for n, f in zip(names, fields)]))
+
+
+def state_of(spark: SparkSession, checkpoint: str, names: Sequence[str]) -> DataFrame:
+    """The keys and aggregates of a query after its last batch, read by all executors from the checkpoint.
+
+    ``names`` are those of the aggregates, in their order: counts, sums of longs,
+    minima and maxima, which are their own state.
+    """
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select("key.*", _named(state, names).alias("value")).select("*", "value.*").drop("value")
+
+
+def state_changes(spark: SparkSession, checkpoint: str, names: Sequence[str]) -> DataFrame:
+    """The rows that each batch changed, with its ``batch_id``: the log of update mode as a table.
+
+    As far back as the state store keeps its batches (``spark.sql.streaming.minBatchesToRetain``).
+    """
+    changes = spark.read.format("statestore").option("readChangeFeed", True).option("changeStartBatchId", 0).load(checkpoint)
+    updates = changes.filter("change_type = 'update'")
+    return updates.select("batch_id", "key.*", _named(updates, names).alias("value")).select("*", "value.*").drop("value")
+
+
+def dropped_as_late(query: StreamingQuery) -> int:
+    """What the watermark dropped, from the query's progress: groups of late rows, as combined by each task."""
+    return sum(state.get("numRowsDroppedByWatermark", 0) for step in query.recentProgress for state in step["stateOperators"])
+
+
 def drain(query: StreamingQuery, timeout: float | None = None) -> None:
     """Wait for the query to end (or for ``timeout`` seconds), then stop it.
 

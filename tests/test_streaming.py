@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from brindle.plans.stream_queries import arrivals
 from brindle.sources.tables import save_dataset
 from brindle.streaming import streams
 from brindle.workspace import scratch_path
@@ -114,3 +115,47 @@ def test_table_stream_takes_a_file_and_a_directory(spark):
         streams.drain(streams.start_to_files(stream, out, scratch_path(spark, "progress")))
         expected = rows or spark.read.parquet(f"{sf_dir}/events.parquet").count()
         assert spark.read.parquet(out).count() == expected
+
+
+def test_loads_of_skewed_events_are_even(spark):
+    """A third of the events in one hour, another third in one instant, and some without a time."""
+    events = spark.range(9000).selectExpr(
+        "id AS event_id",
+        """CASE WHEN id % 3 = 0 THEN timestamp_ntz'2024-01-05 00:00:00' + make_dt_interval(0, 0, 0, id * 0.4)
+                WHEN id % 3 = 1 THEN timestamp_ntz'2024-01-07 00:00:00'
+                WHEN id % 300 <> 2 THEN timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, id) END AS ts""",
+    )
+    for loads in (1, 4, 12, 40):
+        found = arrivals(events, loads)
+        sizes = found.groupBy("arrival").agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("a"), F.max("ts").alias("b"))
+        sizes = sorted(map(tuple, sizes.collect()))
+        assert [x[0] for x in sizes] == list(range(loads)) and sum(x[1] for x in sizes) == 9000
+        assert max(x[1] for x in sizes) <= 2.05 * 9000 / loads
+        assert all(x[3] <= y[2] for x, y in zip(sizes, sizes[1:]))
+    assert arrivals(events.limit(0), 4).collect() == []
+
+
+def test_state_is_read_as_a_table(spark, tmp_path):
+    source = _event_files(f"{tmp_path}/in", LATE)
+    events = streams.json_stream(spark, source, SCHEMA, max_files_per_trigger=1)
+    sums = {"n": F.count(F.lit(1)), "total": F.sum(F.col("amount").cast("bigint")), "least": F.min("amount")}
+    counts = events.groupBy("category").agg(*[c.alias(n) for n, c in sums.items()])
+    for mode in ("complete", "update"):
+        progress = scratch_path(spark, "state")
+        query = streams.start_to_state(counts, progress, mode)
+        streams.drain(query)
+        assert streams.dropped_as_late(query) == 0
+        assert list(map(tuple, streams.state_of(spark, progress, list(sums)).collect())) == [("Books", 5, 310, 10.0)]
+    log = streams.state_changes(spark, progress, list(sums))
+    assert sorted(r["n"] for r in log.collect()) == [1, 2, 3, 4, 5]
+    assert streams.latest_per_key(log, ["category"], "batch_id").first()["n"] == 5
+    with pytest.raises(ValueError, match="3 fields"):
+        streams.state_of(spark, progress, ["n"])
+
+
+def test_late_groups_are_counted(spark, tmp_path):
+    source = _event_files(f"{tmp_path}/in", LATE)
+    stream = _by_window(streams.json_stream(spark, source, SCHEMA, max_files_per_trigger=1))
+    query = streams.start_to_files(stream, scratch_path(spark, "late"), scratch_path(spark, "progress"))
+    streams.drain(query)
+    assert streams.dropped_as_late(query) == 1
