@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brindle.functions.numbers import exact_doubles
 from brindle.operators.windows import top_n
 
 
@@ -48,6 +49,38 @@ def approximate_distinct(df: DataFrame, column: str, rsd: float = 0.05) -> DataF
     return df.agg(F.count_distinct(column).alias("exact")).withColumn("approximate", sketch)
 
 
+def distinct_sketches(df: DataFrame, by: Sequence[str], column: str, log_size: int = 12) -> DataFrame:
+    """One sketch of the distinct values of ``column`` per group, to be stored and merged later.
+
+    2^``log_size`` registers bound a sketch's bytes whatever it has seen; nulls are not counted.
+    """
+    return df.groupBy(*by).agg(F.hll_sketch_agg(column, log_size).alias("sketch"))
+
+
+def merged_distinct(sketches: DataFrame, by: Sequence[str], name: str = "distinct") -> DataFrame:
+    """Distinct values per coarser group, from stored sketches alone."""
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias(name))
+
+
+def distinct_ids(df: DataFrame, by: Sequence[str], column: str, name: str = "distinct") -> DataFrame:
+    """Exact distinct counts of non-negative 64-bit ids per group, by bitmaps of 32,768 ids.
+
+    A task combines its ids into bitmaps before anything is shuffled, so dense ids (row
+    numbers, order keys) travel as a bit each. Sparse ones would take a bitmap for
+    each id: for those ``count_distinct`` is the better plan. Nulls are not counted.
+    """
+    rows = df.where(F.col(column).isNotNull()).withColumn("_bucket", F.bitmap_bucket_number(F.col(column)))
+    bits = rows.groupBy(*by, "_bucket").agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col(column))).alias("_bits"))
+    return bits.groupBy(*by).agg(F.sum(F.bitmap_count("_bits")).alias(name))
+
+
+def sum_doubles(df: DataFrame, by: Sequence[str], column: str, name: str = "total") -> DataFrame:
+    """Exact sums of any doubles per group, rounded once, whatever the order of rows."""
+    exact = exact_doubles(df, column)
+    summed = df.groupBy(*by).agg(*[F.sum(c).alias(n) for n, c in exact.addends.items()])
+    return summed.withColumn(name, exact.total(F.col)).drop(*exact.addends)
+
+
 def skew_profile(df: DataFrame, key: str) -> DataFrame:
     """Rows per key and their ratio to the mean, heaviest first."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("count"))

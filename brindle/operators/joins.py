@@ -280,3 +280,72 @@ def bucketed_join(
         return joined
     hot_left, hot_right = (side.join(keys, on, "left_semi") for side in (left, right))
     return joined.unionByName(skew_join(hot_left, hot_right, on, "inner", max_group_rows))
+
+
+class Buckets(NamedTuple):
+    """A table kept in sorted buckets of a key, and its rows of keys too large for one bucket; None for none."""
+
+    rows: DataFrame
+    hot: DataFrame | None
+    key: str
+
+
+HOT_TABLE = "_hot"
+
+
+def save_buckets(
+    df: DataFrame, name: str, key: str, buckets: int, path: str | None = None, max_group_rows: int = MAX_GROUP_ROWS
+) -> Buckets:
+    """Write ``df`` as the catalog table ``name``, bucketed and sorted by ``key``, and its hot keys as a table beside it.
+
+    Both replace tables of their names. They stay in the catalog for any number of
+    joins; the files go to ``path``, or to the application's shared folder. A bucket is
+    read by one task: keys with more than ``max_group_rows`` rows, and null keys, which
+    would share one bucket, go to the table beside it.
+    """
+    spark = df.sparkSession
+    buckets = min(buckets, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    too_large = F.col(key).isNull() | (F.col("_rows") > max_group_rows)
+    found, size = measured(counts.filter(too_large).select(key), f"{name}-hot")
+    base = path or scratch_path(spark, name)
+    for table in (name, name + HOT_TABLE):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    if size["rows"]:
+        found = F.broadcast(found) if size["rows"] <= MAX_BROADCAST_ROWS and size["bytes"] <= MAX_BROADCAST_BYTES else found
+        renamed = found.withColumnRenamed(key, "_hot_key")
+        is_hot = F.col(key).eqNullSafe(F.col("_hot_key"))
+        df.join(renamed, is_hot, "left_semi").write.option("path", f"{base}/hot").saveAsTable(name + HOT_TABLE)
+        df = df.join(renamed, is_hot, "left_anti")
+    ordered = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    ordered.option("path", f"{base}/rows").saveAsTable(name)
+    return load_buckets(spark, name, key)
+
+
+def load_buckets(spark: SparkSession, name: str, key: str) -> Buckets:
+    """The tables that :func:`save_buckets` has written under ``name``."""
+    hot = spark.table(name + HOT_TABLE) if spark.catalog.tableExists(name + HOT_TABLE) else None
+    return Buckets(spark.table(name), hot, key)
+
+
+def has_buckets(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name)
+
+
+def join_buckets(left: Buckets, right: Buckets, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """Inner join of two tables kept in the same buckets of the same key: without a shuffle or a write.
+
+    Only keys that are hot on a side leave the buckets: they meet in :func:`skew_join`.
+    """
+    on = left.key
+    joined = left.rows.hint("merge").join(right.rows, on)
+    if left.hot is None and right.hot is None:
+        return joined
+    hot = [side.hot.filter(F.col(on).isNotNull()).select(on) for side in (left, right) if side.hot is not None]
+    keys = broadcast_within(materialize(reduce(DataFrame.unionByName, hot).distinct(), "hot-keys"))
+
+    def of_hot(side: Buckets) -> DataFrame:
+        rows = side.rows.join(keys, on, "left_semi")
+        return rows if side.hot is None else rows.unionByName(side.hot.filter(F.col(on).isNotNull()))
+
+    return joined.unionByName(skew_join(of_hot(left), of_hot(right), on, "inner", max_group_rows))

@@ -62,6 +62,11 @@ def cached(
         df.unpersist()
 
 
+def release_all(spark: SparkSession) -> None:
+    """Drop every cached frame and table of the session, whoever cached it."""
+    spark.catalog.clearCache()
+
+
 def partition_count(df: DataFrame) -> DataFrame:
     """Rows and non-empty partitions."""
     per_partition = df.groupBy(F.spark_partition_id().alias("_pid")).agg(

@@ -255,3 +255,32 @@ def top3_users_by_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM events GROUP BY user_id""")
 def skew_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.skew_profile(table(spark, sf_dir, "events"), "user_id")
+
+
+@query("""
+    SELECT label, round(SUM((x::DOUBLE * 1208925819614629174706176.0)::HUGEINT)::DOUBLE / 1208925819614629174706176.0, 9) AS total
+    FROM (SELECT label, unnest(embedding) AS x FROM embeddings) GROUP BY label""")
+def sum_any_doubles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of vectors have no last decimal; the oracle sums multiples of 2^-80."""
+    rows = table(spark, sf_dir, "embeddings").select("label", F.explode("embedding").alias("x"))
+    return aggregates.sum_doubles(rows, ["label"], "x").select("label", F.round("total", 9).alias("total"))
+
+
+@query("SELECT o_orderstatus, COUNT(DISTINCT l_orderkey) AS orders FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderstatus")
+def distinct_orders_by_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order keys are dense: a bit each."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey").join(orders, "l_orderkey")
+    return aggregates.distinct_ids(lines, ["o_orderstatus"], "l_orderkey", "orders")
+
+
+@query("SELECT event_type, true AS within_bound FROM events GROUP BY event_type")
+def rolled_up_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users by type and day as stored sketches; the days are merged without looking at an event again."""
+    events = table(spark, sf_dir, "events")
+    daily = aggregates.distinct_sketches(events.withColumn("day", F.to_date("ts")), ["event_type", "day"], "user_id")
+    rolled = aggregates.merged_distinct(materialize(daily, "daily-sketches"), ["event_type"], "estimate")
+    exact = events.groupBy("event_type").agg(F.count_distinct("user_id").alias("exact"))
+    # four standard errors at 2^12 registers
+    within = F.abs(F.col("estimate") - F.col("exact")) <= 4 * 1.04 / 64 * F.col("exact") + 1
+    return exact.join(rolled, "event_type").select("event_type", within.alias("within_bound"))

@@ -105,3 +105,62 @@ def test_codes_stay_apart(spark, tmp_path):
 def test_partition_skew(spark):
     skew = layout.partition_skew(spark.range(0, 90, 1, 3).where("id < 40")).collect()
     assert [(r["rows"], r["ratio_to_mean"]) for r in skew] == [(30, 1.5), (10, 0.5)]
+
+
+def test_one_csv_file_feeds_many_tasks(spark, tmp_path):
+    texts = [f"{i}\n\\n\r\\r\\\\b,\"{i}\"" * 20 for i in range(2000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, `a text` string")
+    save_dataset(df, str(tmp_path / "csv"), "csv", single_file=True)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        read = load_dataset(spark, str(tmp_path / "csv"), "csv", df.schema)
+        assert len(read.inputFiles()) == 1 and read.rdd.getNumPartitions() > 4
+        assert rows(read) == rows(df)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_csv_from_elsewhere(spark, tmp_path):
+    (tmp_path / "plain.csv").write_text('id,text\n1,C:\\new\n2,"a ""b"""\n')
+    read = load_dataset(spark, str(tmp_path / "plain.csv"), "csv", "id int, text string", line_breaks="none")
+    assert sorted(map(tuple, read.collect())) == [(1, "C:\\new"), (2, 'a "b"')]
+    (tmp_path / "broken.csv").write_text('id,text\n1,"a\nb"\n')
+    read = load_dataset(spark, str(tmp_path / "broken.csv"), "csv", "id int, text string", line_breaks="quoted")
+    assert list(map(tuple, read.collect())) == [(1, "a\nb")]
+    with pytest.raises(ValueError, match="line breaks"):
+        load_dataset(spark, str(tmp_path), "csv", "id int", line_breaks="some")
+
+
+def test_kept_buckets(spark):
+    left = spark.range(1, 200).selectExpr("id % 40 AS k", "id AS x")
+    right = spark.range(900).selectExpr("CASE WHEN id < 300 THEN 5 WHEN id < 400 THEN NULL ELSE id % 60 END AS k", "id AS y")
+    plain = left.join(right, "k")
+    cold = joins.save_buckets(left, "kept_left", "k", 4)
+    other = joins.save_buckets(right.filter("k <> 5"), "kept_cold", "k", 4)
+    for _ in range(2):
+        again = joins.join_buckets(joins.load_buckets(spark, "kept_left", "k"), joins.load_buckets(spark, "kept_cold", "k"))
+        plan = layout.plan_text(again)
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert rows(again) == rows(plain.filter("k <> 5"))
+    assert cold.hot is None and other.hot is None
+    assert "SelectedBucketsCount: 1 out of 4" in layout.plan_text(again.filter("k = 7"))
+    hot = joins.save_buckets(right, "kept_right", "k", 4, max_group_rows=50)
+    assert hot.hot.count() >= 400
+    assert rows(joins.join_buckets(cold, hot, 50)) == rows(plain)
+    # a key that is hot on one side only, on the left
+    swapped = joins.join_buckets(hot, cold, 50)
+    assert rows(swapped.select("k", "x", "y")) == rows(plain)
+    for name in ("kept_left", "kept_cold", "kept_right", "kept_right_hot"):
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_distinct_ids_and_sketches(spark):
+    df = spark.range(5000).selectExpr("id % 3 AS k", "IF(id % 11 = 0, NULL, (id * 7919) % 100003) AS v").unionByName(
+        spark.createDataFrame([(9, None), (2, 1 << 40)], "k bigint, v bigint")
+    )
+    exact = {r[0]: r[1] for r in df.groupBy("k").agg(F.count_distinct("v")).collect()}
+    got = {r["k"]: r["distinct"] for r in aggregates.distinct_ids(df, ["k"], "v").collect()}
+    assert got == {k: n for k, n in exact.items() if n}
+    daily = aggregates.distinct_sketches(df.withColumn("d", F.col("v") % 5), ["k", "d"], "v")
+    merged = {r["k"]: r["distinct"] for r in aggregates.merged_distinct(daily, ["k"]).collect()}
+    assert all(abs(merged[k] - n) <= 0.07 * n + 1 for k, n in exact.items())
