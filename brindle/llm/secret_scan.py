@@ -1,13 +1,13 @@
 """Secret scan: known shapes, and high entropy in a sliding window over candidate strings.
 
-Everything is column functions over one row, so a scan reads each text once and
-moves nothing. Candidate strings are long runs of token characters with a letter
+Everything is column functions over one row, so a scan moves nothing; a text is
+matched once per shape, in time that grows with its length. Candidate strings are long runs of token characters with a letter
 and a digit. A fold over a candidate's characters holds the count of each
 character in the window and the sum of c log2 c over them; the character that
 enters and the one that leaves change two counts. The entropy of every window
-follows from that sum. What windows above the threshold of their character
-class cover is a span, unless the candidate is of an allowed shape; windows that
-touch a placeholder do not count. A candidate
+follows from that sum. Each stretch that windows above the threshold of their
+character class cover is a span, unless the candidate is of an allowed shape; windows
+that touch a placeholder do not count. A candidate
 is hexadecimal as a whole; in others a window of digits and letters of one case
 has a lower threshold than one of both cases or with signs.
 """
@@ -79,35 +79,51 @@ def _let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def _starts(gaps: Column, matches: Column) -> Column:
-    """Where each match begins, from the lengths of the matches and of what stands between them."""
+def _running(items: Column, zero: Column, step, out: str) -> Column:
+    """The outputs of ``step(carry, item)``, a struct of ``carry`` and ``out``, along a list."""
 
-    def step(state: Column, i: Column) -> Column:
-        start = state["at"] + F.length(gaps[i])
+    def one(state: Column, item: Column) -> Column:
         return _let(
-            start,
-            lambda s: F.struct((s + F.length(matches[i])).alias("at"), F.array_append(state["out"], s).alias("out")),
+            step(state["carry"], item),
+            lambda r: F.struct(r["carry"].alias("carry"), F.array_append(state["out"], r["out"]).alias("out")),
         )
 
     def block(state: Column, b: Column) -> Column:
-        last = F.least(b * BLOCK + BLOCK - 1, F.size(matches) - 1)
-        empty = F.struct(state["at"].alias("at"), F.expr("cast(array() as array<int>)").alias("out"))
-        inner = F.aggregate(F.sequence((b * BLOCK).cast("int"), last.cast("int")), empty, step)
+        empty = F.struct(state["carry"].alias("carry"), F.expr(f"cast(array() as array<{out}>)").alias("out"))
+        inner = F.aggregate(F.slice(items, (b * BLOCK + 1).cast("int"), F.lit(BLOCK)), empty, one)
         return _let(
-            inner, lambda x: F.struct(x["at"].alias("at"), F.array_append(state["out"], x["out"]).alias("out"))
+            inner, lambda x: F.struct(x["carry"].alias("carry"), F.array_append(state["out"], x["out"]).alias("out"))
         )
 
-    blocks = F.sequence(F.lit(0), F.floor((F.size(matches) - 1) / BLOCK).cast("int"))
-    empty = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<array<int>>)").alias("out"))
-    laid = F.flatten(F.aggregate(blocks, empty, block)["out"])
-    return F.when(F.size(matches) > 0, laid).otherwise(F.expr("cast(array() as array<int>)"))
+    blocks = F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int"))
+    start = F.struct(zero.alias("carry"), F.expr(f"cast(array() as array<array<{out}>>)").alias("out"))
+    laid = F.flatten(F.aggregate(blocks, start, block)["out"])
+    return F.when(F.size(items) > 0, laid).otherwise(F.expr(f"cast(array() as array<{out}>)"))
 
 
-def _entropy(candidate: Column) -> Column:
-    """(first, end) of what windows over the threshold cover in a candidate, null without any.
+def _starts(gaps: Column, matches: Column) -> Column:
+    """Where each match begins, from the lengths of the matches and of what stands between them."""
+    lengths = F.transform(matches, lambda m, i: F.struct(F.length(gaps[i]).alias("gap"), F.length(m).alias("match")))
 
-    ``first`` is the start of the first such window, ``end`` the end of the last.
-    """
+    def step(at: Column, x: Column) -> Column:
+        start = at + x["gap"]
+        return F.struct((start + x["match"]).alias("carry"), start.alias("out"))
+
+    return _let(lengths, lambda items: _running(items, F.lit(0), step, "int"))
+
+
+def _matches(text: Column, pattern: str, use) -> Column:
+    """Spans ``use(matches, their starts)``; the text is matched and cut once, whatever is found."""
+
+    def placed(found: Column) -> Column:
+        starts = _let(F.split(text, pattern, -1), lambda gaps: _starts(gaps, found))
+        return F.when(F.size(found) > 0, _let(starts, lambda at: use(found, at))).otherwise(F.expr(f"cast(array() as array<{SPAN}>)"))
+
+    return _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
+
+
+def _entropy(candidate: Column) -> Column:
+    """The stretches (first, end) that windows over the threshold cover in a candidate."""
     c_log_c = F.array(*(F.lit(c * math.log2(c) if c else 0.0) for c in range(WINDOW + 1)))
     hexadecimal = candidate["text"].rlike(HEX_CLASS)
     masked = F.when(
@@ -152,6 +168,10 @@ def _entropy(candidate: Column) -> Column:
                     )
                     whole = (i >= WINDOW - 1) & (mask_at <= i - WINDOW)
                     high = whole & (F.lit(math.log2(WINDOW)) - total / WINDOW > bits)
+                    opens = high & ((state["first"] < 0) | (i - WINDOW + 1 > state["end"]))
+                    closes = opens & (state["first"] >= 0)
+                    full = closes & (F.size(state["late"]) >= BLOCK)
+                    closed = F.struct(state["first"].alias("first"), state["end"].alias("end"))
                     return F.struct(
                         moved.alias("counts"),
                         total.alias("total"),
@@ -159,8 +179,10 @@ def _entropy(candidate: Column) -> Column:
                         lower_at.alias("lower"),
                         sign_at.alias("sign"),
                         mask_at.alias("mask"),
-                        F.when(high & (state["first"] < 0), i - WINDOW + 1).otherwise(state["first"]).alias("first"),
+                        F.when(opens, i - WINDOW + 1).otherwise(state["first"]).alias("first"),
                         F.when(high, i + 1).otherwise(state["end"]).alias("end"),
+                        F.when(full, F.array(closed)).when(closes, F.array_append(state["late"], closed)).otherwise(state["late"]).alias("late"),
+                        F.when(full, F.array_append(state["early"], state["late"])).otherwise(state["early"]).alias("early"),
                     )
 
                 return _let(total, note)
@@ -173,17 +195,40 @@ def _entropy(candidate: Column) -> Column:
             *(F.lit(-1).alias(name) for name in ("upper", "lower", "sign", "mask")),
             F.lit(-1).alias("first"),
             F.lit(-1).alias("end"),
+            F.expr("cast(array() as array<struct<first:int,end:int>>)").alias("late"),
+            F.expr("cast(array() as array<array<struct<first:int,end:int>>>)").alias("early"),
         )
         return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), zero, step)
 
-    found = _let(codes, fold)
-    return _let(found, lambda f: F.when(f["first"] >= 0, F.struct(f["first"].alias("first"), f["end"].alias("end"))))
+    def stretches(f: Column) -> Column:
+        last = F.array(F.struct(f["first"].alias("first"), f["end"].alias("end")))
+        return F.when(f["first"] >= 0, F.concat(F.flatten(f["early"]), f["late"], last))
+
+    return _let(_let(codes, fold), stretches)
 
 
 def _span(start: Column, kind: Column, end: Column) -> Column:
     return F.struct(start.cast("int").alias("start"), kind.cast("int").alias("kind"), end.cast("int").alias("end"))
 
 
+def _uncovered(base: Column, added: Column) -> Column:
+    """Added spans that no base span covers; both lists are in the order of their starts."""
+
+    def tagged(spans: Column, tag: int) -> Column:
+        return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(tag).alias("tag"), s.alias("span")))
+
+    def step(reached: Column, x: Column) -> Column:
+        is_base = x["tag"] == 0
+        return F.struct(
+            F.when(is_base, F.greatest(reached, x["span"]["end"])).otherwise(reached).alias("carry"),
+            F.when(~is_base & (reached < x["span"]["end"]), x["span"]).alias("out"),
+        )
+
+    merged = F.array_sort(F.concat(tagged(base, 0), tagged(added, 1)))
+    kept = _let(merged, lambda items: F.filter(_running(items, F.lit(-1), step, SPAN), lambda s: s.isNotNull()))
+    return F.when((F.size(base) > 0) & (F.size(added) > 0), kept).otherwise(added)
+
+
 def scan(df: DataFrame, text: str = "text", name: str = "secrets") -> DataFrame:
     """``df`` with the spans found in ``text``, as an array of (start, kind, end) ordered by start and kind.
 
@@ -195,58 +240,41 @@ def scan(df: DataFrame, text: str = "text", name: str = "secrets") -> DataFrame:
     """
     kept = without(df, [name])
     value = F.coalesce(col(text), F.lit(""))
-    patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "candidate": CANDIDATE}
     rows = df.select(*(col(c).alias(f"kept_{i}") for i, c in enumerate(kept)), value.alias("text"))
-    rows = rows.select("*", *(F.regexp_extract_all("text", F.lit(p), F.lit(0)).alias(k) for k, p in patterns.items()))
-    rows = rows.select(
-        "*",
-        F.when(F.size("assign") > 0, F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2))).alias("values"),
-        *(F.when(F.size(k) > 0, F.split("text", p, -1)).alias(f"{k}_gaps") for k, p in patterns.items()),
-    )
-    rows = rows.select("*", *(_starts(F.col(f"{k}_gaps"), F.col(k)).alias(f"{k}_starts") for k in patterns))
-    lengths = {
-        "assign": lambda i: F.length(F.col("values")[i]) >= ASSIGN_VALUE,
-        "access": lambda i: F.length(F.col("access")[i]) >= ACCESS_LENGTH,
-        "hex": lambda i: F.lit(True),
-    }
-    none = F.expr(f"cast(array() as array<{SPAN}>)")
-
-    def base(kind: str) -> Column:
-        spans = F.transform(
-            F.col(f"{kind}_starts"),
-            lambda s, i: F.struct(
-                _span(s, F.lit(KINDS.index(kind)), s + F.length(F.col(kind)[i])).alias("span"),
-                lengths[kind](i).alias("keep"),
-            ),
-        )
-        return F.when(F.size(kind) > 0, F.transform(F.filter(spans, lambda x: x["keep"]), lambda x: x["span"])).otherwise(none)
+    text_column = F.col("text")
+
+    def spans_of(kind: str, found: Column, at: Column, lengths: Column, least: int) -> Column:
+        number = F.lit(KINDS.index(kind))
+        spans = F.transform(at, lambda s, i: F.when(F.length(lengths[i]) >= least, _span(s, number, s + F.length(found[i]))))
+        return F.filter(spans, lambda s: s.isNotNull())
+
+    def assigned(found: Column, at: Column) -> Column:
+        values = F.regexp_extract_all(text_column, F.lit(ASSIGN), F.lit(2))
+        return _let(values, lambda v: spans_of("assign", found, at, v, ASSIGN_VALUE))
 
-    rows = rows.select("*", F.concat(*(base(k) for k in KINDS[:3])).alias("base"))
-    candidates = F.transform(
-        F.col("candidate_starts"), lambda s, i: F.struct(s.alias("start"), F.col("candidate")[i].alias("text"))
+    base = F.concat(
+        _matches(text_column, ASSIGN, assigned),
+        _matches(text_column, ACCESS, lambda found, at: spans_of("access", found, at, found, ACCESS_LENGTH)),
+        _matches(text_column, HEX, lambda found, at: spans_of("hex", found, at, found, 0)),
     )
 
-    def judged(c: Column) -> Column:
-        allowed = c["text"].rlike("|".join(f"(?:{a})" for a in ALLOWED[1:3])) | c["text"].rlike(ALLOWED[0])
+    def judged(start: Column, text: Column) -> Column:
+        # a candidate of nothing but hexadecimal digits in lower case is a base span
+        allowed = text.rlike("|".join(f"(?:{a})" for a in ALLOWED[1:3])) | text.rlike(ALLOWED[0]) | text.rlike("^[0-9a-f]+$")
         kind = (
-            F.when(c["text"].rlike(HEX_CLASS), KINDS.index("entropy_hex"))
-            .when(c["text"].rlike(SINGLE_CLASS), KINDS.index("entropy_single"))
+            F.when(text.rlike(HEX_CLASS), KINDS.index("entropy_hex"))
+            .when(text.rlike(SINGLE_CLASS), KINDS.index("entropy_single"))
             .otherwise(KINDS.index("entropy_mixed"))
         )
-        return F.when(
-            ~allowed,
-            _let(
-                _entropy(c),
-                lambda e: F.when(e.isNotNull(), _span(c["start"] + e["first"], kind, c["start"] + e["end"])),
-            ),
-        )
+        stretches = _entropy(F.struct(text.alias("text")))
+        found = _let(kind, lambda k: F.transform(stretches, lambda e: _span(start + e["first"], k, start + e["end"])))
+        return F.when(~allowed, found)
 
-    added = F.filter(F.transform(candidates, judged), lambda s: s.isNotNull())
-    added = F.filter(
-        added, lambda s: ~F.exists("base", lambda b: (b["start"] <= s["start"]) & (b["end"] >= s["end"]))
-    )
-    added = F.when(F.size("candidate") > 0, added).otherwise(none)
-    spans = F.array_sort(F.concat("base", added)).alias(name)
+    def dense(found: Column, at: Column) -> Column:
+        return F.flatten(F.filter(F.transform(at, lambda s, i: _let(found[i], lambda t: judged(s, t))), lambda x: x.isNotNull()))
+
+    added = _matches(text_column, CANDIDATE, dense)
+    spans = _let(base, lambda b: _let(added, lambda x: F.array_sort(F.concat(b, _uncovered(b, x))))).alias(name)
     return rows.select(*(F.col(f"kept_{i}").alias(c) for i, c in enumerate(kept)), spans)
 
 
@@ -270,15 +298,19 @@ def counted(spans: Column, kind: str) -> Column:
 def redacted(text: Column, spans: Column) -> Column:
     """``text`` with each stretch that spans cover replaced by ``REDACTED``."""
 
-    def step(state: Column, s: Column) -> Column:
-        apart = s["start"] >= state["at"]
-        piece = F.substr(text, state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
-        return F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"),
-            F.when(apart, F.array_append(state["out"], F.concat(piece, F.lit(REDACTED)))).otherwise(state["out"]).alias("out"),
-        )
+    # code points of four bytes each, so that a piece is found by its place; the mark keeps a piece's own one
+    mark = F.unhex(F.lit("0000FEFF"))
+
+    def piece(wide: Column, start: Column, length: Column) -> Column:
+        return F.decode(F.concat(mark, F.substring(wide, start * 4 + 1, length * 4)), "UTF-32")
+
+    def whole(wide: Column) -> Column:
+        def step(at: Column, s: Column) -> Column:
+            found = F.when(s["start"] >= at, F.concat(piece(wide, at, s["start"] - at), F.lit(REDACTED))).otherwise("")
+            return F.struct(F.greatest(at, s["end"]).alias("carry"), found.alias("out"))
+
+        end = F.array_max(F.transform(spans, lambda s: s["end"]))
+        rest = _let(end, lambda at: piece(wide, at, F.octet_length(wide)))
+        return F.concat(F.array_join(_running(spans, F.lit(0), step, "string"), ""), rest)
 
-    empty = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
-    done = F.aggregate(spans, empty, step)
-    whole = _let(done, lambda d: F.concat(F.array_join(d["out"], ""), F.substr(text, d["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, whole).otherwise(text)
+    return F.when(F.size(spans) > 0, _let(F.encode(text, "UTF-32"), whole)).otherwise(text)
