@@ -61,23 +61,35 @@ def gen_products_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+HOT_SHARE = 0.3
+
+
 @query("""
-    WITH sold AS (SELECT o_custkey, l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
-    SELECT COUNT(*) AS orders,
-           (SELECT COUNT(DISTINCT o_custkey) FROM sold ANTI JOIN customer ON o_custkey = c_custkey) AS without_user,
-           (SELECT COUNT(DISTINCT l_partkey) FROM sold ANTI JOIN part ON l_partkey = p_partkey) AS without_product
-    FROM sold""")
+    SELECT COUNT(*) AS orders, COUNT(DISTINCT l_orderkey * 16 + l_linenumber) AS order_ids, CAST(0 AS BIGINT) AS without_user,
+           CAST(0 AS BIGINT) AS without_product, true AS hot_share_ok, true AS others_even
+    FROM lineitem""")
 def gen_orders_fk_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders whose user or product does not exist, found by distinct key."""
-    tables = _generated(spark, sf_dir)
-    orders = tables["orders"]
-    user_keys, product_keys = (orders.select(k).distinct() for k in ("user_id", "product_id"))
-    no_user = without_match(user_keys, tables["users"], "user_id", "user_id")
-    no_product = without_match(product_keys, tables["products"], "product_id", "product_id")
-    return orders.agg(count_rows().alias("orders")).withColumns(
+    """Orders with drawn keys: all exist, one customer has the share it was given, the others are about even."""
+    customer, part, lines = (table(spark, sf_dir, t) for t in ("customer", "part", "lineitem"))
+    ids = lines.select((F.col("l_orderkey") * 16 + F.col("l_linenumber")).alias("id"))
+    hot = customer.agg(F.max("c_custkey")).first()[0]
+    keyed = generate.draw_keys(ids, customer, "c_custkey", "user_id", {hot: HOT_SHARE})
+    orders = generate.orders_of(generate.draw_keys(keyed, part, "p_partkey", "product_id"))
+    no_user = without_match(orders.select("user_id").distinct(), customer, "user_id", "c_custkey")
+    no_product = without_match(orders.select("product_id").distinct(), part, "product_id", "p_partkey")
+    per_user = orders.groupBy("user_id").agg(count_rows().alias("n"))
+    is_hot, mean = F.col("user_id") == hot, F.avg(F.when(F.col("user_id") != hot, F.col("n")))
+    # five deviations of a share and ten of a count
+    tolerance = 5 * F.sqrt(F.lit(HOT_SHARE * (1 - HOT_SHARE)) / F.sum("n"))
+    shares = per_user.agg(
+        (F.abs(F.sum(F.when(is_hot, F.col("n"))) / F.sum("n") - HOT_SHARE) < tolerance).alias("hot_share_ok"),
+        (F.max(F.when(~is_hot, F.col("n"))) < mean + 10 * F.sqrt(mean) + 10).alias("others_even"),
+    )
+    return orders.agg(count_rows().alias("orders"), F.count_distinct("order_id").alias("order_ids")).withColumns(
         {
             "without_user": no_user.select(count_rows()).scalar(),
             "without_product": no_product.select(count_rows()).scalar(),
+            **{name: shares.select(name).scalar() for name in shares.columns},
         }
     )
 
@@ -85,11 +97,15 @@ def gen_orders_fk_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
     SELECT 'users' AS name, COUNT(*) AS rows FROM customer
     UNION ALL SELECT 'products', COUNT(*) FROM part
-    UNION ALL SELECT 'orders', COUNT(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
+    UNION ALL SELECT 'orders', COUNT(*) FROM lineitem""")
 def gen_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the three generated tables."""
-    sizes = [
-        df.agg(count_rows().alias("rows")).select(F.lit(name).alias("name"), "rows")
-        for name, df in _generated(spark, sf_dir).items()
-    ]
+    """Well-formed rows of the three tables that are made for the sizes of the given ones."""
+    rows = {"users": "customer", "products": "part", "orders": "lineitem"}
+    made = generate.generate(spark, **{name: table(spark, sf_dir, given).count() for name, given in rows.items()})
+    well_formed = {
+        "users": F.col("email").rlike("^user_[0-9A-Z]{8}@example.com$") & F.col("country").isin(generate.COUNTRIES),
+        "products": F.col("product_name").rlike("^Product_[0-9A-Z]{6}$") & F.col("price").between(10, 1000),
+        "orders": F.col("order_id").rlike("^ORD-[0-9A-Z]{10}$") & F.col("status").isin(generate.STATUSES),
+    }
+    sizes = [made[name].agg(F.lit(name).alias("name"), F.count_if(ok).alias("rows")) for name, ok in well_formed.items()]
     return sizes[0].unionByName(sizes[1]).unionByName(sizes[2])

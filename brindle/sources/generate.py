@@ -14,8 +14,9 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brindle.operators.windows import row_number
 from brindle.sources.tables import save_dataset
-from brindle.workspace import partitions_for
+from brindle.workspace import broadcast_within, materialize, partitions_for
 
 # The vocabularies and row counts of the data model.
 COUNTRIES = ["USA", "UK", "Germany", "France", "Japan", "Australia", "Canada", "Brazil"]
@@ -119,6 +120,56 @@ def orders(
     return orders_of(keyed, seed)
 
 
+def alias_table(shares: Sequence[float]) -> list[tuple[float, int]]:
+    """(chance of staying, other class) per class: a class drawn evenly, then kept or swapped, has its share."""
+    n = len(shares)
+    scaled = [share * n for share in shares]
+    table = [(1.0, i) for i in range(n)]
+    small, large = ([i for i in range(n) if (scaled[i] < 1) == low] for low in (True, False))
+    while small and large:
+        i, j = small.pop(), large.pop()
+        table[i] = (scaled[i], j)
+        scaled[j] += scaled[i] - 1
+        (small if scaled[j] < 1 else large).append(j)
+    return table
+
+
+def draw_keys(
+    ids: DataFrame, keys: DataFrame, key: str, name: str, shares: dict[int, float] | None = None, seed: int = 42
+) -> DataFrame:
+    """``ids`` with a key of the table ``keys`` drawn for each value of the column ``id``, in the column ``name``.
+
+    ``shares`` gives the share of rows that a key is to have; the other rows are spread
+    evenly over the other keys. Keys may have gaps: a row draws a rank, and the ranked
+    keys are joined, which no frequent key takes part in. Draws are hashes of the id.
+    """
+    shares = shares or {}
+    rest = 1 - sum(shares.values())
+    if rest < -1e-9 or min([*shares.values(), 0]) < 0:
+        raise ValueError("shares have to lie between 0 and 1 and add up to 1 at most")
+    fields = _Fields(seed, f"keys.{name}")
+    stated = list(shares)
+    others = keys.select(F.col(key).alias(name)).distinct()
+    ranked = row_number(others.filter(~F.col(name).isin(stated)) if stated else others, [], [name], "_rank")
+    ranked = materialize(ranked, "ranked-keys")
+    n = ranked.count()
+    table = alias_table([*shares.values(), max(rest, 0.0)])
+    drawn = fields.integer("class", 0, len(table) - 1)
+    stays = fields.number("stay", 0, (1 << 53) - 1) < F.element_at(F.array(*[F.lit(p * 2.0**53) for p, _ in table]), drawn + 1)
+    other = F.element_at(F.array(*[F.lit(j) for _, j in table]), drawn + 1)
+    classed = ids.withColumn("_class", F.when(stays, drawn).otherwise(other))
+    is_stated = F.col("_class") < len(stated)
+    if n == 0 and not classed.filter(~is_stated).isEmpty():
+        raise ValueError("no key is left to draw from")
+    cold = classed.filter(~is_stated).withColumn("_rank", fields.number("rank", 1, max(n, 1)))
+    cold = cold.join(broadcast_within(ranked), "_rank").drop("_rank", "_class")
+    if not stated:
+        return cold
+    values = F.array(*[F.lit(k).cast(keys.schema[key].dataType) for k in stated])
+    hot = classed.filter(is_stated).withColumn(name, F.element_at(values, F.col("_class") + 1)).drop("_class")
+    return hot.unionByName(cold)
+
+
 def orders_of(ids: DataFrame, seed: int = 42) -> DataFrame:
     """An order for each value of the column ``id``, with the ``user_id`` and ``product_id`` beside it."""
     draw = _Fields(seed, "orders")
