@@ -64,7 +64,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, and after three edits of each: a cut, an insertion and a rewritten end."""
     ranks, pattern = RANKS, public_tokenizers.PATTERN
-    built = tokencount.build(documents(spark, sf_dir).select("doc_id", "text", "source"), ranks, pattern)
+    docs = documents(spark, sf_dir).select("doc_id", "text", "source")
     n = F.length(F.coalesce("text", F.lit("")))
     at = lambda x: F.floor(x).cast("int")
     edits = F.array(
@@ -72,8 +72,7 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(at(n / 2).alias("start"), at(n / 2).alias("end"), F.concat_ws("", F.lit(" ["), "source", F.lit("] ")).alias("text")),
         F.struct((n - 30).alias("start"), n.alias("end"), F.substring("text", 1, 10).alias("text")),
     )
-    counted = built.select("doc_id", "text", "token_tree", F.col("n_tokens").alias("n_tokens_before"), edits.alias("edits"))
-    after = tokencount.apply_edits(counted, ranks, pattern)
+    after = tokencount.apply_edits(docs.select("doc_id", "text", edits.alias("edits")), ranks, pattern, before="n_tokens_before")
     return after.select(
         "doc_id",
         F.col("n_tokens_before").alias("n_tokens"),
