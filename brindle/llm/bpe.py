@@ -1,7 +1,9 @@
 """Byte-level BPE encoding and decoding with recursive DuckDB queries inside the tasks.
 
 A text is cut by the tokenizer's pattern into pieces; each piece is encoded on
-its own. The pieces that a task has not met yet become token-position rows of an
+its own. For the public pattern the texts are first cut into chunks at places that
+are boundaries of pieces wherever they stand, and each distinct chunk of a slice is
+looked at once. The pieces of chunks that a task has not met yet become token-position rows of an
 in-process DuckDB, one row per byte. A recursive query joins neighbouring tokens
 with the merge table, contracts the leftmost pair of least rank in every piece,
 and goes on until no piece has a pair left. Decoding joins nothing but the ids
@@ -22,28 +24,25 @@ import re
 
 import duckdb
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField
 
+from brindle.llm.chunks import Known, coded, cuts, flat_bytes, spread
 from brindle.llm.tasks import append_columns
 
 # Unicode White_Space, as the patterns of public tokenizers mean \s.
 WHITE = "\t-\r \x85\xa0  -     　"
 
-# Every place where white space follows something else is a boundary of pieces,
-# whatever stands around: texts are cut there first, and each chunk of a slice is
-# cut into pieces once.
+# White space, and what follows it up to the next.
 CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 
 # Text that is encoded at a time; its chunks, tokens and decoded lists are held together.
 SLICE_BYTES = 3 << 19
 
-# A generation of cached pieces; two are held.
-CACHE_ENTRIES = 200_000
-
 # Tokens of whole documents that are lined up by one query.
 DECODED_TOKENS = 1 << 17
 
@@ -75,7 +74,8 @@ WITH RECURSIVE steps(step, word, pos, token, next_pos, next_token, merged) AS (
         ) b ON s.word = b.word AND s.pos <> b.left_pos
     ) moved LEFT JOIN merges ON merges.pair = moved.pair
 )
-SELECT word, pos, token FROM steps QUALIFY step = max(step) OVER (PARTITION BY word)
+SELECT steps.word, pos, token
+FROM steps JOIN (SELECT word, max(step) AS step FROM steps GROUP BY word) last ON last.word = steps.word AND last.step = steps.step
 """
 
 FIRST_STEP = """
@@ -96,23 +96,6 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-class Recent:
-    """A mapping that forgets what two generations have not asked for."""
-
-    def __init__(self, entries: int = CACHE_ENTRIES):
-        self.entries, self.young, self.old = entries, {}, {}
-
-    def missing(self, keys: set) -> list:
-        """The keys not held, which the caller adds; those that are held are kept for another generation."""
-        young, old = self.young, self.old
-        fresh = [key for key in keys if key not in young]
-        if len(young) + len(fresh) > self.entries:
-            # what is asked for now goes on, the rest waits to be asked for once more
-            self.old, self.young = young, {key: young[key] for key in keys if key in young}
-        self.young.update((key, old[key]) for key in fresh if key in old)
-        return [key for key in fresh if key not in old]
-
-
 class Encoder:
     """A vocabulary with its merge table in an in-process DuckDB."""
 
@@ -121,8 +104,9 @@ class Encoder:
         by_rank = {rank: token for token, rank in ranks.items()}
         self.vocabulary = pa.array([by_rank.get(rank) for rank in range(max(by_rank) + 1)], pa.binary())
         self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
-        # one cache; chunks was a second one and stays as its other name
-        self.chunks = self.pieces = Recent()
+        # only what is known of the pattern allows chunks that are cut before it is applied
+        self.cut = pattern == public_tokenizers.PATTERN
+        self.known = Known()
         pairs, merged = [], []
         for token, rank in ranks.items():
             for i in range(1, len(token)):
@@ -138,24 +122,44 @@ class Encoder:
         self.db.execute("CREATE TABLE merges AS SELECT * FROM given")
         self.db.unregister("given")
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
-        cut = [CHUNK.findall(text) for text in texts]
-        distinct = set().union(*cut)
-        split = {c: (c,) if (c[1:] if c[0] == " " else c).isalpha() else self.pattern.findall(c) for c in distinct}
-        self._learn({piece for pieces in split.values() for piece in pieces})
-        ids = self.pieces.young
-        held = {c: ids[p[0]] if len(p) == 1 else b"".join([ids[x] for x in p]) for c, p in split.items()}
-        return [b"".join([held[c] for c in chunks]) for chunks in cut]
-
-    def _learn(self, pieces: set[str]) -> None:
-        short = []
-        for piece in self.pieces.missing(pieces):
+        flat, offsets = flat_bytes(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
+        starts = cuts(flat, offsets) if self.cut else np.unique(offsets[:-1][np.diff(offsets) > 0])
+        tokens, counts = [], [np.zeros(1, np.int64)]
+        for values, codes in coded(flat, starts):
+            ids = self._ids(values)
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            found, n = spread(np.frombuffer(b"".join(ids), "<u4"), sizes, codes)
+            tokens.append(found)
+            counts.append(n)
+        raw = np.concatenate(tokens).tobytes() if tokens else b""
+        bounds = (np.cumsum(np.concatenate(counts))[np.searchsorted(starts, offsets)] * 4).tolist()
+        return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
+
+    def _ids(self, chunks: list[bytes]) -> list[bytes]:
+        """The ids of distinct chunks; those not known are cut into pieces, and each piece is encoded on its own."""
+        known = self.known
+        fresh = [c for c in chunks if c not in known]
+        split = []
+        for raw in fresh:
+            chunk = raw.decode()
+            is_piece = self.cut and (chunk[1:] if chunk[0] == " " else chunk).isalpha()
+            split.append((chunk,) if is_piece else self.pattern.findall(chunk))
+        ids = self._learn({piece for pieces in split for piece in pieces})
+        known.update((c, ids[p[0]] if len(p) == 1 else b"".join([ids[x] for x in p])) for c, p in zip(fresh, split))
+        out = [known[c] for c in chunks]
+        known.bound(fresh)
+        return out
+
+    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
+        short, found = [], {}
+        for piece in pieces:
             raw = piece.encode()
             if (rank := self.ranks.get(raw)) is not None:
-                self.pieces.young[piece] = rank.to_bytes(4, "little")
+                found[piece] = rank.to_bytes(4, "little")
             elif len(raw) > LONGEST_PIECE:
-                self.pieces.young[piece] = contract_long(raw, self.ranks)
+                found[piece] = contract_long(raw, self.ranks)
             else:
                 short.append((piece, raw))
         rows, start = 0, 0
@@ -163,8 +167,9 @@ class Encoder:
             rows += len(raw) * (len(raw) + 1) // 2
             if rows > STEP_ROWS or i + 1 == len(short):
                 part = short[start : i + 1]
-                self.pieces.young.update(zip([p for p, _ in part], self._contract([r for _, r in part])))
+                found.update(zip([p for p, _ in part], self._contract([r for _, r in part])))
                 rows, start = 0, i + 1
+        return found
 
     def _contract(self, words: list[bytes]) -> list[bytes]:
         lengths = np.array([len(w) for w in words])
@@ -188,16 +193,22 @@ class Encoder:
         return [ids[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
     def decode(self, ids: list[bytes | None]) -> list[bytes | None]:
-        """The bytes that each sequence of ids stands for; null where an id is unknown."""
-        out: list[bytes | None] = []
+        """The bytes that each sequence of ids stands for; null where an id is unknown.
+
+        Sequences are decoded some tokens at a time, a long one in several parts.
+        """
+        step = DECODED_TOKENS * 4
+        parts = [(i, x[a : a + step]) for i, x in enumerate(ids) for a in range(0, len(x or b""), step)]
+        out: list[list[bytes | None]] = [[] for _ in ids]
         start = held = 0
-        for i, x in enumerate(ids):
-            size = len(x or b"") // 4
-            if held and held + size > DECODED_TOKENS:
-                out += self._decode(ids[start:i])
-                start, held = i, 0
-            held += size
-        return out + self._decode(ids[start:])
+        for k, (_, part) in enumerate(parts):
+            held += len(part)
+            if held >= step or k + 1 == len(parts):
+                group = parts[start : k + 1]
+                for (i, _), raw in zip(group, self._decode([x for _, x in group])):
+                    out[i].append(raw)
+                start, held = k + 1, 0
+        return [None if x is None or None in found else b"".join(found) for x, found in zip(ids, out)]
 
     def _decode(self, ids: list[bytes | None]) -> list[bytes | None]:
         counts = [len(x or b"") // 4 for x in ids]
@@ -271,12 +282,8 @@ def encoder(ranks, pattern: str) -> Encoder:
     return _encoders[key]
 
 
-def _texts(column: pa.Array) -> list[str]:
-    return [text or "" for text in column.to_pylist()]
-
-
 def encode_slice(part: pa.RecordBatch, ranks, pattern: str) -> list[pa.Array]:
-    ids = encoder(ranks, pattern).encode(_texts(part.column(0)))
+    ids = encoder(ranks, pattern).encode(part.column(0))
     offsets = np.cumsum([0, *(len(x) // 4 for x in ids)])
     values = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)
     return [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))]
@@ -292,7 +299,7 @@ def decode_slice(part: pa.RecordBatch, ranks, pattern: str) -> list[pa.Array]:
 
 def digest_slice(part: pa.RecordBatch, ranks, pattern: str) -> list[pa.Array]:
     coder = encoder(ranks, pattern)
-    ids = coder.encode(_texts(part.column(0)))
+    ids = coder.encode(part.column(0))
     decoded = coder.decode(ids)
     return [
         pa.array([len(x) // 4 for x in ids], pa.int64()),
@@ -309,8 +316,9 @@ def share_ranks(spark: SparkSession, path: str):
 def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` with the token ids of ``text`` as an array of ints in the column ``ids``.
 
-    A null or empty text has no ids. Rows keep their place and number, repeated
-    rows included; a column named like the output is replaced.
+    A null or empty text has no ids, and an empty table no rows. Rows keep their place
+    and number, repeated rows included; a column named like the output is replaced. Long
+    texts are cut and coded a section at a time; one unbroken run of letters is one piece.
     """
     ranks = share_ranks(df.sparkSession, ranks_path)
     field = StructField(ids, ArrayType(IntegerType()))
@@ -331,7 +339,8 @@ def roundtrip_digests(df: DataFrame, ranks_path: str, pattern: str, text: str =
     """``df`` with ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``: encoded, decoded and digested at once.
 
     The ids are digested as little-endian unsigned 32-bit integers, the decoded
-    bytes as they are. A null text counts as an empty one.
+    bytes as they are. A null text counts as an empty one; rows and long texts as in
+    :func:`encode`.
     """
     ranks = share_ranks(df.sparkSession, ranks_path)
     fields = [

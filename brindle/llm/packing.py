@@ -24,13 +24,13 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, StructField
 from tokenizers import Tokenizer
 
 from brindle import workspace
+from brindle.llm.chunks import ASCII_WHITE, Known, coded, cuts, flat_bytes, spread
 from brindle.llm.tasks import append_columns, col, in_tasks, slices, without
 
 WINDOW = 2_048
@@ -38,58 +38,11 @@ WINDOW = 2_048
 # Text that is tokenized at a time, and what the tokenizer gets of it in one call.
 SLICE_BYTES, CALL_BYTES = 4 << 20, 1 << 18
 
-# Bytes of texts that are cut into chunks at a time.
-SECTION = 2 << 20
-
-# By byte: white space, letters, and marks that end a run of letters (not the apostrophe).
-ASCII_WHITE, LETTER, MARK = (np.isin(np.arange(256), list(x)) for x in (b"\t\n\x0b\x0c\r ", bytes(range(65, 91)) + bytes(range(97, 123)), b".,;:!?"))
-
-# Chunks' ids a worker remembers, in bytes with their overhead, and the bytes of a short one.
-CACHE_BYTES, ENTRY_BYTES, SHORT = 128 << 20, 200, 7
-
 ROUNDS, STEPS = 6, 300
 
 OUTPUTS = ["text_key", "doc_tokens", "start", "length", "sequence_id", "offset", "ids_crc32"]
 
 
-def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of all texts one after the other, and where each begins; null texts are empty."""
-    column = pc.fill_null(column.cast(pa.binary()), b"")
-    _, offsets, data = column.buffers()
-    offsets = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
-    flat = np.frombuffer(data or b"", np.uint8)[offsets[0] : offsets[-1]]
-    return flat, offsets - offsets[0]
-
-
-def _ends_white(b: np.ndarray) -> np.ndarray:
-    """Where UTF-8 white space ends."""
-    two, three = np.roll(b, 1), np.roll(b, 2)
-    out = ASCII_WHITE[b]
-    out |= (two == 0xC2) & ((b == 0xA0) | (b == 0x85))
-    general = (three == 0xE2) & (two == 0x80) & ((b <= 0x8A) | (b == 0xA8) | (b == 0xA9) | (b == 0xAF)) & (b >= 0x80)
-    other = ((three == 0xE1) & (two == 0x9A) | (three == 0xE3) & (two == 0x80)) & (b == 0x80)
-    return out | general | other | (three == 0xE2) & (two == 0x81) & (b == 0x9F)
-
-
-def cuts(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where chunks begin: each text, white space after something else, and a mark after a letter.
-
-    These are boundaries of the tokenizer's pieces wherever they stand, as a run of
-    letters ends at a mark (other than an apostrophe) and pieces hold white space in front only.
-    """
-    begins = np.zeros(len(flat), bool)
-    begins[offsets[:-1][np.diff(offsets) > 0]] = True
-    for start in range(0, len(flat), SECTION):
-        back = min(start, 4)
-        b = flat[start - back : start + SECTION]
-        white = _ends_white(b)
-        cut = ASCII_WHITE[b[1:]] & ~white[:-1] | LETTER[b[:-1]] & MARK[b[1:]]
-        # a cut is made by the byte after it and those before
-        skip = max(back - 1, 0)
-        begins[start - back + 1 + skip : start + SECTION] |= cut[skip:]
-    return np.flatnonzero(begins)
-
-
 class Chunks:
     """A tokenizer that encodes each distinct chunk of texts once; their ids are those of their chunks."""
 
@@ -99,8 +52,7 @@ class Chunks:
         # byte-level tokens spell each byte as one character; added tokens are spelt in UTF-8
         sizes |= {i: len(t.content.encode()) for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.sizes = np.array([sizes.get(i, 0) for i in range(max(sizes) + 1)])
-        self.known: dict[bytes, bytes] = {}
-        self.held = 0
+        self.known = Known()
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -119,22 +71,8 @@ class Chunks:
             self.known.update(zip(part, [raw[a:b] for a, b in zip(bounds, bounds[1:])]))
             start, held = i + 1, 0
 
-    def _forget(self, fresh: list[bytes]) -> None:
-        """Bound what is remembered; a token is rarely shorter than its four bytes of id."""
-        self.held += ENTRY_BYTES * len(fresh) + 5 * sum(map(len, fresh))
-        if self.held > CACHE_BYTES:
-            # the frequent ones are short
-            self.known = {c: x for c, x in self.known.items() if len(c) <= SHORT}
-            self.held = (ENTRY_BYTES + 5 * SHORT) * len(self.known)
-            if self.held > CACHE_BYTES // 2:
-                self.known, self.held = {}, 0
-
-    def _group(self, flat: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of consecutive chunks, and how many each has."""
-        bounds = np.append(starts, len(flat)).astype(np.int32)
-        chunks = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(flat)])
-        coded = chunks.dictionary_encode()
-        values, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+    def _group(self, values: list[bytes]) -> list[bytes]:
+        """The ids of distinct chunks."""
         fresh = [c for c in values if c not in self.known]
         inner, outer = [], []
         for c in fresh:
@@ -143,25 +81,20 @@ class Chunks:
         self._learn(inner)
         self.known.update(zip(outer, self._encode([c.decode() for c in outer])))
         ids = [self.known[c] for c in values]
-        pool = np.frombuffer(b"".join(ids), "<u4")
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        counts = sizes[codes]
-        first = (np.cumsum(sizes) - sizes)[codes] - (np.cumsum(counts) - counts)
-        self._forget(fresh)
-        return pool[np.arange(counts.sum()) + np.repeat(first, counts)], counts
+        self.known.bound(fresh)
+        return ids
 
     def encode(self, column: pa.Array) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers, without special tokens around it."""
-        flat, offsets = _flat(column)
+        flat, offsets = flat_bytes(column)
         starts = cuts(flat, offsets)
-        tokens, counts, first = [], [np.zeros(1, np.int64)], 0
-        while first < len(starts):
-            end = max(first + 1, int(np.searchsorted(starts, starts[first] + SECTION)))
-            stop = starts[end] if end < len(starts) else len(flat)
-            ids, n = self._group(np.ascontiguousarray(flat[starts[first] : stop]), starts[first:end] - starts[first])
-            tokens.append(ids)
+        tokens, counts = [], [np.zeros(1, np.int64)]
+        for values, codes in coded(flat, starts):
+            ids = self._group(values)
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            found, n = spread(np.frombuffer(b"".join(ids), "<u4"), sizes, codes)
+            tokens.append(found)
             counts.append(n)
-            first = end
         raw = np.concatenate(tokens).tobytes() if tokens else b""
         through = np.cumsum(np.concatenate(counts))
         bounds = (through[np.searchsorted(starts, offsets)] * 4).tolist()

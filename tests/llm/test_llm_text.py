@@ -71,9 +71,10 @@ def test_unknown_ids_and_empty_tables(spark):
 
 def test_the_cache_forgets_without_losing_what_is_asked(reference):
     coder = bpe.Encoder(bpe.read_ranks(RANKS), PATTERN)
-    coder.chunks.entries = coder.pieces.entries = 40
+    coder.known.limit = 10_000
     for seed in range(20):
         text = mixed(300, seed)
+        assert coder.known.held <= 10_000
         assert coder.encode([text])[0] == struct.pack(f"<{len(reference.encode_ordinary(text))}I", *reference.encode_ordinary(text))
 
 
@@ -100,6 +101,49 @@ def test_edits_touch_little_of_a_long_text():
     assert encoded < 40
 
 
+def test_edits_of_a_text_without_blanks(reference):
+    count = tokencount.Counter(bpe.read_ranks(RANKS), PATTERN)
+    text = "".join("這是一個句子，它說了些什麼。'引號'x9%" for _ in range(1000))
+    tree = tokencount.Tree(*count(text))
+    for at in range(5000, 5023):
+        after, tree, encoded = tokencount.edit(text, tree, at, at + 3, "改's", count)
+        assert encoded < 50 and tree.tokens() == len(reference.encode_ordinary(after))
+        text = after
+
+
+def test_another_pattern_is_not_cut_before_it_is_applied():
+    """Pieces of this one end at capitals and keep blanks behind them."""
+    pattern = r"\p{Lu}?\p{Ll}+\s*|[^\p{L}]+|\p{L}"
+    ranks = bpe.read_ranks(RANKS)
+    own = tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    coder = bpe.Encoder(ranks, pattern)
+    for text in ("CamelCase words, with  Blanks. behind Them\n", "", "ABC déf 12 x"):
+        ids = own.encode_ordinary(text)
+        assert coder.encode([text])[0] == struct.pack(f"<{len(ids)}I", *ids)
+
+
+def test_tree_keeps_its_sums(reference):
+    count = tokencount.Counter(bpe.read_ranks(RANKS), PATTERN)
+    tree = tokencount.Tree(*count(mixed(2000, 3)))
+    again = tokencount.Tree.unpack(tree.pack())
+    assert (again.sums == tree.sums).all() and again.tokens() == tree.tokens()
+
+
+def test_long_texts(spark, reference):
+    """A section holds a part of the text only."""
+    words = " ".join(f"word{i % 977} çà, 漢字" for i in range(400_000))
+    df = spark.createDataFrame([(1, words), (2, words), (3, None)], "doc_id int, text string")
+    n = len(reference.encode_ordinary(words))
+    out = bpe.roundtrip_digests(df, RANKS, PATTERN).orderBy("doc_id").collect()
+    digest = hashlib.sha256(words.encode()).hexdigest()
+    assert [(r["n_tokens"], r["decoded_sha256"]) for r in out[:2]] == [(n, digest)] * 2 and out[2]["n_tokens"] == 0
+    edits = F.expr("array(named_struct('start', 5000000, 'end', 5000003, 'text', '!'))").alias("edits")
+    after = tokencount.apply_edits(df.select("doc_id", "text", edits), RANKS, PATTERN, before="n_before").orderBy("doc_id").collect()
+    changed = words[:5000000] + "!" + words[5000003:]
+    assert [(r["n_before"], r["n_tokens"]) for r in after] == [(n, len(reference.encode_ordinary(changed)))] * 2 + [(0, 1)]
+    assert tokencount.apply_edits(df.select("doc_id", "text", edits).limit(0), RANKS, PATTERN).collect() == []
+
+
 def test_edits_of_rows(spark, reference):
     edits = "array<struct<start:int,end:int,text:string>>"
     rows = [(1, "one two three", [(0, 3, "1"), (2, 5, "zwei")]), (2, None, [(5, 9, "late")]), (3, "kept", None), (3, "kept", [None])]
