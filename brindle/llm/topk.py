@@ -37,14 +37,18 @@ FOUND = "query_id bigint, vec_id bigint, score bigint"
 
 
 def quantized(vector: Column) -> Column:
-    """Each component x as floor(1024 x), or null if the vector takes no part.
+    """Each component x as floor(1024 x), a whole double, or null if the vector takes no part.
 
-    That is a null vector and one with a component that is null, not finite, or
-    too large for a 32-bit integer then.
+    That is a null vector and one with a component that is null or not finite.
     """
-    wide = F.transform(vector, lambda x: F.floor(x.cast("double") * SCALE))
-    fits = F.forall(vector, lambda x: F.coalesce(F.abs(x.cast("double")) < float(1 << 20), F.lit(False)))
-    return F.when(vector.isNotNull() & fits, F.transform(wide, lambda x: x.cast("int")))
+    finite = F.forall(vector, lambda x: F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False)))
+    # beyond 2^52 a double is whole already, and the product with a power of two is exact
+    whole = F.transform(vector, lambda x: _floor(x.cast("double") * SCALE))
+    return F.when(vector.isNotNull() & finite, whole)
+
+
+def _floor(x: Column) -> Column:
+    return F.when(F.abs(x) < float(1 << 52), F.floor(x).cast("double")).otherwise(x)
 
 
 def _matrix(values: pa.Array, width: int) -> np.ndarray:
@@ -59,11 +63,22 @@ def _matrix(values: pa.Array, width: int) -> np.ndarray:
 
 
 def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Integer inner products of all rows: in doubles where these are exact, else in longs."""
+    """Integer inner products of all rows: in doubles where these are exact, else in longs, else in Python's integers."""
     largest = np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * a.shape[1]
     if largest < 1 << 53:
         return (a @ b.T).astype(np.int64)
-    return a.astype(np.int64) @ b.astype(np.int64).T
+    if largest < 1 << 60:
+        return a.astype(np.int64) @ b.astype(np.int64).T
+    whole = np.vectorize(int, otypes=[object])
+    return (whole(a) if a.size else a.astype(object)) @ (whole(b) if b.size else b.astype(object)).T
+
+
+def _total(partial: list[np.ndarray], counts: np.ndarray) -> np.ndarray:
+    """Whole scores; one that no long holds is an error, as is none left out."""
+    total = sum(partial)
+    if total.dtype == object and any(not -(1 << 63) < x < 1 << 63 for x in total[counts]):
+        raise OverflowError("a score does not fit a 64-bit integer")
+    return np.where(counts, total, 0).astype(np.int64)
 
 
 def _cell(table: pa.Table):
@@ -86,18 +101,21 @@ def _rows(ids, others, total, chosen) -> pa.Table:
 def _highest(values: np.ndarray, others: np.ndarray, valid: np.ndarray, k: int) -> np.ndarray:
     """Marks the k highest valid values of each row, ties to smaller ids."""
     order = np.argsort(others, kind="stable")
-    masked = np.where(valid, values, np.iinfo(np.int64).min)[:, order]
-    # negated values sort stably, so equal ones stay in the order of their ids
-    best = np.argsort(~masked, axis=1, kind="stable")[:, :k]
-    chosen = np.zeros(values.shape, bool)
-    np.put_along_axis(chosen, order[best], True, axis=1)
+    least = min(int(values.min(initial=0)), 0) - 1
+    # in the order of ids the first of equal values has the smallest
+    masked = np.where(valid, values, least)[:, order]
+    chosen, rows = np.zeros(values.shape, bool), np.arange(len(values))
+    for _ in range(min(k, values.shape[1])):
+        best = masked.argmax(axis=1)
+        chosen[rows, order[best]] = True
+        masked[rows, best] = least
     return chosen & valid
 
 
 def gather(table: pa.Table, k: int) -> pa.Table:
     """Phase 1 in a cell: the best entries of each list, with their scores."""
     ids, others, partial, valid, _ = _cell(table)
-    total = sum(partial)
+    total = _total(partial, valid)
     chosen = np.zeros(valid.shape, bool)
     for values in partial:
         chosen |= _highest(values, others, valid, k)
@@ -116,8 +134,10 @@ def resolve(table: pa.Table, k: int) -> pa.Table:
     some = valid & (np.logical_or.reduce(collected) | ~known[:, None])
     upper = sum(np.where(seen, values * LISTS, cutoff) for seen, values in zip(collected, partial))
     q, c = np.nonzero(some & ((upper >= cutoff * LISTS) | ~known[:, None]))
-    total = np.full(valid.shape, np.iinfo(np.int64).min)
-    total[q, c] = sum(values[q, c] for values in partial)
+    total = np.zeros(valid.shape, np.int64)
+    found = np.zeros(valid.shape, bool)
+    found[q, c] = True
+    total[q, c] = _total(partial, found)[q, c]
     reaching = np.zeros(valid.shape, bool)
     reaching[q, c] = (total[q, c] >= cutoff[q, 0]) | ~known[q]
     return _rows(ids, others, total, _highest(total, others, reaching, k))
@@ -148,7 +168,8 @@ def top_k(df: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id",
     fewer than k other rows all are returned. Rows without an id, and vectors that
     ``quantized`` turns down, take no part. Of rows that share an id the least
     vector counts, so repeated rows count once. A vector shorter than
-    another is taken to go on with zeros.
+    another is taken to go on with zeros. A score that a long does not hold raises
+    OverflowError.
     """
     rows = df.where(col(vec_id).isNotNull()).select(col(vec_id).cast("long").alias("id"), quantized(col(embedding)).alias("vector"))
     rows = rows.where("vector IS NOT NULL").groupBy("id").agg(F.min("vector").alias("vector"))
