@@ -24,11 +24,13 @@ WINDOW = 3
 # The sum at which text begins, where no element says that it is the article.
 SURGE = 60
 
+# Attributes end at the tag's end or where another tag begins, so no token is looked for twice.
+ATTRIBUTES = r"(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+"
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|title|iframe|svg|select|xmp)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|</?[a-z][^<>]*>|<[!?][^>]*>",
+    rf"|<(?P<raw>script|style|noscript|template|textarea|title|iframe|svg|select|xmp)\b{ATTRIBUTES}>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attributes>{ATTRIBUTES})>"
+    r"|</?[a-z][^<>]*>|<[!?][^<>]*>",
     re.I | re.S,
 )
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
@@ -47,9 +49,24 @@ DROPPED_NAMES = frozenset(
     " topbar footer comment comments reply replies disqus share sharing social related recommended newsletter"
     " subscribe subscription signup login popup modal overlay pagination pager toolbar copyright".split()
 )
+# Words that say what an element is, not what it holds.
+PLAIN_NAMES = frozenset(
+    "area bar block body bottom box btn button col column container content css div element en fixed float form grid group holder"
+    " id inner item items js left link links list main module outer page panel right row section site slot sticky text title"
+    " top unit web wrap wrapper".split()
+)
 MAIN_TAGS = frozenset(("article", "main"))
 
 
+def _names_dropped(name: str) -> bool:
+    """Whether a whole class or id says that an element is dropped: nothing in it may tell of anything else.
+
+    "cookie-banner" and "site-header" do, "related-work" and "share-price" do not.
+    """
+    words = {part.lower() for part in NAME_PART.findall(name)}
+    return bool(words & DROPPED_NAMES) and words <= DROPPED_NAMES | PLAIN_NAMES
+
+
 def _dropped(tag: str, attributes: str, inside: bool) -> bool:
     """Whether an element is no part of the article."""
     if tag in DROPPED_TAGS or (tag == "header" and not inside):
@@ -64,7 +81,7 @@ def _dropped(tag: str, attributes: str, inside: bool) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none", value, re.I):
             return True
-        if name in ("class", "id") and DROPPED_NAMES.intersection(p.lower() for p in NAME_PART.findall(value)):
+        if name in ("class", "id") and any(map(_names_dropped, value.split())):
             return not (inside and "header" in value.lower() and tag in ("h1", "h2", "header"))
     return False
 

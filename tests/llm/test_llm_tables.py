@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -197,8 +198,8 @@ def test_top_k(spark, monkeypatch, cell):
     draw = np.random.default_rng(3)
     vectors = {i: draw.normal(size=8).round(2).tolist() for i in range(120)}
     vectors |= {i: vectors[7] for i in range(200, 240)}
-    vectors |= {300: [0.0] * 8, 301: [], 302: [1.0, -1.0]}
-    bad = [(400, None), (500, [1.0, None]), (600, [float("nan")]), (700, [float("inf")]), (800, [1e30]), (None, [1.0])]
+    vectors |= {300: [0.0] * 8, 301: [], 302: [1.0, -1.0], 800: [2097152.0, 1.0], 801: [-1e6, 3.0]}
+    bad = [(400, None), (500, [1.0, None]), (600, [float("nan")]), (700, [float("inf")]), (None, [1.0])]
     rows = [*vectors.items(), *bad, (7, vectors[7]), (7, vectors[7])]
     df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id bigint, embedding array<double>, rank string")
     got = {tuple(r) for r in topk.top_k(df, F.col("vec_id") % 20 == 0, 5).collect()}
@@ -216,6 +217,19 @@ def test_top_k_of_few(spark):
     assert topk.top_k(df.limit(0), F.col("vec_id") == 0).collect() == []
 
 
+def test_large_components_are_neither_dropped_nor_wrapped(spark):
+    schema = "vec_id bigint, embedding array<double>"
+    found = topk.top_k(spark.createDataFrame([(0, [1.0, 2.0]), (1, [2097152.0, 1.0])], schema), F.col("vec_id") == 0).collect()
+    assert [tuple(r) for r in found] == [(0, 1, 1, 1024 * 1024 * (2097152 + 2))]
+    # a long holds the first score; partial scores that it does not hold add up to the second
+    for fine in ([(0, [1048575.0] * 4), (1, [1048575.0] * 4)], [(0, [2.0**41, 2.0**41]), (3, [2.0**41, -(2.0**41)])]):
+        (got,) = topk.top_k(spark.createDataFrame(fine, schema), F.col("vec_id") == 0).collect()
+        assert got["score"] == sum(int(1024 * x) * int(1024 * y) for x, y in zip(fine[0][1], fine[1][1]))
+    wide = spark.createDataFrame([(i, [1048575.0] * 16) for i in range(2)], schema)
+    with pytest.raises(Exception, match="64-bit"):
+        topk.top_k(wide, F.col("vec_id") == 0).collect()
+
+
 def test_shards(spark):
     texts = [prose(i, 5 + i % 60) for i in range(900)] + ["copy " * 30] * 700 + [None] * 5 + [""] * 5 + ["é" * 40_000]
     rows = [(i, t, "x") for i, t in enumerate(texts)] + [(5000, "twin", "x")] * 40 + [(None, "no id", "x")]
@@ -316,6 +330,20 @@ def test_links_of_an_article_are_kept():
             assert page_text.main_text(f"{outside}<{tag}>{body}</{tag}>{outside}") == text
 
 
+def test_names_are_read_whole_and_unclosed_tags_take_time_in_proportion():
+    kept = ['<h2 id="related-work">', '<section id="social-impact">', '<p class="share-price">', '<table class="ad-hoc">']
+    body = "".join(f"{tag}text number {i} of the article, long enough to be read</{tag[1:].split()[0]}>" for i, tag in enumerate(kept))
+    text = page_text.main_text(f"<article><p>{'words ' * 30}</p>{body}</article>")
+    assert all(f"text number {i}" in text for i in range(4))
+    gone = ['<div class="cookie-banner">', '<div class="x ad">', '<div id="site-header">', '<ul class="nav-list">', '<div class="commentList">']
+    page = "".join(f"{tag}gone{i}</{tag[1:].split()[0]}>" for i, tag in enumerate(gone))
+    assert "gone" not in page_text.main_text(f"<article><p>{'words ' * 30}</p>{page}</article>")
+    for unclosed in ("<p ", '<b x="', "<!", "<script ", "</p "):
+        start = time.perf_counter()
+        page_text.main_text(unclosed * 16_000)
+        assert time.perf_counter() - start < 2, unclosed
+
+
 def test_pages_give_their_articles(spark):
     got = {r["page_id"]: r["text"] for r in QUERIES["op10_html_extraction"](spark, SF).collect()}
     from html import unescape
