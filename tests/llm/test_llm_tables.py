@@ -357,7 +357,7 @@ def test_pages_give_their_articles(spark):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_oracles(spark, name):
     duck = duckdb.connect()
-    for table in ("embeddings", "pages"):
+    for table in ("documents", "embeddings", "pages"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     expected = duck.execute(ORACLES[name])
     columns = [c[0] for c in expected.description]
