@@ -8,7 +8,8 @@ item's rarest few (``_anchors``); windows without any are not alike to an item
 and need no fingerprint. Every other item-sized window is fingerprinted. Fingerprints
 within ``MAX_BITS`` bits of an item's agree with it up to ``BLOCK_BITS`` bits in
 one of eight blocks, and the items are filed under all such block values:
-every fingerprint within the radius is found by an equality join. Survivors are
+every fingerprint within the radius is found by an equality join on the item
+that an anchor in the window names, the block and its value. Survivors are
 verified by the exact similarity.
 
 A document shorter than an item is one window with a length of its own, if it has
@@ -27,6 +28,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from brindle import workspace
 from brindle.llm.tasks import col
@@ -40,6 +42,9 @@ MAX_BITS = 23
 BLOCKS, WIDTH = 8, 8
 BLOCK_BITS = MAX_BITS // BLOCKS
 
+# Shingles of a row in which windows begin.
+SEGMENT = 4_096
+
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
 
@@ -166,8 +171,9 @@ def contaminated(
         part = _search(documents, items.where(F.col("size") == size), anchors.where(F.col("size") == size), size, doc_id, text)
         found = part if found is None else found.unionByName(part)
     if found is None:
-        return documents.select(col(doc_id).alias(doc_id)).limit(0).crossJoin(
-            items.select("item_id", F.lit(0).alias("start"), "n_words", F.lit(0).alias("bits"), F.lit(0.0).alias("similarity")).limit(0)
+        types = [documents.select(col(doc_id).alias(doc_id)).schema[0], items.schema["item_id"]]
+        return documents.sparkSession.createDataFrame([], StructType(types)).select(
+            "*", F.lit(0).alias("start"), F.lit(0).alias("n_words"), F.lit(0).alias("bits"), F.lit(0.0).alias("similarity")
         )
     best = F.max_by(F.struct("start", "n_words", "bits", "similarity"), F.struct("similarity", -F.col("start")))
     return (
@@ -197,10 +203,12 @@ def _search(documents: DataFrame, items: DataFrame, anchors: DataFrame, size: in
         .select("doc_id", "key", "length", "n_words", "pos", "hash")
     )
     hits = workspace.materialize(hits, "hits")
-    windows = hits.where(~shorter).select(
+    close = workspace.broadcast_within(anchors.where("close").select("content", "n_words", "hash"))
+    pairs = hits.where(~shorter).join(close, ["n_words", "hash"]).select(
         "doc_id",
         "key",
         "n_words",
+        "content",
         F.explode(
             F.sequence(
                 F.greatest(F.col("pos") - F.col("n_words") + size, F.lit(0)),
@@ -208,57 +216,100 @@ def _search(documents: DataFrame, items: DataFrame, anchors: DataFrame, size: in
             )
         ).alias("start"),
     ).distinct()
-    windows = workspace.materialize(windows, "windows")
+    pairs = workspace.materialize(pairs, "pairs")
     short = (
         hits.where(shorter)
         .join(workspace.broadcast_within(anchors.select("content", "n_words", "hash")), ["n_words", "hash"])
-        .select("doc_id", "key", "length", "content", F.col("n_words").alias("item_words"))
+        .select("doc_id", "key", "n_words", "content", F.lit(0).alias("start"), "length")
         .distinct()
     )
     short = workspace.materialize(short, "short-documents")
-    wanted = windows.groupBy("doc_id", "key").agg(F.collect_list(F.struct("start", "n_words")).alias("windows"))
+    segments = _segments(documents, pairs, short, items, size, doc_id, text)
+
+    cut = _own(pairs.select("doc_id", "key", "n_words", "start").distinct(), segments, F.col("n_words"), size)
+    printed = workspace.materialize(cut.withColumn("print", fingerprint(F.col("own"))).drop("own"), "fingerprints")
+    near = workspace.materialize(_near(pairs, printed, items), "near-windows")
+    near = _own(near, segments, F.col("n_words"), size)
+    near = near.join(items.select("item_id", "content", "n_words", "hashes"), ["content", "n_words"])
+    near = near.select("doc_id", "item_id", "start", "n_words", "bits", similarity(F.col("own"), F.col("hashes")).alias("similarity"))
+
+    known = _own(short, segments, F.col("length"), size)
+    known = known.join(items.select("item_id", "content", "n_words", "hashes"), ["content", "n_words"])
+    known = known.select("doc_id", "item_id", "start", "length", "own", "hashes", similarity(F.col("own"), F.col("hashes")).alias("similarity"))
+    whole = known.where(F.col("similarity") >= SIMILARITY).select(
+        "doc_id",
+        "item_id",
+        "start",
+        F.col("length").alias("n_words"),
+        F.bit_count(fingerprint(F.col("own")).bitwiseXOR(fingerprint(F.col("hashes")))).alias("bits"),
+        "similarity",
+    )
+    return near.where(F.col("similarity") >= SIMILARITY).unionByName(whole)
+
+
+def _segments(
+    documents: DataFrame, pairs: DataFrame, short: DataFrame, items: DataFrame, size: int, doc_id: str, text: str
+) -> DataFrame:
+    """Rows (doc_id, key, segment, hashes): the stretches of documents in which windows begin.
 
-    # again the documents, now only those with windows
-    ids = workspace.materialize(wanted.select("doc_id").unionByName(short.select("doc_id")).distinct(), "ids")
-    some = documents.join(workspace.broadcast_within(ids.select(F.col("doc_id").alias("wanted_id"))), col(doc_id).eqNullSafe(F.col("wanted_id")), "left_semi")
+    A segment holds ``SEGMENT`` shingles and as many more as the longest item has
+    words, so a window lies within the segment it begins in. Long documents
+    are spread over tasks, and no row holds more than this.
+    """
+    wanted = pairs.select("doc_id", "key", _segment()).unionByName(short.select("doc_id", "key", _segment())).distinct()
+    wanted = workspace.materialize(wanted, "wanted-segments")
+    longest = items.agg(F.max("n_words")).first()[0] or 0
+    ids = workspace.materialize(wanted.select(F.col("doc_id").alias("wanted_id")).distinct(), "ids")
+    some = documents.join(workspace.broadcast_within(ids), col(doc_id).eqNullSafe(F.col("wanted_id")), "left_semi")
     some = some.select(col(doc_id).alias("doc_id"), words(col(text)).alias("words"))
     some = some.select("doc_id", shingle_hashes(F.col("words"), size).alias("hashes"))
-    some = some.select("doc_id", F.xxhash64("hashes").alias("key"), "hashes").dropDuplicates(["doc_id", "key"])
-    matched = some.alias("s").join(
-        wanted.alias("w"), F.col("s.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("s.key") == F.col("w.key"))
-    )
-    cut = matched.select(
-        "s.doc_id",
-        "hashes",
-        F.transform(
-            "windows",
-            lambda w: F.struct(
-                w["start"].alias("start"),
-                w["n_words"].alias("n_words"),
-                F.slice("hashes", w["start"] + 1, w["n_words"] - (size - 1)).alias("own"),
-            ),
-        ).alias("windows"),
-    )
-    cut = cut.select("doc_id", F.explode_outer("windows").alias("w")).select("doc_id", "w.*")
-    printed = workspace.materialize(cut.withColumn("print", fingerprint(F.col("own"))), "fingerprints")
+    some = some.select("doc_id", F.xxhash64("hashes").alias("key"), "hashes")
+    last = F.greatest(F.size("hashes") - 1, F.lit(0))
+    some = some.select("doc_id", "key", "hashes", F.explode_outer(F.sequence(F.lit(0), F.floor(last / SEGMENT).cast("int"))).alias("segment"))
+    some = some.select("doc_id", "key", "segment", F.slice("hashes", F.col("segment") * SEGMENT + 1, SEGMENT + longest).alias("hashes"))
+    asked = wanted.select(F.col("doc_id").alias("a"), F.col("key").alias("b"), F.col("segment").alias("c"))
+    asked = workspace.broadcast_within(asked)
+    same = F.col("doc_id").eqNullSafe(F.col("a")) & (F.col("key") == F.col("b")) & (F.col("segment") == F.col("c"))
+    some = some.join(asked, same, "left_semi").dropDuplicates(["doc_id", "key", "segment"])
+    return workspace.materialize(some, "segments")
 
-    filed = items.select(
-        "item_id", F.col("n_words").alias("item_words"), "hashes", fingerprint(F.col("hashes")).alias("item_print")
-    )
+
+def _segment() -> Column:
+    return F.floor(F.col("start") / SEGMENT).cast("int").alias("segment")
+
+
+def _own(windows: DataFrame, segments: DataFrame, n_words: Column, size: int) -> DataFrame:
+    """``windows`` with their shingle hashes in ``own``."""
+    names = [c for c in windows.columns if c not in ("doc_id", "key")]
+    same = F.col("w.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("w.key") == F.col("s.key")) & (F.col("w.segment") == F.col("s.segment"))
+    found = windows.select("*", _segment()).alias("w").join(segments.alias("s"), same)
+    begin = F.col("start") - F.col("w.segment") * SEGMENT + 1
+    return found.select("w.doc_id", "w.key", *names, F.slice(F.col("s.hashes"), begin, n_words - (size - 1)).alias("own"))
+
+
+def _near(pairs: DataFrame, printed: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of ``pairs`` whose fingerprints differ in ``MAX_BITS`` or fewer bits, with these as ``bits``.
+
+    A window meets the items that an anchor in it names, and of these only the ones
+    with a block alike; what is joined are numbers, no arrays.
+    """
+    filed = items.select("content", "n_words", fingerprint(F.col("hashes")).alias("item_print")).distinct()
     filed = filed.select("*", F.explode(_blocks(F.col("item_print"))).alias("b"))
     filed = filed.select(
-        "item_id", "item_words", "hashes", "item_print", F.col("b.block").alias("block"),
+        "content", "n_words", "item_print", F.col("b.block").alias("block"),
         F.explode(F.transform(_near_values(), lambda m: F.col("b.value").bitwiseXOR(m))).alias("value"),
     )
     filed = workspace.materialize(filed, "filed-items")
-    blocks = printed.select("doc_id", "start", "n_words", "print", "own", F.explode(_blocks(F.col("print"))).alias("b"))
+    names = ["key", "n_words", "start"]
+    own = printed.select(F.col("doc_id").alias("printed_id"), *names, "print")
+    alike = [F.col("doc_id").eqNullSafe(F.col("printed_id")), *(pairs[n] == own[n] for n in names)]
+    named = pairs.join(own, reduce(lambda a, b: a & b, alike)).select(
+        "doc_id", *(pairs[n] for n in names), "content", "print", F.explode(_blocks(F.col("print"))).alias("b")
+    )
     distance = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print")))
     near = (
-        blocks.select("doc_id", "start", "n_words", "print", "own", "b.block", "b.value")
-        .join(
-            workspace.broadcast_within(filed.withColumnRenamed("item_words", "n_words")),
-            ["n_words", "block", "value"],
-        )
+        named.select("doc_id", *names, "content", "print", "b.block", "b.value")
+        .join(workspace.broadcast_within(filed), ["content", "n_words", "block", "value"])
         .select("*", distance.alias("bits"))
         .where(F.col("bits") <= MAX_BITS)
     )
@@ -269,24 +320,7 @@ def _search(documents: DataFrame, items: DataFrame, anchors: DataFrame, size: in
         for b in range(BLOCKS)
     ]
     first = reduce(lambda rest, b: F.when(agreed[b], b).otherwise(rest), reversed(range(BLOCKS)), F.lit(-1))
-    near = near.where(F.col("block") == first)
-    near = near.select("doc_id", "item_id", "start", "n_words", "bits", similarity(F.col("own"), F.col("hashes")).alias("similarity"))
-
-    known = short.alias("d").join(
-        some.alias("s"), F.col("s.doc_id").eqNullSafe(F.col("d.doc_id")) & (F.col("s.key") == F.col("d.key"))
-    ).select("d.doc_id", "length", "content", "item_words", F.col("hashes").alias("own"))
-    pairs = known.alias("d").join(
-        items.alias("i"), (F.col("i.content") == F.col("d.content")) & (F.col("i.n_words") == F.col("d.item_words"))
-    ).select("doc_id", "item_id", "length", "own", "hashes", similarity(F.col("own"), F.col("hashes")).alias("similarity"))
-    whole = pairs.where(F.col("similarity") >= SIMILARITY).select(
-        "doc_id",
-        "item_id",
-        F.lit(0).alias("start"),
-        F.col("length").alias("n_words"),
-        F.bit_count(fingerprint(F.col("own")).bitwiseXOR(fingerprint(F.col("hashes")))).alias("bits"),
-        "similarity",
-    )
-    return near.where(F.col("similarity") >= SIMILARITY).unionByName(whole)
+    return near.where(F.col("block") == first).select("doc_id", *names, "content", "bits")
 
 
 def similarity(a: Column, b: Column) -> Column:

@@ -191,6 +191,28 @@ def test_decontamination_of_nothing(spark):
     assert decontaminate.contaminated(none, one.toDF("item_id", "text")).collect() == []
 
 
+def test_decontamination_of_many_items_and_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SEGMENT", 64)
+    written, write = {}, decontaminate.workspace.materialize
+
+    def kept(df, label):
+        written[label] = write(df, label)
+        return written[label]
+
+    monkeypatch.setattr(decontaminate.workspace, "materialize", kept)
+    items = [(i, prose(i, 30)) for i in range(400)]
+    once = [(i, f"{prose(1000 + i, 90)} {items[i][1]} {prose(2000 + i, 90)}") for i in range(4)]
+    docs = [*once, (None, once[1][1]), (4, " ".join([items[7][1]] * 12))]
+    got = decontaminate.contaminated(
+        spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    ).collect()
+    assert {(r["doc_id"], r["item_id"]): (pytest.approx(r["similarity"]), r["start"]) for r in got} == brute_leaks(docs, items)
+    # an anchor names the item, so a window does not meet the others of its length
+    assert written["pairs"].count() <= 1.1 * written["fingerprints"].count()
+    assert written["near-windows"].count() <= written["pairs"].count()
+    assert written["segments"].selectExpr("max(size(hashes))").first()[0] <= 64 + 30
+
+
 @pytest.mark.parametrize("cell", [(512, 8192), (3, 20)])
 def test_top_k(spark, monkeypatch, cell):
     monkeypatch.setattr(topk, "QUERIES", cell[0])
