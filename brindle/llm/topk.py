@@ -4,11 +4,13 @@ A vector's components are dealt to ``LISTS`` lists; a score is the sum of one
 partial score per list. Queries and candidates meet in cells, a chunk of each,
 which bounds what a task holds.
 
-1. Every cell returns, for each query and list, the entries with the highest
-   partial scores, with their whole scores. The k-th highest whole score among
-   what was gathered is a safe cutoff t of the query: k candidates reach it.
-2. The cutoffs go back to the cells. A candidate with all partial scores below
-   t / LISTS has a score below t, so only entries of at least that are collected.
+1. Every cell gathers, for each query and list, the ``DEPTH`` entries with the highest
+   partial scores, and returns the best of them with their whole scores. The k-th highest
+   whole score among what was gathered is a safe cutoff t of the query: k candidates reach it.
+   What was not gathered in a cell is no higher, in any list, than the least that was; where
+   these bounds sum up to less than t the cell has nothing more for the query.
+2. The cutoffs go back to the other cells, and to no more of them. A candidate with all partial
+   scores below t / LISTS has a score below t, so only entries of at least that are collected.
 3. Of the collected candidates those whose upper bound reaches t (known partial
    scores, and t / LISTS for each unknown one) are resolved exactly.
 
@@ -33,7 +35,12 @@ SCALE = 1024
 # Rows of a cell.
 QUERIES, CANDIDATES = 512, 8_192
 
+# Entries of a list that a cell gathers; more leave fewer cells to the second phase.
+DEPTH = 64
+
 FOUND = "query_id bigint, vec_id bigint, score bigint"
+GATHERED = f"{FOUND}, chunk bigint, bound bigint"
+LONGEST = (1 << 63) - 1
 
 
 def quantized(vector: Column) -> Column:
@@ -112,14 +119,33 @@ def _highest(values: np.ndarray, others: np.ndarray, valid: np.ndarray, k: int)
     return chosen & valid
 
 
-def gather(table: pa.Table, k: int) -> pa.Table:
-    """Phase 1 in a cell: the best entries of each list, with their scores."""
+def _gathered(values: np.ndarray, valid: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The entries of each row that are among its ``depth`` highest, and the least of these."""
+    masked = np.where(valid, values, min(int(values.min(initial=0)), 0) - 1)
+    at = masked.shape[1] - depth
+    least = np.partition(masked, at, axis=1)[:, at]
+    return valid & (values >= least[:, None]), least
+
+
+def gather(table: pa.Table, k: int, depth: int) -> pa.Table:
+    """Phase 1 in a cell: the best of the highest entries of the lists, and for each query a row with
+    the bound of what was not gathered, null if nothing was left."""
     ids, others, partial, valid, _ = _cell(table)
+    chunk = table["chunk"][0].as_py()
+    chosen, bounds = valid, None
+    if len(ids) and valid.shape[1] > depth:
+        chosen, least = zip(*(_gathered(values, valid, depth) for values in partial))
+        chosen = np.logical_or.reduce(chosen)
+        bounds = [min(max(int(x), -LONGEST), LONGEST) for x in sum(b.astype(object) for b in least)]
     total = _total(partial, valid)
-    chosen = np.zeros(valid.shape, bool)
-    for values in partial:
-        chosen |= _highest(values, others, valid, k)
-    return _rows(ids, others, total, chosen)
+    found = _rows(ids, others, total, _highest(total, others, chosen, k))
+    nulls = pa.nulls(found.num_rows, pa.int64())
+    found = found.append_column("chunk", pa.array([chunk] * found.num_rows, pa.int64())).append_column("bound", nulls)
+    if bounds is None:
+        return found
+    none = pa.nulls(len(ids), pa.int64())
+    columns = [pa.array(ids, pa.int64()), none, none, pa.array([chunk] * len(ids), pa.int64()), pa.array(bounds, pa.int64())]
+    return pa.concat_tables([found, pa.table(columns, names=found.column_names)])
 
 
 def resolve(table: pa.Table, k: int) -> pa.Table:
@@ -147,7 +173,7 @@ def _numbers(n: int) -> Column:
     return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
 
 
-def _in_cells(function, k: int):
+def _in_cells(function, **options):
     module, name, root = function.__module__, function.__name__, ROOT
 
     def run(table):
@@ -156,7 +182,7 @@ def _in_cells(function, k: int):
 
         if root not in sys.path:
             sys.path.append(root)
-        return getattr(importlib.import_module(module), name)(table, k)
+        return getattr(importlib.import_module(module), name)(table, **options)
 
     return run
 
@@ -181,25 +207,28 @@ def top_k(df: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id",
     queries = workspace.materialize(queries, "queries")
     n_queries, n_candidates = queries.count(), candidates.count()
     blocks, chunks = max(1, -(-n_queries // QUERIES)), max(1, -(-n_candidates // CANDIDATES))
-    asked = candidates.select(
-        F.lit(False).alias("asks"), "id", "vector", F.lit(None).cast("long").alias("cutoff"),
-        F.pmod(F.xxhash64("id"), F.lit(chunks)).alias("chunk"), F.explode(_numbers(blocks)).alias("block"),
-    )
-
-    def cells(asking: DataFrame) -> DataFrame:
-        dealt = asking.select(
-            F.lit(True).alias("asks"), "id", "vector", "cutoff",
-            F.explode(_numbers(chunks)).alias("chunk"), F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"),
-        )
-        return asked.unionByName(dealt).groupBy("chunk", "block")
-
+    chunk = F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("long").alias("chunk")
+    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("long").alias("block")
+    unknown = F.lit(None).cast("long").alias("cutoff")
+    asked = candidates.select(F.lit(False).alias("asks"), "id", "vector", unknown, chunk, F.explode(_numbers(blocks)).alias("block"))
+    asking = queries.select(F.lit(True).alias("asks"), "id", "vector", unknown, F.explode(_numbers(chunks)).alias("chunk"), block)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
 
     def ranked(found: DataFrame) -> DataFrame:
         return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
-    first = cells(queries.withColumn("cutoff", F.lit(None).cast("long"))).applyInArrow(_in_cells(gather, k), FOUND)
-    cutoffs = ranked(first).where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("cutoff"))
-    cutoffs = workspace.materialize(cutoffs, "cutoffs")
-    second = cells(queries.join(cutoffs, "id", "left")).applyInArrow(_in_cells(resolve, k), FOUND)
-    return ranked(second).select("query_id", "rank", "vec_id", "score")
+    first = asked.unionByName(asking).groupBy("chunk", "block").applyInArrow(_in_cells(gather, k=k, depth=max(k, DEPTH)), GATHERED)
+    first = workspace.materialize(first, "gathered")
+    entries = first.where("bound IS NULL").select("query_id", "vec_id", "score", "chunk")
+    cutoffs = ranked(entries).where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("cutoff"))
+    # a cell that left something out has returned k entries, so its queries have a cutoff
+    bounds = first.where("bound IS NOT NULL").select(F.col("query_id").alias("id"), "chunk", "bound")
+    opened = bounds.join(cutoffs, "id").where("bound >= cutoff").select("id", "chunk", "cutoff", block)
+    opened = workspace.materialize(opened, "open-cells")
+    cells = workspace.broadcast_within(workspace.materialize(opened.select("chunk", "block").distinct(), "open-blocks"))
+    again = opened.join(queries, "id").select(F.lit(True).alias("asks"), "id", "vector", "cutoff", "chunk", "block")
+    again = asked.join(cells, ["chunk", "block"], "left_semi").unionByName(again)
+    second = again.groupBy("chunk", "block").applyInArrow(_in_cells(resolve, k=k), FOUND)
+    # an opened cell returns what it returned before if that reaches the cutoff
+    whole = entries.drop("chunk").unionByName(second).distinct()
+    return ranked(whole).select("query_id", "rank", "vec_id", "score")

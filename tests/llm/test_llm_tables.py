@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -213,8 +214,9 @@ def test_decontamination_of_many_items_and_long_texts(spark, monkeypatch):
     assert written["segments"].selectExpr("max(size(hashes))").first()[0] <= 64 + 30
 
 
-@pytest.mark.parametrize("cell", [(512, 8192), (3, 20)])
+@pytest.mark.parametrize("cell", [(512, 8192, 64), (3, 20, 6)])
 def test_top_k(spark, monkeypatch, cell):
+    monkeypatch.setattr(topk, "DEPTH", cell[2])
     monkeypatch.setattr(topk, "QUERIES", cell[0])
     monkeypatch.setattr(topk, "CANDIDATES", cell[1])
     draw = np.random.default_rng(3)
@@ -233,6 +235,49 @@ def test_top_k(spark, monkeypatch, cell):
     assert got == expected
 
 
+def _cell_of(queries, candidates, cutoffs):
+    """A cell as Spark hands it over: queries first."""
+    rows = [(True, i, v, cutoffs[i]) for i, v in queries.items()] + [(False, i, v, None) for i, v in candidates.items()]
+    asks, ids, vectors, known = zip(*rows)
+    return pa.table({
+        "asks": pa.array(asks), "id": pa.array(ids, pa.int64()), "vector": pa.array(vectors, pa.list_(pa.float64())),
+        "cutoff": pa.array(known, pa.int64()), "chunk": pa.array([5] * len(rows), pa.int64()),
+    })
+
+
+@pytest.mark.parametrize("scale", [1, 2**20, 2**27])
+def test_what_a_cell_leaves_out_is_within_its_bound(scale):
+    draw = np.random.default_rng(9)
+    vectors = {i: [float(x * scale) for x in draw.integers(-9, 9, 6)] for i in range(200)}
+    queries = {i: vectors[i] for i in range(0, 200, 20)}
+    found = topk.gather(_cell_of(queries, vectors, dict.fromkeys(queries)), 3, 12).to_pylist()
+    bounds = {r["query_id"]: r["bound"] for r in found if r["bound"] is not None}
+    entries = {(r["query_id"], r["vec_id"]): r["score"] for r in found if r["bound"] is None}
+    assert set(bounds) == set(queries) and len(entries) == 3 * len(queries)
+    closed = 0
+    for q in queries:
+        true = sorted((-sum(int(a) * int(b) for a, b in zip(queries[q], v)), i) for i, v in vectors.items() if i != q)[:3]
+        held = {i: s for (a, i), s in entries.items() if a == q}
+        # where the bound stays below the third score, the cell has told all
+        if bounds[q] < min(held.values()):
+            closed += 1
+            assert held == {i: -s for s, i in true}
+        again = topk.resolve(_cell_of({q: queries[q]}, vectors, {q: min(held.values())}), 3).to_pylist()
+        assert {r["vec_id"]: r["score"] for r in again} == {i: -s for s, i in true}
+    assert closed
+
+
+def test_cells_without_more_to_tell_are_not_computed_again(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATES", 200)
+    written, write = {}, topk.workspace.materialize
+    monkeypatch.setattr(topk.workspace, "materialize", lambda df, label: written.setdefault(label, write(df, label)))
+    draw = np.random.default_rng(4)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(draw.normal(size=(2000, 16)))], "vec_id bigint, embedding array<double>")
+    assert topk.top_k(df, F.col("vec_id") % 100 == 0).count() == 200
+    all_cells = written["gathered"].where("bound IS NOT NULL").count()
+    assert all_cells == 20 * 10 and written["open-cells"].count() < all_cells / 4
+
+
 def test_top_k_of_few(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id bigint, embedding array<double>")
     assert [tuple(r) for r in topk.top_k(df, F.col("vec_id") == 0).collect()] == [(0, 1, 1, 1024 * 2048)]
