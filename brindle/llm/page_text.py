@@ -1,17 +1,26 @@
 """Main text of web pages by line-block distribution.
 
-A page is cut into lines at block-level markup. Elements that are navigation,
-notices, forms and the like by their tag, role or class count as one line
-without text. Where no element says that it is the article, text in links adds
-no length. Over the lengths a short window slides: where its sum surges the text
-begins, where it dives to nothing the text ends, and all lines between are kept.
+A page is cut into lines at block-level markup, and each line has a weight.
+Over the weights a short window slides: where its sum surges the text begins,
+at the first line with a weight, where it dives to nothing the text ends, at the
+last one, and all lines between are kept.
+
+Tags and names only weigh. Elements that are navigation, notices, forms and the
+like by their tag, role or class count as one line without text. Text in links
+has no weight. Markup that points to text is believed unless the windows tell
+otherwise, by far denser ones elsewhere. Where paragraphs, headings and the like
+are believed, text that lies bare in containers has no weight. Where elements that
+say that they are the article are believed, which those around mere teasers are
+not, text in them has its whole length and other text none.
 Pages are independent rows.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,6 +32,8 @@ from brindle.llm.tasks import append_columns
 WINDOW = 3
 # The sum at which text begins, where no element says that it is the article.
 SURGE = 60
+# Markup is not believed where a window outside of it is over so many times as dense as any inside and as a surge.
+DENSER = 4
 
 # Attributes end at the tag's end or where another tag begins, so no token is looked for twice.
 ATTRIBUTES = r"(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+"
@@ -56,6 +67,7 @@ PLAIN_NAMES = frozenset(
     " top unit web wrap wrapper".split()
 )
 MAIN_TAGS = frozenset(("article", "main"))
+TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre td th figcaption caption".split())
 
 
 def _names_dropped(name: str) -> bool:
@@ -86,8 +98,43 @@ def _dropped(tag: str, attributes: str, inside: bool) -> bool:
     return False
 
 
-def _lines(page: str) -> list[tuple[str, int, bool]]:
-    """(text, length outside links, inside an article) of each line."""
+class Line(NamedTuple):
+    text: str
+    plain: int  # length outside links
+    inside: bool  # in an article by its tag
+    block: bool  # in a paragraph, heading or the like
+
+
+class _Blocks:
+    """The open block-level elements, and how many of them hold text."""
+
+    def __init__(self) -> None:
+        self.stack: list[str] = []
+        self.count: Counter[str] = Counter()
+        self.texts = 0
+
+    def open(self, tag: str) -> None:
+        # a paragraph ends where any block begins, an item where the next one does
+        if self.stack and self.stack[-1] in ("p", tag) and self.stack[-1] in TEXT_TAGS:
+            self._pop()
+        self.stack.append(tag)
+        self.count[tag] += 1
+        self.texts += tag in TEXT_TAGS
+
+    def close(self, tag: str) -> None:
+        if self.count[tag]:
+            while self._pop() != tag:
+                pass
+
+    def _pop(self) -> str:
+        tag = self.stack.pop()
+        self.count[tag] -= 1
+        self.texts -= tag in TEXT_TAGS
+        return tag
+
+
+def _lines(page: str) -> list[Line]:
+    """The lines of a page; an element that is dropped is one without text."""
     tokens = list(TOKEN.finditer(page))
     ends, open_tags = {}, {}
     for i, token in enumerate(tokens):
@@ -97,15 +144,16 @@ def _lines(page: str) -> list[tuple[str, int, bool]]:
                 ends[open_tags[tag].pop()] = i
         elif tag and tag not in VOID and not token["attributes"].endswith("/"):
             open_tags.setdefault(tag, []).append(i)
-    lines: list[tuple[str, int, bool]] = []
+    lines: list[Line] = []
     parts: list[str] = []
+    blocks = _Blocks()
     linked = depth = main = 0
 
     def flush() -> None:
         nonlocal linked
         text = " ".join(unescape("".join(parts)).split())
         if text:
-            lines.append((text, max(0, len(text) - linked), main > 0))
+            lines.append(Line(text, max(0, len(text) - linked), main > 0, blocks.texts > 0))
         parts.clear()
         linked = 0
 
@@ -125,32 +173,57 @@ def _lines(page: str) -> list[tuple[str, int, bool]]:
             if token["raw"] or i == skip_to:
                 flush()
             continue
+        if not token["close"] and _dropped(tag, token["attributes"], main > 0):
+            flush()
+            lines.append(Line("", 0, main > 0, False))
+            # without an end the element lasts to the next tag
+            skip_to = ends.get(i, i)
+            depth = 0
+            continue
         if tag == "a":
             depth = 0 if token["close"] else 1
         elif tag not in INLINE:
             flush()
             depth = 0
+            if token["close"]:
+                blocks.close(tag)
+            elif tag not in VOID and not token["attributes"].endswith("/"):
+                blocks.open(tag)
         if tag in MAIN_TAGS:
             main = max(0, main - 1) if token["close"] else main + 1
-        if not token["close"] and _dropped(tag, token["attributes"], main > 0):
-            flush()
-            lines.append(("", 0, main > 0))
-            # without an end the element lasts to the next tag
-            skip_to = ends.get(i, i)
-            if tag in MAIN_TAGS:
-                main = max(0, main - 1)
     if at < len(page):
         add(page[at:])
     flush()
     return lines
 
 
+def _sums(weights: list[int]) -> list[int]:
+    """The sum of the window that begins at each line."""
+    return [sum(weights[i : i + WINDOW]) for i in range(len(weights))]
+
+
+def _outweighed(marked: list[int], others: list[int]) -> bool:
+    """Whether the windows tell that the text lies in lines other than those that markup points to."""
+    densest = max(_sums(marked), default=0)
+    return not densest or max(_sums(others), default=0) > DENSER * max(densest, SURGE)
+
+
+def _weights(lines: list[Line]) -> tuple[list[int], bool]:
+    """What each line adds to its windows, and whether the page's marks of its article are believed."""
+    blocks = [line.plain if line.block else 0 for line in lines]
+    bare = [0 if line.block else line.plain for line in lines]
+    free = [line.plain for line in lines] if _outweighed(blocks, bare) else blocks
+    inside = [len(line.text) if line.inside else 0 for line in lines]
+    outside = [0 if line.inside else weight for line, weight in zip(lines, free)]
+    return (free, False) if _outweighed(inside, outside) else (inside, True)
+
+
 def main_text(page: str | None) -> str:
     """The main text of one page; empty for a null, empty or textless page."""
     lines = _lines(page or "")
-    marked = any(inside and text for text, _, inside in lines)
-    lengths = [len(text) * inside if marked else length for text, length, inside in lines]
-    sums = [sum(lengths[i : i + WINDOW]) for i in range(len(lines))]
+    weights, marked = _weights(lines)
+    sums = _sums(weights)
+    # every line of an article that is marked is its text
     surge = min(1 if marked else SURGE, max(sums, default=0))
     kept: list[str] = []
     i = 0
@@ -159,11 +232,13 @@ def main_text(page: str | None) -> str:
             i += 1
             continue
         first = i
-        while first and lengths[first - 1]:
+        while first and weights[first - 1]:
             first -= 1
+        while not weights[first]:
+            first += 1
         while i < len(lines) and sums[i]:
             i += 1
-        kept.extend(text for (text, _, inside) in lines[first:i] if text and (inside or not marked))
+        kept.extend(line.text for line in lines[first:i] if line.text and (line.inside or not marked))
     return " ".join(kept)
 
 
@@ -174,8 +249,9 @@ def extract_slice(part: pa.RecordBatch) -> list[pa.Array]:
 def extract(df: DataFrame, html: str = "html", text: str = "text") -> DataFrame:
     """``df`` with the main text of ``html`` in ``text`` and its code points in ``n_chars``.
 
-    A null page has an empty text. Rows keep their number, repeated rows
-    included; columns named like the outputs are replaced.
+    A null or empty page has an empty text, an empty table gives an empty one, and
+    long pages are read whole, in time in proportion to their length. Rows keep their
+    number, repeated rows included; columns named like the outputs are replaced.
     """
     found = append_columns(df, extract_slice, [html], [StructField(text, StringType())])
     kept = [c for c in found.columns if c.lower() != "n_chars"]

@@ -397,6 +397,39 @@ def test_links_of_an_article_are_kept():
             assert page_text.main_text(f"{outside}<{tag}>{body}</{tag}>{outside}") == text
 
 
+def test_windows_find_what_no_mark_tells(monkeypatch):
+    body = "".join(f"<p>{'A sentence of the article itself. ' * n}</p>" for n in (3, 1, 6, 2)) + "<p>End.</p>"
+    text = " ".join(re.sub("<[^>]*>", " ", body).split())
+    menu = "".join(f"<li><a href=/{k}>Topic number {k} of the site</a></li>" for k in range(9))
+    bare = f"<div><ul>{menu}</ul></div><div>Buy this now, only today.</div><div>{body}</div><div>All rights and so on.</div>"
+    teasers = "".join(f"<article><a href=/{k}>Another story {k}</a></article>" for k in range(5))
+    captions = f"<div>{body}</div>" + "<ul><li><a>x</a></li></ul>" * 4 + "<p>Seen 12 times.</p>"
+    pages = [bare, f"<div>{body * 3}</div><div>{teasers}</div>", captions]
+    texts = [text, " ".join([text] * 3), text]
+    assert [page_text.main_text(p) for p in pages] == texts
+    # divs alone: lengths decide
+    assert page_text.main_text(bare.replace("<p>", "<div>").replace("</p>", "</div>").replace("Topic", "")).count(text)
+    monkeypatch.setattr(page_text, "SURGE", 0)
+    monkeypatch.setattr(page_text, "_weights", lambda lines: ([1] * len(lines), False))
+    assert all(page_text.main_text(p) != t for p, t in zip(pages, texts))
+
+
+def test_articles_are_found_without_tags_and_names():
+    found = 0
+    pages = [h for (h,) in duckdb.connect().execute(f"SELECT html FROM '{SF}/pages.parquet'").fetchall()]
+    for html in pages:
+        plain = re.sub(r"<(/?)(?:nav|article|footer)\b[^>]*>", r"<\1div>", html)
+        plain = re.sub(r"(<\w+[^>]*?)\s(?:class|id|role)=\"[^\"]*\"", r"\1", plain)
+        assert "<article" not in plain and "class=" not in plain
+        found += page_text.main_text(plain) == page_text.main_text(html)
+    assert found >= 0.95 * len(pages)
+
+
+def test_no_pages(spark):
+    out = page_text.extract(spark.createDataFrame([], "html string, N_CHARS string"))
+    assert out.columns == ["html", "text", "n_chars"] and out.count() == 0
+
+
 def test_names_are_read_whole_and_unclosed_tags_take_time_in_proportion():
     kept = ['<h2 id="related-work">', '<section id="social-impact">', '<p class="share-price">', '<table class="ad-hoc">']
     body = "".join(f"{tag}text number {i} of the article, long enough to be read</{tag[1:].split()[0]}>" for i, tag in enumerate(kept))
