@@ -30,7 +30,7 @@ from pyspark.sql.types import ArrayType, BinaryType, StructField
 from tokenizers import Tokenizer
 
 from brindle import workspace
-from brindle.llm.chunks import ASCII_WHITE, Known, coded, cuts, flat_bytes, spread
+from brindle.llm.chunks import ASCII_WHITE, LOOKED_UP, KnownIds, cuts, flat_bytes
 from brindle.llm.tasks import append_columns, col, in_tasks, slices, without
 
 WINDOW = 2_048
@@ -38,6 +38,9 @@ WINDOW = 2_048
 # Text that is tokenized at a time, and what the tokenizer gets of it in one call.
 SLICE_BYTES, CALL_BYTES = 4 << 20, 1 << 18
 
+# Bytes of texts whose chunks are looked up at a time.
+SECTION = LOOKED_UP
+
 ROUNDS, STEPS = 6, 300
 
 OUTPUTS = ["text_key", "doc_tokens", "start", "length", "sequence_id", "offset", "ids_crc32"]
@@ -52,14 +55,14 @@ class Chunks:
         # byte-level tokens spell each byte as one character; added tokens are spelt in UTF-8
         sizes |= {i: len(t.content.encode()) for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.sizes = np.array([sizes.get(i, 0) for i in range(max(sizes) + 1)])
-        self.known = Known()
+        self.known = KnownIds(self._learn)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, chunks: list[bytes]) -> None:
-        """Encode chunks that begin with white space and do not end with it, many to a call: they meet at boundaries."""
-        start, held = 0, 0
+    def _meeting(self, chunks: list[bytes]) -> list[bytes]:
+        """The ids of chunks that begin with white space and do not end with it, many to a call: they meet at boundaries."""
+        out, start, held = [], 0, 0
         for i, chunk in enumerate(chunks):
             held += len(chunk)
             if held < CALL_BYTES and i + 1 < len(chunks):
@@ -68,37 +71,26 @@ class Chunks:
             raw = self._encode([b"".join(part).decode()])[0]
             ends = np.cumsum(self.sizes[np.frombuffer(raw, "<u4")])
             bounds = [0, *((np.searchsorted(ends, np.cumsum(list(map(len, part)))) + 1) * 4).tolist()]
-            self.known.update(zip(part, [raw[a:b] for a, b in zip(bounds, bounds[1:])]))
+            out += [raw[a:b] for a, b in zip(bounds, bounds[1:])]
             start, held = i + 1, 0
+        return out
 
-    def _group(self, values: list[bytes]) -> list[bytes]:
+    def _learn(self, chunks: list[bytes]) -> list[bytes]:
         """The ids of distinct chunks."""
-        fresh = [c for c in values if c not in self.known]
         inner, outer = [], []
-        for c in fresh:
+        for i, c in enumerate(chunks):
             last = c[-1:] if c[-1] < 128 else c.decode()[-1]
-            (inner if ASCII_WHITE[c[0]] and not last.isspace() else outer).append(c)
-        self._learn(inner)
-        self.known.update(zip(outer, self._encode([c.decode() for c in outer])))
-        ids = [self.known[c] for c in values]
-        self.known.bound(fresh)
-        return ids
-
-    def encode(self, column: pa.Array) -> list[bytes]:
+            (inner if ASCII_WHITE[c[0]] and not last.isspace() else outer).append(i)
+        out: list[bytes] = [b""] * len(chunks)
+        for group, ids in ((inner, self._meeting([chunks[i] for i in inner])), (outer, self._encode([chunks[i].decode() for i in outer]))):
+            for i, x in zip(group, ids):
+                out[i] = x
+        return out
+
+    def encode(self, column: pa.Array, section: int = SECTION) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers, without special tokens around it."""
         flat, offsets = flat_bytes(column)
-        starts = cuts(flat, offsets)
-        tokens, counts = [], [np.zeros(1, np.int64)]
-        for values, codes in coded(flat, starts):
-            ids = self._group(values)
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-            found, n = spread(np.frombuffer(b"".join(ids), "<u4"), sizes, codes)
-            tokens.append(found)
-            counts.append(n)
-        raw = np.concatenate(tokens).tobytes() if tokens else b""
-        through = np.cumsum(np.concatenate(counts))
-        bounds = (through[np.searchsorted(starts, offsets)] * 4).tolist()
-        return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
+        return self.known.encode(flat, offsets, cuts(flat, offsets), section)
 
 
 _chunks: dict[str, Chunks] = {}
@@ -112,13 +104,13 @@ def tokenizer(path: str) -> Chunks:
     return _chunks[path]
 
 
-def token_ids(texts: pa.Array, path: str, end_id: int) -> list[bytes]:
+def token_ids(texts: pa.Array, path: str, end_id: int, section: int) -> list[bytes]:
     """The ids of each text and the end mark."""
     end = end_id.to_bytes(4, "little")
-    return [ids + end for ids in tokenizer(path).encode(texts)]
+    return [ids + end for ids in tokenizer(path).encode(texts, section)]
 
 
-def measure(batches, path: str, end_id: int, window: int):
+def measure(batches, path: str, end_id: int, window: int, section: int = SECTION):
     """Per text its tokens, the checksums of its full windows and of its rest, and its numbers in this task.
 
     ``rank`` counts the task's rests of the same length before it, ``full_before``
@@ -129,7 +121,7 @@ def measure(batches, path: str, end_id: int, window: int):
     width = window * 4
     for batch in batches:
         for part in slices(batch, 1, SLICE_BYTES):
-            ids = token_ids(part.column(0), path, end_id)
+            ids = token_ids(part.column(0), path, end_id, section)
             tokens = [len(x) // 4 for x in ids]
             checks = [[zlib.crc32(x[a : a + width]) for a in range(0, len(x) - width + 1, width)] for x in ids]
             rests = [n % window for n in tokens]
@@ -352,10 +344,10 @@ def _places(measured: DataFrame, found: Plan, n_full: int, window: int) -> DataF
     return pieces.select(*kept, "text_key", "doc_tokens", "piece.*")
 
 
-def slice_ids(part: pa.RecordBatch, path: str, end_id: int) -> list[pa.Array]:
+def slice_ids(part: pa.RecordBatch, path: str, end_id: int, section: int) -> list[pa.Array]:
     """The ids of the wanted pieces (start, length) of each text, as little-endian unsigned 32-bit integers."""
     out = []
-    for ids, wanted in zip(token_ids(part.column(0), path, end_id), part.column(1).to_pylist()):
+    for ids, wanted in zip(token_ids(part.column(0), path, end_id, section), part.column(1).to_pylist()):
         out.append([ids[w["start"] * 4 : (w["start"] + w["length"]) * 4] for w in wanted])
     return [pa.array(out, pa.list_(pa.binary()))]
 
@@ -377,7 +369,8 @@ def piece_ids(df: DataFrame, wanted: DataFrame, path: str, end_id: int, text: st
     keys = workspace.broadcast_within(lists.select("text_key"))
     texts = keyed.join(keys, "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
     rows = texts.join(lists, "text_key").select("text", "wanted", "text_key")
-    found = append_columns(rows, slice_ids, ["text", "wanted"], [StructField("ids", ArrayType(BinaryType()))], SLICE_BYTES, path=path, end_id=end_id)
+    options = {"path": path, "end_id": end_id, "section": SECTION}
+    found = append_columns(rows, slice_ids, ["text", "wanted"], [StructField("ids", ArrayType(BinaryType()))], SLICE_BYTES, **options)
     both = found.select("text_key", F.explode(F.arrays_zip("wanted", "ids")).alias("x"))
     return both.select("text_key", F.col("x.wanted.start").alias("start"), F.col("x.wanted.length").alias("length"), F.col("x.ids").alias("ids"))
 
@@ -408,7 +401,7 @@ def pack(
     )
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in slim.schema.fields[1:])
     schema = f"{fields}, doc_tokens bigint, checks array<bigint>, rest int, rest_check bigint, rank bigint, full_before bigint"
-    run = in_tasks(measure, path=path, end_id=end_id, window=window)
+    run = in_tasks(measure, path=path, end_id=end_id, window=window, section=SECTION)
     measured = workspace.materialize(slim.mapInArrow(run, schema).withColumn("segment", F.spark_partition_id()), "measured")
 
     # one row per task and length, and per task

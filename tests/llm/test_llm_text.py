@@ -7,13 +7,14 @@ import re
 import time
 import struct
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from brindle.llm import bpe, langid, secret_scan, tokencount
+from brindle.llm import bpe, chunks, langid, secret_scan, tasks, tokencount
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -78,6 +79,43 @@ def test_the_cache_forgets_without_losing_what_is_asked(reference):
         assert coder.encode([text])[0] == struct.pack(f"<{len(reference.encode_ordinary(text))}I", *reference.encode_ordinary(text))
 
 
+@pytest.mark.parametrize("section", [40, 1 << 19])
+def test_chunks_of_one_hash_stay_apart(reference, monkeypatch, section):
+    text = " ".join(random.Random(5).choices(["be", "alpha", "gamma", "delta", "xyzzy" * 30], k=300))
+    expected = struct.pack(f"<{len(reference.encode_ordinary(text))}I", *reference.encode_ordinary(text))
+    monkeypatch.setattr(chunks, "hashes", lambda flat, bounds: np.diff(bounds).astype(np.uint64) // 100)
+    coder = bpe.Encoder(bpe.read_ranks(RANKS), PATTERN)
+    flat, offsets = chunks.flat_bytes(pa.array([text, None, text]))
+    assert coder.known.encode(flat, offsets, chunks.cuts(flat, offsets), section) == [expected, b"", expected]
+
+
+def test_what_is_held_of_chunks_is_small():
+    """A worker's memory of 100,000 chunks takes a third of what it took as objects."""
+    known = chunks.KnownIds(lambda values: [v[-4:] for v in values])
+    texts = pa.array([" ".join(f"{i:07}" for i in range(100_000))])
+    flat, offsets = chunks.flat_bytes(texts)
+    for _ in range(2):
+        assert len(known.encode(flat, offsets, chunks.cuts(flat, offsets))[0]) == 400_000
+    arrays = [known.raw.values, known.raw.starts, known.ids.values, known.ids.starts, *(x for level in known.index for x in level)]
+    assert known.raw.n == 100_000 and sum(x.nbytes for x in arrays) < 100_000 * 80
+
+
+def test_texts_go_to_a_task_once_and_back_only_if_they_stay(spark):
+    df = spark.createDataFrame([(1, "a b", "x")], "doc_id int, text string, lang string")
+    seen = bpe.roundtrip_digests(df, RANKS, PATTERN, keep=["lang", "doc_id"])
+    assert seen.columns == ["doc_id", "lang", "n_tokens", "ids_sha256", "decoded_sha256"]
+    batch = pa.RecordBatch.from_pydict({"in_0": ["a b"], "kept_0": [1]})
+    options = {"module": __name__, "name": "lengths", "n_inputs": 1, "slice_bytes": 10, "options": {}}
+    out = list(tasks._append([batch], kept=[1, 0], names=["doc_id", "text", "n"], **options))
+    assert [b.to_pydict() for b in out] == [{"doc_id": [1], "text": ["a b"], "n": [3]}]
+    plan = bpe.roundtrip_digests(df, RANKS, PATTERN)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("text#") and " AS kept_2" not in plan
+
+
+def lengths(part):
+    return [pa.array([len(t) for t in part.column(0).to_pylist()])]
+
+
 def test_counts_follow_edits(reference):
     count = tokencount.Counter(bpe.read_ranks(RANKS), PATTERN)
     for seed in range(60):
