@@ -31,8 +31,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField
 
-from brindle.llm.chunks import Known, coded, cuts, flat_bytes, spread
-from brindle.llm.tasks import append_columns
+from brindle.llm.chunks import KnownIds, cuts, flat_bytes
+from brindle.llm.tasks import append_columns, worker_cache
 
 # Unicode White_Space, as the patterns of public tokenizers mean \s.
 WHITE = "\t-\r \x85\xa0  -     　"
@@ -106,7 +106,7 @@ class Encoder:
         self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         # only what is known of the pattern allows chunks that are cut before it is applied
         self.cut = pattern == public_tokenizers.PATTERN
-        self.known = Known()
+        self.known = KnownIds(self._ids)
         pairs, merged = [], []
         for token, rank in ranks.items():
             for i in range(1, len(token)):
@@ -126,31 +126,17 @@ class Encoder:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
         flat, offsets = flat_bytes(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
         starts = cuts(flat, offsets) if self.cut else np.unique(offsets[:-1][np.diff(offsets) > 0])
-        tokens, counts = [], [np.zeros(1, np.int64)]
-        for values, codes in coded(flat, starts):
-            ids = self._ids(values)
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-            found, n = spread(np.frombuffer(b"".join(ids), "<u4"), sizes, codes)
-            tokens.append(found)
-            counts.append(n)
-        raw = np.concatenate(tokens).tobytes() if tokens else b""
-        bounds = (np.cumsum(np.concatenate(counts))[np.searchsorted(starts, offsets)] * 4).tolist()
-        return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
+        return self.known.encode(flat, offsets, starts)
 
     def _ids(self, chunks: list[bytes]) -> list[bytes]:
-        """The ids of distinct chunks; those not known are cut into pieces, and each piece is encoded on its own."""
-        known = self.known
-        fresh = [c for c in chunks if c not in known]
+        """The ids of distinct chunks: they are cut into pieces, and each piece is encoded on its own."""
         split = []
-        for raw in fresh:
+        for raw in chunks:
             chunk = raw.decode()
             is_piece = self.cut and (chunk[1:] if chunk[0] == " " else chunk).isalpha()
             split.append((chunk,) if is_piece else self.pattern.findall(chunk))
         ids = self._learn({piece for pieces in split for piece in pieces})
-        known.update((c, ids[p[0]] if len(p) == 1 else b"".join([ids[x] for x in p])) for c, p in zip(fresh, split))
-        out = [known[c] for c in chunks]
-        known.bound(fresh)
-        return out
+        return [ids[p[0]] if len(p) == 1 else b"".join([ids[x] for x in p]) for p in split]
 
     def _learn(self, pieces: set[str]) -> dict[str, bytes]:
         short, found = [], {}
@@ -270,7 +256,7 @@ def contract_long(raw: bytes, ranks: dict[bytes, int]) -> bytes:
     return b"".join(ranks[p].to_bytes(4, "little") for p in part if p is not None)
 
 
-_encoders: dict[tuple, Encoder] = {}
+_encoders: dict[tuple, Encoder] = worker_cache(__name__)
 
 
 def encoder(ranks, pattern: str) -> Encoder:
@@ -335,10 +321,13 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", decod
     return append_columns(df, decode_slice, [ids], [field], slice_bytes=SLICE_BYTES, ranks=ranks, pattern=pattern)
 
 
-def roundtrip_digests(df: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
+def roundtrip_digests(
+    df: DataFrame, ranks_path: str, pattern: str, text: str = "text", keep: list[str] | None = None
+) -> DataFrame:
     """``df`` with ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``: encoded, decoded and digested at once.
 
-    The ids are digested as little-endian unsigned 32-bit integers, the decoded
+    ``keep`` names the columns of ``df`` that stay, all otherwise; a text that does not
+    stay is not sent back. The ids are digested as little-endian unsigned 32-bit integers, the decoded
     bytes as they are. A null text counts as an empty one; rows and long texts as in
     :func:`encode`.
     """
@@ -348,4 +337,4 @@ def roundtrip_digests(df: DataFrame, ranks_path: str, pattern: str, text: str =
         StructField("ids_sha256", StringType()),
         StructField("decoded_sha256", StringType()),
     ]
-    return append_columns(df, digest_slice, [text], fields, slice_bytes=SLICE_BYTES, ranks=ranks, pattern=pattern)
+    return append_columns(df, digest_slice, [text], fields, slice_bytes=SLICE_BYTES, keep=keep, ranks=ranks, pattern=pattern)

@@ -31,7 +31,7 @@ from tokenizers import Tokenizer
 
 from brindle import workspace
 from brindle.llm.chunks import ASCII_WHITE, LOOKED_UP, KnownIds, cuts, flat_bytes
-from brindle.llm.tasks import append_columns, col, in_tasks, slices, without
+from brindle.llm.tasks import append_columns, col, in_tasks, slices, without, worker_cache
 
 WINDOW = 2_048
 
@@ -93,7 +93,7 @@ class Chunks:
         return self.known.encode(flat, offsets, cuts(flat, offsets), section)
 
 
-_chunks: dict[str, Chunks] = {}
+_chunks: dict[str, Chunks] = worker_cache(__name__)
 
 
 def tokenizer(path: str) -> Chunks:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import importlib
 import sys
 from collections.abc import Callable, Iterator
@@ -35,6 +36,31 @@ def row_key(doc_id: str, text: str) -> Column:
     return F.concat_ws(":", F.coalesce(F.md5(col(text).cast("binary")), F.lit("")), col(doc_id).cast("string"))
 
 
+# By module, what its functions keep in this worker from task to task.
+_kept: dict[str, dict] = {}
+
+
+def worker_cache(module: str) -> dict:
+    """A cache that a worker keeps until it runs a function of another module."""
+    return _kept.setdefault(module, {})
+
+
+def release() -> None:
+    """Give freed memory back to the machine."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def keep_only(module: str) -> None:
+    """Drop what other modules keep: a worker serves one operator after another."""
+    others = [cache for name, cache in _kept.items() if name != module and cache]
+    for cache in others:
+        cache.clear()
+    if others:
+        release()
+
+
 def in_tasks(function: Callable, **options) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """``function(batches, **options)`` looked up by name where it runs.
 
@@ -46,6 +72,7 @@ def in_tasks(function: Callable, **options) -> Callable[[Iterator[pa.RecordBatch
     def run(batches):
         if root not in sys.path:
             sys.path.append(root)
+        importlib.import_module(__name__).keep_only(options.get("module", module))
         return getattr(importlib.import_module(module), name)(batches, **options)
 
     return run
@@ -57,18 +84,21 @@ def append_columns(
     inputs: list[str],
     fields: list[StructField],
     slice_bytes: int = SLICE_BYTES,
+    keep: list[str] | None = None,
     **options,
 ) -> DataFrame:
     """``df`` with the columns ``function(slice, **options)`` computes from ``inputs``.
 
     ``function`` gets a record batch of the inputs, a few MB at a time, and
     returns one Arrow array per field. A column of ``df`` that has the name of
-    a field is replaced.
+    a field is replaced; with ``keep`` only those columns stay. Each column goes
+    to the task once, and back only if it stays.
     """
-    kept = without(df, [f.name for f in fields])
+    kept = [c for c in without(df, [f.name for f in fields]) if keep is None or c in keep]
+    beside = [c for c in kept if c not in inputs]
     positional = df.select(
         *(col(c).alias(f"in_{i}") for i, c in enumerate(inputs)),
-        *(col(c).alias(f"kept_{i}") for i, c in enumerate(kept)),
+        *(col(c).alias(f"kept_{i}") for i, c in enumerate(beside)),
     )
     schema = StructType([*(StructField(c, df.schema[c].dataType) for c in kept), *fields])
     names = [f.name for f in schema]
@@ -77,6 +107,7 @@ def append_columns(
         module=function.__module__,
         name=function.__name__,
         n_inputs=len(inputs),
+        kept=[[*inputs, *beside].index(c) for c in kept],
         names=names,
         slice_bytes=slice_bytes,
         options=options,
@@ -84,13 +115,15 @@ def append_columns(
     return positional.mapInArrow(run, schema)
 
 
-def _append(batches, module: str, name: str, n_inputs: int, names: list[str], slice_bytes: int, options: dict):
+def _append(batches, module: str, name: str, n_inputs: int, kept: list[int], names: list[str], slice_bytes: int, options: dict):
     function = getattr(importlib.import_module(module), name)
     for batch in batches:
         for part in slices(batch, n_inputs, slice_bytes):
             inputs = pa.RecordBatch.from_arrays(part.columns[:n_inputs], names=part.schema.names[:n_inputs])
-            yield pa.RecordBatch.from_arrays([*part.columns[n_inputs:], *function(inputs, **options)], names=names)
-        pa.default_memory_pool().release_unused()
+            yield pa.RecordBatch.from_arrays([*(part.column(i) for i in kept), *function(inputs, **options)], names=names)
+        # before the next batch is read
+        batch = part = inputs = None
+        release()
 
 
 def slices(batch: pa.RecordBatch, n_inputs: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -19,8 +19,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again."""
-    texts = documents(spark, sf_dir).select("doc_id", "text")
-    out = bpe.roundtrip_digests(texts, RANKS, public_tokenizers.PATTERN)
+    out = bpe.roundtrip_digests(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN, keep=["doc_id"])
     return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 

@@ -47,7 +47,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of the decoded bytes."""
-    done = bpe.roundtrip_digests(docs.select("doc_id", "text", "lang", "source"), RANKS, public_tokenizers.PATTERN)
+    done = bpe.roundtrip_digests(docs, RANKS, public_tokenizers.PATTERN, keep=["doc_id", "lang", "source"])
     return done.select("doc_id", "lang", "source", "n_tokens", "ids_sha256", "decoded_sha256")
 
 

@@ -112,6 +112,14 @@ def test_texts_go_to_a_task_once_and_back_only_if_they_stay(spark):
     assert plan.count("text#") and " AS kept_2" not in plan
 
 
+def test_a_worker_keeps_the_caches_of_one_operator(monkeypatch):
+    monkeypatch.setattr(tasks, "_kept", {})
+    one, other = tasks.worker_cache("one"), tasks.worker_cache("other")
+    one["x"], other["y"] = 1, 2
+    tasks.keep_only("one")
+    assert one == {"x": 1} and other == {} and tasks.worker_cache("other") is other
+
+
 def lengths(part):
     return [pa.array([len(t) for t in part.column(0).to_pylist()])]
 
